@@ -7,34 +7,35 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labtables.operators.skew import HOT_KEYS, collect_parts
+from labtables.operators.skew import HOT_KEYS, HOT_ROWS, collect_parts
 
 # Items per fragment, so that a row stays around 10 MB whatever a key holds.
 SPECTRA_PER_ROW = 2_000
 METHODS_PER_ROW = 2_000
 IDS_PER_ROW = 100_000
+HOT = (HOT_KEYS, HOT_ROWS)
 
 
-def external_ids(structure_map: DataFrame, limit: int = IDS_PER_ROW, bound: int = HOT_KEYS) -> DataFrame:
+def external_ids(structure_map: DataFrame, limit: int = IDS_PER_ROW, hot: tuple[int, int] = HOT) -> DataFrame:
     return collect_parts(
         structure_map.select("smiles", "mid").distinct(), ["smiles"], F.col("mid"), "nist",
-        limit=limit, bound=bound,
+        limit=limit, hot=hot,
     )
 
 
 def spectra_lists(measured: DataFrame, structure_map: DataFrame, limit: int = SPECTRA_PER_ROW,
-                  bound: int = HOT_KEYS) -> DataFrame:
+                  hot: tuple[int, int] = HOT) -> DataFrame:
     """(smiles, part, expir) with the distinct spectra of a structure."""
     rows = measured.join(structure_map, "mid").select("smiles", "vec", "state", "state_info").distinct()
     item = F.struct("vec", "state", "state_info")
     order = [F.col("state"), F.col("state_info")]
-    return collect_parts(rows, ["smiles"], item, "expir", order, limit, bound)
+    return collect_parts(rows, ["smiles"], item, "expir", order, limit, hot)
 
 
-def method_lists(computed: DataFrame, limit: int = METHODS_PER_ROW, bound: int = HOT_KEYS) -> DataFrame:
+def method_lists(computed: DataFrame, limit: int = METHODS_PER_ROW, hot: tuple[int, int] = HOT) -> DataFrame:
     rows = computed.select("smiles", "method", "freqs").distinct()
     item = F.struct("method", "freqs")
-    return collect_parts(rows, ["smiles"], item, "thir", [F.col("method")], limit, bound)
+    return collect_parts(rows, ["smiles"], item, "thir", [F.col("method")], limit, hot)
 
 
 def merge_parts(sides: list[DataFrame], big: DataFrame, keys: list[str]) -> DataFrame:
@@ -50,13 +51,13 @@ def merge_parts(sides: list[DataFrame], big: DataFrame, keys: list[str]) -> Data
 
 
 def documents(structure_map: DataFrame, measured: DataFrame, computed: DataFrame, universe: DataFrame,
-              bound: int = HOT_KEYS) -> DataFrame:
+              hot: tuple[int, int] = HOT) -> DataFrame:
     """Documents ``_id, part, mass, source, fg, external_id, expir, thir``; part 0 is the document
     itself, further parts carry on its longer lists. Absent fields are null."""
     sides = [
-        spectra_lists(measured, structure_map, bound=bound),
-        method_lists(computed, bound=bound),
-        external_ids(structure_map, bound=bound),
+        spectra_lists(measured, structure_map, hot=hot),
+        method_lists(computed, hot=hot),
+        external_ids(structure_map, hot=hot),
     ]
     base = universe.select("smiles", F.lit(0).cast("bigint").alias("part"), "mass", "source", "fg")
     merged = merge_parts(sides, base, ["smiles", "part"])

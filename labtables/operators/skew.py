@@ -7,30 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Keys holding more than 1/HOT_KEYS of all rows are split; by counting there are fewer than
-# HOT_KEYS of them, so their list may be broadcast whatever the size of the table.
+# A key is hot when it holds more than 1/HOT_KEYS of all rows and more than HOT_ROWS rows. By
+# counting there are fewer than HOT_KEYS hot keys, so their list may be broadcast whatever the size
+# of the table; below HOT_ROWS a group is no load for a task.
 HOT_KEYS = 20_000
+HOT_ROWS = 1_000_000
 LIST_LIMIT = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], bound: int = HOT_KEYS) -> DataFrame:
-    """(keys, fan): keys with over 1/bound of the rows and the number of groups to split them in.
+def hot_keys(df: DataFrame, keys: Sequence[str], bound: int = HOT_KEYS, rows: int = HOT_ROWS) -> DataFrame:
+    """(keys, fan): hot keys and the number of groups to split each into, under ``bound`` rows.
 
-    Under ``bound`` rows by the pigeonhole principle. The count is combined on the map side and
-    reads the key columns only.
+    The count is combined on the map side and reads the key columns only.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_key"))
-    total = counts.agg(F.sum("rows_of_key").alias("total")).scalar()
-    share = F.col("rows_of_key") * F.lit(bound)
+    share = counts.agg(F.ceil(F.sum("rows_of_key") / F.lit(bound)).alias("share")).scalar()
+    group = F.greatest(share, F.lit(rows))
     return (
-        counts.where(share > total)
-        .select(*keys, F.ceil(share / total).cast("int").alias("fan"))
+        counts.where(F.col("rows_of_key") > group)
+        .select(*keys, F.ceil(F.col("rows_of_key") / group).cast("int").alias("fan"))
     )
 
 
-def with_bucket(df: DataFrame, keys: Sequence[str], spread: Column, bound: int = HOT_KEYS) -> DataFrame:
+def with_bucket(df: DataFrame, keys: Sequence[str], spread: Column, bound: int = HOT_KEYS,
+                rows: int = HOT_ROWS) -> DataFrame:
     """Add ``bucket``: 0 for ordinary keys, a hash of ``spread`` over the fan for hot ones."""
-    hot = hot_keys(df, keys, bound)
+    hot = hot_keys(df, keys, bound, rows)
     renamed = hot.select(*[F.col(k).alias(f"hot_{k}") for k in keys], "fan")
     match = [F.col(k).eqNullSafe(F.col(f"hot_{k}")) for k in keys]
     return (
@@ -47,7 +49,7 @@ def collect_parts(
     name: str,
     order: Sequence[Column] | None = None,
     limit: int = LIST_LIMIT,
-    bound: int = HOT_KEYS,
+    hot: tuple[int, int] = (HOT_KEYS, HOT_ROWS),
 ) -> DataFrame:
     """Lists of values per key, sorted, as (keys, part, list) with at most ``limit`` items each.
 
@@ -59,7 +61,7 @@ def collect_parts(
         c.alias(f"sort_{i}") for i, c in enumerate(order or [])
     ])
     sort_cols = [f"sort_{i}" for i in range(len(order or []))] + ["item"]
-    rows = with_bucket(rows, keys, F.struct(*[F.col(c) for c in sort_cols]), bound)
+    rows = with_bucket(rows, keys, F.struct(*[F.col(c) for c in sort_cols]), *hot)
     inside = Window.partitionBy(*keys, "bucket").orderBy(*sort_cols)
     chunk = F.floor((F.row_number().over(inside) - 1) / F.lit(limit)).cast("bigint")
     packed = F.sort_array(F.collect_list(F.struct(*sort_cols)))
