@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labtables.functions.plans import add_once
+
 # Element symbols by atomic number, from 1.
 SYMBOLS = (
     "H He Li Be B C N O F Ne Na Mg Al Si P S Cl Ar K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se Br "
@@ -45,15 +47,15 @@ def parse_coords(df: DataFrame, encoded: str = "encoded") -> DataFrame:
     # the count is a fixed field of three characters; an unreadable one means no atoms
     count = F.trim(F.substring(F.get("text_lines", F.lit(HEADER_LINES)), 1, 3)).try_cast("int")
     bad = F.exists("atoms", lambda a: a["type"].isNull() | a["x"].isNull() | a["y"].isNull() | a["z"].isNull())
-    return (
+    parsed = (
         df.withColumn("text_lines", text_lines)
         .withColumn("n_atoms", F.greatest(F.coalesce(count, F.lit(0)), F.lit(0)))
         .withColumn("atoms", F.transform(
             F.slice("text_lines", F.lit(HEADER_LINES + 2), F.col("n_atoms")), atom
         ))
-        .withColumn("reason", F.when(bad | (F.size("atoms") < F.col("n_atoms")), SHORT_BLOCK))
-        .drop("text_lines", "n_atoms")
     )
+    reason = F.when(bad | (F.size("atoms") < F.col("n_atoms")), SHORT_BLOCK)
+    return add_once(parsed, "reason", reason).drop("text_lines", "n_atoms")
 
 
 def five_digits(c: Column) -> Column:

@@ -72,7 +72,7 @@ def spectrum_pages(pages: DataFrame, site: str) -> DataFrame:
     links = F.filter(
         F.regexp_extract_all(F.col("html"), F.lit(INDEX_LINK), F.lit(0)), lambda l: F.startswith(l, own)
     )
-    indices = F.array_sort(F.array_distinct(F.transform(
+    indices = F.sort_array(F.array_distinct(F.transform(
         links, lambda l: F.regexp_extract(l, r"Index=(\d+)#", 1).cast("int")
     )))
     none = F.size("indices") == 0

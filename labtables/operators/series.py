@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labtables.functions.plans import add_once
 from labtables.schemas import GRID_MAX, GRID_MIN, GRID_STEP, MAX_GAP
 
 TOO_FEW = "too few samples"
@@ -94,11 +95,11 @@ def calibrate(records: DataFrame) -> DataFrame:
 
         return F.transform(d["ys"], sample)
 
+    checked = add_once(records, "reason", F.coalesce(F.col("reason"), F.when(bad, BAD_HEADER)))
     return (
-        records.withColumn("reason", F.coalesce(F.col("reason"), F.when(bad, BAD_HEADER)))
-        .withColumns({"dx": dx, "yf": numbers["YFACTOR"]})
+        checked.withColumns({"dx": dx, "yf": numbers["YFACTOR"]})
         .withColumn("samples", F.when(
-            F.col("reason").isNull(), F.array_sort(F.flatten(F.transform("data", line)))
+            F.col("reason").isNull(), F.sort_array(F.flatten(F.transform("data", line)))
         ))
         .drop("dx", "yf")
     )
@@ -137,15 +138,14 @@ def _range_reason(count: Column, first_x: Column, last_x: Column, grid: Grid) ->
 def _finish(df: DataFrame, grid: Grid, max_gap: int | None) -> DataFrame:
     """Vector and reason from ``neighbours``, ``samples_n``, ``gap`` (columns dropped at the end)."""
     first, last = F.get("neighbours", F.lit(0)), F.element_at("neighbours", -1)
-    reason = F.coalesce(
-        F.col("reason"), _range_reason(F.col("samples_n"), first["x"], last["x"], grid)
+    out = F.coalesce(F.col("reason"), _range_reason(F.col("samples_n"), first["x"], last["x"], grid))
+    low = F.lit(False) if max_gap is None else F.col("gap") > F.lit(max_gap)
+    verdict = F.struct(
+        F.when(out.isNull(), F.col("gap")).cast("int").alias("gap"),
+        F.coalesce(out, F.when(low, LOW_RESOLUTION)).alias("reason"),
     )
-    df = df.withColumn("reason", reason)
-    df = df.withColumn("gap", F.when(F.col("reason").isNull(), F.col("gap")).cast("int"))
-    if max_gap is not None:
-        df = df.withColumn("reason", F.coalesce(
-            F.col("reason"), F.when(F.col("gap") > F.lit(max_gap), LOW_RESOLUTION)
-        ))
+    df = add_once(df, "verdict", verdict)
+    df = df.withColumns({"gap": F.col("verdict.gap"), "reason": F.col("verdict.reason")}).drop("verdict")
     vec = F.when(F.col("reason").isNull(), _interpolated(F.col("neighbours"), grid))
     return df.withColumn("vec", vec).drop("neighbours", "samples_n")
 

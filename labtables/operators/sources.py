@@ -23,6 +23,6 @@ def merge_sources(tagged: DataFrame, key: str, keep_repeats: bool = False) -> Da
             .groupBy(key, "source").agg(F.count(F.lit(1)).cast("int").alias("times"))
         )
         lists = F.flatten(F.collect_list(F.array_repeat(F.col("source"), F.col("times"))))
-        return per_source.groupBy(key).agg(F.array_sort(lists).alias("source"))
+        return per_source.groupBy(key).agg(F.sort_array(lists).alias("source"))
     # the set of tags is part of the aggregation buffer: one shuffle, one entry per source and key
-    return tagged.groupBy(key).agg(F.array_sort(F.collect_set("source")).alias("source"))
+    return tagged.groupBy(key).agg(F.sort_array(F.collect_set("source")).alias("source"))

@@ -33,7 +33,7 @@ FROM documents GROUP BY text
 """)
 def source_universe(spark, d):
     merged = table(spark, d, "documents").groupBy("text").agg(
-        F.min("n_chars").alias("n_chars"), F.array_sort(F.collect_set("source")).alias("source")
+        F.min("n_chars").alias("n_chars"), F.sort_array(F.collect_set("source")).alias("source")
     )
     return merged.select(F.md5("text").alias("digest"), "n_chars", F.array_join("source", ",").alias("source"))
 

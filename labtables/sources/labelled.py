@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labtables.functions.plans import add_once
 from labtables.functions.strings import INLINE_BLANK, strip, unix_lines
 
 # Markers of the data block and the headers the tables read.
@@ -67,15 +68,15 @@ def parse_labelled(df: DataFrame, content: str = "content") -> DataFrame:
         .when(F.exists("numbers", lambda n: F.exists(n, lambda v: v.isNull())), BAD_NUMBER)
         .when(missing, MISSING)
     )
-    return (
+    parsed = (
         df.withColumn("text", text)
         .withColumn("header_lines", header_lines)
         .withColumn("headers", F.filter(F.transform("header_lines", _header), stored))
         .withColumn("numbers", F.transform(F.flatten(F.transform(blocks, block_lines)), _numbers))
         .withColumns(columns)
-        .withColumns({"data": F.transform("numbers", row), "reason": reason})
-        .drop(content, "text", "header_lines", "headers", "numbers")
+        .withColumn("data", F.transform("numbers", row))
     )
+    return add_once(parsed, "reason", reason).drop(content, "text", "header_lines", "headers", "numbers")
 
 
 def points(records: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labtables.functions.plans import add_once
 from labtables.functions.strings import strip, unix_lines
 
 # Form of a tag, end of a record, the two properties that are read.
@@ -39,7 +40,7 @@ def parse_tagged(df: DataFrame, content: str = "content") -> DataFrame:
         F.when(F.col("method").isNull() | F.col("peak_lines").isNull(), NO_TAG)
         .when(F.exists("freqs", lambda p: p["freq"].isNull() | p["intensity"].isNull()), BAD_NUMBER)
     )
-    return (
+    parsed = (
         df.withColumn("text", unix_lines(F.col(content)))
         .withColumns({"names": names, "pieces": pieces})
         .withColumns({"method": value(METHOD), "peak_lines": F.split(value(FREQUENCIES), r"\n+")})
@@ -47,6 +48,5 @@ def parse_tagged(df: DataFrame, content: str = "content") -> DataFrame:
             "freqsformat": strip(F.get("peak_lines", F.lit(0))),
             "freqs": F.transform(F.slice("peak_lines", F.lit(2), F.size("peak_lines")), pair),
         })
-        .withColumn("reason", reason)
-        .drop(content, "text", "names", "pieces", "peak_lines")
     )
+    return add_once(parsed, "reason", reason).drop(content, "text", "names", "pieces", "peak_lines")
