@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from labtables.schemas import STATES
 
-BLANK = r"[\x00-\x20]"
+BLANKS = "".join(chr(i) for i in range(0x21))
 INLINE_BLANK = r"[\x00-\x09\x0B-\x20]"
 
 
 def strip(c: Column) -> Column:
     """Cut every control or blank character at both ends (SQL ``trim`` cuts spaces only)."""
-    return F.regexp_replace(c, rf"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def unix_lines(c: Column) -> Column:

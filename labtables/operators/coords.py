@@ -55,7 +55,7 @@ def parse_coords(df: DataFrame, encoded: str = "encoded") -> DataFrame:
         ))
     )
     reason = F.when(bad | (F.size("atoms") < F.col("n_atoms")), SHORT_BLOCK)
-    return add_once(parsed, "reason", reason).drop("text_lines", "n_atoms")
+    return add_once(parsed, atoms=F.col("atoms"), reason=reason).drop("text_lines", "n_atoms")
 
 
 def five_digits(c: Column) -> Column:

@@ -95,7 +95,7 @@ def calibrate(records: DataFrame) -> DataFrame:
 
         return F.transform(d["ys"], sample)
 
-    checked = add_once(records, "reason", F.coalesce(F.col("reason"), F.when(bad, BAD_HEADER)))
+    checked = add_once(records, reason=F.coalesce(F.col("reason"), F.when(bad, BAD_HEADER)))
     return (
         checked.withColumns({"dx": dx, "yf": numbers["YFACTOR"]})
         .withColumn("samples", F.when(
@@ -140,12 +140,11 @@ def _finish(df: DataFrame, grid: Grid, max_gap: int | None) -> DataFrame:
     first, last = F.get("neighbours", F.lit(0)), F.element_at("neighbours", -1)
     out = F.coalesce(F.col("reason"), _range_reason(F.col("samples_n"), first["x"], last["x"], grid))
     low = F.lit(False) if max_gap is None else F.col("gap") > F.lit(max_gap)
-    verdict = F.struct(
-        F.when(out.isNull(), F.col("gap")).cast("int").alias("gap"),
-        F.coalesce(out, F.when(low, LOW_RESOLUTION)).alias("reason"),
+    df = add_once(
+        df,
+        gap=F.when(out.isNull(), F.col("gap")).cast("int"),
+        reason=F.coalesce(out, F.when(low, LOW_RESOLUTION)),
     )
-    df = add_once(df, "verdict", verdict)
-    df = df.withColumns({"gap": F.col("verdict.gap"), "reason": F.col("verdict.reason")}).drop("verdict")
     vec = F.when(F.col("reason").isNull(), _interpolated(F.col("neighbours"), grid))
     return df.withColumn("vec", vec).drop("neighbours", "samples_n")
 

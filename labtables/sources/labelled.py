@@ -17,6 +17,8 @@ BLOCK_OPEN = rf"(?md)^##{INLINE_BLANK}*XYDATA{INLINE_BLANK}*={INLINE_BLANK}*\(X\
 BLOCK_CLOSE = rf"(?md)^##{INLINE_BLANK}*END{INLINE_BLANK}*="
 HEADERS = ("STATE", "FIRSTX", "LASTX", "NPOINTS", "YFACTOR", "XUNITS", "YUNITS")
 
+MANY = 1 << 30
+
 BAD_HEADER_LINE = "header line without ="
 BAD_NUMBER = "bad number in data"
 MISSING = "missing header"
@@ -31,25 +33,28 @@ def _header(line: Column) -> Column:
 
 
 def _numbers(line: Column) -> Column:
-    """Numbers of a data line. A minus also separates, unless it belongs to an exponent."""
-    spaced = strip(F.regexp_replace(line, "(?<![Ee])-", " -"))
-    return F.transform(F.split(spaced, r"\s+"), lambda t: t.try_cast("double"))
+    """Numbers of a data line whose tokens are set apart by spaces."""
+    return F.transform(F.filter(F.split(line, " "), lambda t: t != ""), lambda t: t.try_cast("double"))
 
 
 def parse_labelled(df: DataFrame, content: str = "content") -> DataFrame:
     """Add the header columns, ``data`` (array of x and ys) and ``reason`` to a file scan."""
     # every line ends in \n, the last one too, so each block text starts and ends with \n
-    text = F.concat(F.regexp_replace(unix_lines(F.col(content)), r"\n\z", ""), F.lit("\n"))
+    text = F.when(F.endswith("unix", F.lit("\n")), F.col("unix")).otherwise(F.concat("unix", F.lit("\n")))
     header_lines = F.filter(F.split(F.col("text"), "\n"), lambda l: F.startswith(l, F.lit("##")))
-    blocks = F.slice(F.split(F.col("text"), BLOCK_OPEN), F.lit(2), F.size(F.split(F.col("text"), BLOCK_OPEN)))
+    blocks = F.slice(F.split(F.col("text"), BLOCK_OPEN), 2, MANY)
 
     def block_lines(block: Column) -> Column:
-        inside = F.split(F.get(F.split(block, BLOCK_CLOSE, 2), F.lit(0)), "\n")
-        rows = F.slice(inside, F.lit(2), F.size(inside) - 2)
+        inside = F.get(F.split(block, BLOCK_CLOSE, 2), F.lit(0))
+        # a minus also separates numbers, unless it belongs to an exponent
+        spaced = F.regexp_replace(F.regexp_replace(inside, r"[\t\x0B\f]", " "), "(?<![Ee])-", " -")
+        # without the rest of the opening line and what follows the last line end
+        cut = F.substring(spaced, F.lit(2), F.length(spaced) - 2)
+        rows = F.when(F.length(spaced) > 1, F.split(cut, "\n")).otherwise(F.array().cast("array<string>"))
         return F.filter(rows, lambda l: ~F.startswith(l, F.lit("##")))
 
     def row(n: Column) -> Column:
-        return F.struct(F.get(n, F.lit(0)).alias("x"), F.slice(n, F.lit(2), F.size(n)).alias("ys"))
+        return F.struct(F.get(n, F.lit(0)).alias("x"), F.slice(n, 2, MANY).alias("ys"))
 
     def stored(h: Column) -> Column:
         return (h["name"] != "END") & ~((h["name"] == "XYDATA") & (h["value"] == "(X++(Y..Y))"))
@@ -65,18 +70,21 @@ def parse_labelled(df: DataFrame, content: str = "content") -> DataFrame:
         missing = missing | r
     reason = (
         F.when(F.exists("header_lines", lambda l: F.instr(l, "=") == 0), BAD_HEADER_LINE)
-        .when(F.exists("numbers", lambda n: F.exists(n, lambda v: v.isNull())), BAD_NUMBER)
+        .when(F.exists("numbers", lambda n: (F.size(n) == 0) | F.exists(n, lambda v: v.isNull())), BAD_NUMBER)
         .when(missing, MISSING)
     )
     parsed = (
-        df.withColumn("text", text)
+        df.withColumn("unix", unix_lines(F.col(content)))
+        .withColumn("text", text)
         .withColumn("header_lines", header_lines)
         .withColumn("headers", F.filter(F.transform("header_lines", _header), stored))
         .withColumn("numbers", F.transform(F.flatten(F.transform(blocks, block_lines)), _numbers))
         .withColumns(columns)
-        .withColumn("data", F.transform("numbers", row))
     )
-    return add_once(parsed, "reason", reason).drop(content, "text", "header_lines", "headers", "numbers")
+    once = {n: F.col(n) for n in HEADERS}
+    return add_once(parsed, **once, data=F.transform("numbers", row), reason=reason).drop(
+        content, "unix", "text", "header_lines", "headers", "numbers"
+    )
 
 
 def points(records: DataFrame, keys: list[str]) -> DataFrame:

@@ -49,4 +49,6 @@ def parse_tagged(df: DataFrame, content: str = "content") -> DataFrame:
             "freqs": F.transform(F.slice("peak_lines", F.lit(2), F.size("peak_lines")), pair),
         })
     )
-    return add_once(parsed, "reason", reason).drop(content, "text", "names", "pieces", "peak_lines")
+    return add_once(parsed, freqs=F.col("freqs"), reason=reason).drop(
+        content, "text", "names", "pieces", "peak_lines"
+    )
