@@ -19,7 +19,7 @@ def strip(c: Column) -> Column:
 
 
 def unix_lines(c: Column) -> Column:
-    return F.regexp_replace(c, r"\r\n?", "\n")
+    return F.when(F.contains(c, F.lit("\r")), F.regexp_replace(c, r"\r\n?", "\n")).otherwise(c)
 
 
 def tokens(c: Column) -> Column:

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from labtables.functions.plans import add_once
 from labtables.schemas import GRID_MAX, GRID_MIN, GRID_STEP, MAX_GAP
 
+# The units that are converted.
+MICROMETERS, ABSORBANCE = "MICROMETERS", "ABSORBANCE"
+
 TOO_FEW = "too few samples"
 OUT_OF_RANGE = "out of range"
 NO_RIGHT = "no right neighbour"
@@ -48,33 +51,33 @@ class Grid:
     def points(self) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(self.size - 1)), lambda k: self.point(k))
 
-    def cell(self, x: Column) -> Column:
-        """Number of grid points <= x, exact also where the division rounds up or down."""
-        low, high = float(self.start), self.last()
-        guess = F.floor((x - F.lit(low)) / F.lit(float(self.step))) + F.lit(1)
-        inner = (
-            F.when(x < self.point(guess - 1), guess - 1)
-            .when(x >= self.point(guess), guess + 1)
-            .otherwise(guess)
-        )
+    def guess(self, x: Column) -> Column:
+        """Number of grid points <= x up to the rounding of a division."""
         # the ends first: an infinite x must not reach the floor
         return (
-            F.when(x < F.lit(low), F.lit(0))
-            .when(x >= F.lit(high), F.lit(self.size))
-            .otherwise(inner)
-            .cast("int")
+            F.when(x < F.lit(float(self.start)), F.lit(0))
+            .when(x >= F.lit(self.last()), F.lit(self.size))
+            .otherwise(F.floor((x - F.lit(float(self.start))) / F.lit(float(self.step))).cast("int") + 1)
+        )
+
+    def settle(self, x: Column, guess: Column) -> Column:
+        """The exact number of grid points <= x from a guess one off at most."""
+        return (
+            F.when((guess > 0) & (x < self.point(guess - 1)), guess - 1)
+            .when((guess < self.size) & (x >= self.point(guess)), guess + 1)
+            .otherwise(guess)
         )
 
 
 def calibrated(x0: Column, j: Column, y: Column, dx: Column, yfactor: Column,
-               xunits: Column, yunits: Column) -> tuple[Column, Column]:
-    """Physical (x, y) of sample j of a data line: step, unit of x, factor, unit of y."""
+               wavelength: Column, absorbance: Column) -> tuple[Column, Column]:
+    """Physical (x, y) of sample j of a data line; the flags tell the units of x and y."""
     x = x0 + dx * j
     inverse = F.coalesce(F.try_divide(F.lit(10000.0), x), F.lit(float("inf")))
     scaled = y * yfactor
     return (
-        F.when(xunits == "MICROMETERS", inverse).otherwise(x),
-        F.when(yunits == "ABSORBANCE", F.lit(1.0) - F.pow(F.lit(10.0), -scaled))
+        F.when(wavelength, inverse).otherwise(x),
+        F.when(absorbance, F.lit(1.0) - F.pow(F.lit(10.0), -scaled))
         .otherwise(F.lit(1.0) - scaled),
     )
 
@@ -90,18 +93,23 @@ def calibrate(records: DataFrame) -> DataFrame:
 
     def line(d: Column) -> Column:
         def sample(y: Column, j: Column) -> Column:
-            cx, cy = calibrated(d["x"], j, y, F.col("dx"), F.col("yf"), F.col("XUNITS"), F.col("YUNITS"))
+            cx, cy = calibrated(d["x"], j, y, F.col("dx"), F.col("yf"), F.col("micro"), F.col("absorb"))
             return F.struct(cx.alias("x"), cy.alias("y"))
 
         return F.transform(d["ys"], sample)
 
     checked = add_once(records, reason=F.coalesce(F.col("reason"), F.when(bad, BAD_HEADER)))
     return (
-        checked.withColumns({"dx": dx, "yf": numbers["YFACTOR"]})
+        checked.withColumns({
+            "dx": dx,
+            "yf": numbers["YFACTOR"],
+            "micro": F.col("XUNITS") == MICROMETERS,
+            "absorb": F.col("YUNITS") == ABSORBANCE,
+        })
         .withColumn("samples", F.when(
             F.col("reason").isNull(), F.sort_array(F.flatten(F.transform("data", line)))
         ))
-        .drop("dx", "yf")
+        .drop("dx", "yf", "micro", "absorb")
     )
 
 
@@ -155,8 +163,11 @@ def resample_files(df: DataFrame, grid: Grid = Grid(), max_gap: int | None = MAX
     Runs inside the scan stage: a file is one row from reading to vector.
     """
     n = grid.size
-    placed = F.transform("samples", lambda s: F.struct(
-        grid.cell(s["x"]).alias("cell"), s["x"].alias("x"), s["y"].alias("y")
+    guessed = F.transform("samples", lambda s: F.struct(
+        grid.guess(s["x"]).alias("guess"), s["x"].alias("x"), s["y"].alias("y")
+    ))
+    placed = F.transform(guessed, lambda s: F.struct(
+        grid.settle(s["x"], s["guess"]).alias("cell"), s["x"].alias("x"), s["y"].alias("y")
     ))
     # sample i (from 0, the first is not counted) in cell c stands for i consumed samples
     lead = F.transform("neighbours", lambda s, i: F.when(s["cell"] < n, i - s["cell"]))
@@ -174,7 +185,8 @@ def cells(points: DataFrame, keys: Sequence[str], x: str, y: str, grid: Grid) ->
     sample = F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     return (
         points.select(*keys, sample.alias("s"))
-        .withColumn("cell", grid.cell(F.col("s.x")))
+        .withColumn("guess", grid.guess(F.col("s.x")))
+        .withColumn("cell", grid.settle(F.col("s.x"), F.col("guess")))
         .groupBy(*keys, "cell")
         .agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count(F.lit(1)).alias("n"))
     )

@@ -65,11 +65,9 @@ FROM (SELECT *, l_quantity + 0.25::DOUBLE * l_linenumber AS px, l_tax * (l_disco
   FROM lineitem)
 """)
 def calibrate_points(spark, d):
-    xunits = F.when(F.col("l_linestatus") == "F", "MICROMETERS").otherwise("1/CM")
-    yunits = F.when(F.col("l_returnflag") == "R", "ABSORBANCE").otherwise("TRANSMITTANCE")
     x, y = calibrated(
         F.col("l_quantity"), F.col("l_linenumber"), F.col("l_tax"), F.lit(0.25), F.col("l_discount") + F.lit(0.5),
-        xunits, yunits,
+        F.col("l_linestatus") == "F", F.col("l_returnflag") == "R",
     )
     return table(spark, d, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.round(x, 6).alias("x"), F.round(y, 6).alias("y")

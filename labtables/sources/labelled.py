@@ -10,80 +10,85 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labtables.functions.plans import add_once
-from labtables.functions.strings import INLINE_BLANK, strip, unix_lines
+from labtables.functions.strings import INLINE_BLANK, unix_lines
 
-# Markers of the data block and the headers the tables read.
-BLOCK_OPEN = rf"(?md)^##{INLINE_BLANK}*XYDATA{INLINE_BLANK}*={INLINE_BLANK}*\(X\+\+\(Y\.\.Y\)\){INLINE_BLANK}*$"
-BLOCK_CLOSE = rf"(?md)^##{INLINE_BLANK}*END{INLINE_BLANK}*="
+# The headers the tables read and the marks of the data block.
 HEADERS = ("STATE", "FIRSTX", "LASTX", "NPOINTS", "YFACTOR", "XUNITS", "YUNITS")
+_B = rf"{INLINE_BLANK}*"
+BLOCK_OPEN = rf"##{_B}XYDATA{_B}={_B}\(X\+\+\(Y\.\.Y\)\){_B}"
+BLOCK_CLOSE = rf"##{_B}END{_B}="
 
-MANY = 1 << 30
+# What lies between an opening line and the closing line or the end of the file.
+BLOCK = rf"(?s)(?:^|\n){BLOCK_OPEN}(?=\n)(.*?)(?=\n{BLOCK_CLOSE}|\n?\z)"
+# Name and trimmed value of each header that is read.
+HEADER = rf"\n##{_B}({'|'.join(HEADERS)}){_B}={_B}([^\n]*?){_B}(?=\n|\z)"
 
 BAD_HEADER_LINE = "header line without ="
 BAD_NUMBER = "bad number in data"
 MISSING = "missing header"
 
 
-def _header(line: Column) -> Column:
-    at = F.instr(line, "=")
-    return F.struct(
-        strip(F.substring(line, F.lit(3), F.greatest(at - 3, F.lit(0)))).alias("name"),
-        strip(F.substring(line, at + 1, F.length(line))).alias("value"),
+def _spaced(block: Column) -> Column:
+    """Numbers set apart by spaces; a minus also separates, unless it belongs to an exponent."""
+    has_blanks = F.contains(block, F.lit("\t")) | F.contains(block, F.lit("\x0b")) | F.contains(block, F.lit("\f"))
+    out = F.when(has_blanks, F.translate(block, "\t\x0b\f", "   ")).otherwise(block)
+    for text, with_space in (("-", " -"), ("E -", "E-"), ("e -", "e-")):
+        out = F.replace(out, F.lit(text), F.lit(with_space))
+    return out
+
+
+def _data_lines(block: Column) -> Column:
+    """Data lines of a block, whose text is empty or starts with the end of the opening line."""
+    rows = F.split(F.substring(_spaced(block), F.lit(2), F.length(block) * 2), "\n")
+    return F.when(block != "", F.filter(rows, lambda l: ~F.startswith(l, F.lit("##")))).otherwise(
+        F.array().cast("array<string>")
     )
 
 
 def _numbers(line: Column) -> Column:
-    """Numbers of a data line whose tokens are set apart by spaces."""
     return F.transform(F.filter(F.split(line, " "), lambda t: t != ""), lambda t: t.try_cast("double"))
 
 
 def parse_labelled(df: DataFrame, content: str = "content") -> DataFrame:
     """Add the header columns, ``data`` (array of x and ys) and ``reason`` to a file scan."""
-    # every line ends in \n, the last one too, so each block text starts and ends with \n
-    text = F.when(F.endswith("unix", F.lit("\n")), F.col("unix")).otherwise(F.concat("unix", F.lit("\n")))
-    header_lines = F.filter(F.split(F.col("text"), "\n"), lambda l: F.startswith(l, F.lit("##")))
-    blocks = F.slice(F.split(F.col("text"), BLOCK_OPEN), 2, MANY)
-
-    def block_lines(block: Column) -> Column:
-        inside = F.get(F.split(block, BLOCK_CLOSE, 2), F.lit(0))
-        # a minus also separates numbers, unless it belongs to an exponent
-        spaced = F.regexp_replace(F.regexp_replace(inside, r"[\t\x0B\f]", " "), "(?<![Ee])-", " -")
-        # without the rest of the opening line and what follows the last line end
-        cut = F.substring(spaced, F.lit(2), F.length(spaced) - 2)
-        rows = F.when(F.length(spaced) > 1, F.split(cut, "\n")).otherwise(F.array().cast("array<string>"))
-        return F.filter(rows, lambda l: ~F.startswith(l, F.lit("##")))
-
-    def row(n: Column) -> Column:
-        return F.struct(F.get(n, F.lit(0)).alias("x"), F.slice(n, 2, MANY).alias("ys"))
+    header_lines = F.filter(F.split("text", "\n"), lambda l: F.startswith(l, F.lit("##")))
+    header_text = F.concat(F.lit("\n"), F.array_join("header_lines", "\n"))
 
-    def stored(h: Column) -> Column:
-        return (h["name"] != "END") & ~((h["name"] == "XYDATA") & (h["value"] == "(X++(Y..Y))"))
+    def found(group: int) -> Column:
+        return F.reverse(F.regexp_extract_all("header_text", F.lit(HEADER), F.lit(group)))
 
     def last_value(name: str) -> Column:
-        return F.try_element_at(F.filter("headers", lambda h: h["name"] == name), F.lit(-1))["value"]
+        at = F.array_position("names", name)
+        return F.when(at > 0, F.get("values", at - 1))
+
+    def row(n: Column) -> Column:
+        return F.struct(F.get(n, F.lit(0)).alias("x"), F.slice(n, F.lit(2), F.size(n)).alias("ys"))
 
     columns = {n: last_value(n) for n in HEADERS}
     columns["STATE"] = F.coalesce(columns["STATE"], F.lit(""))
-    required = [F.col(n).isNull() for n in HEADERS if n != "STATE"]
-    missing = required[0]
-    for r in required[1:]:
-        missing = missing | r
+    missing = F.array_contains(F.array(*[F.col(n).isNull() for n in HEADERS if n != "STATE"]), True)
+    bad_line = F.exists("numbers", lambda n: (F.size(n) == 0) | F.exists(n, lambda v: v.isNull()))
     reason = (
-        F.when(F.exists("header_lines", lambda l: F.instr(l, "=") == 0), BAD_HEADER_LINE)
-        .when(F.exists("numbers", lambda n: (F.size(n) == 0) | F.exists(n, lambda v: v.isNull())), BAD_NUMBER)
+        F.when(F.exists("header_lines", lambda l: ~F.contains(l, F.lit("="))), BAD_HEADER_LINE)
+        .when(bad_line, BAD_NUMBER)
         .when(missing, MISSING)
     )
     parsed = (
-        df.withColumn("unix", unix_lines(F.col(content)))
-        .withColumn("text", text)
-        .withColumn("header_lines", header_lines)
-        .withColumn("headers", F.filter(F.transform("header_lines", _header), stored))
-        .withColumn("numbers", F.transform(F.flatten(F.transform(blocks, block_lines)), _numbers))
+        df.withColumn("text", unix_lines(F.col(content)))
+        .withColumns({
+            "header_lines": header_lines,
+            "blocks": F.regexp_extract_all("text", F.lit(BLOCK), F.lit(1)),
+        })
+        .withColumns({
+            "header_text": header_text,
+            "numbers": F.transform(F.flatten(F.transform("blocks", _data_lines)), _numbers),
+        })
+        .withColumns({"names": found(1), "values": found(2)})
         .withColumns(columns)
     )
-    once = {n: F.col(n) for n in HEADERS}
-    return add_once(parsed, **once, data=F.transform("numbers", row), reason=reason).drop(
-        content, "unix", "text", "header_lines", "headers", "numbers"
+    parts = {n: F.col(n) for n in HEADERS}
+    return add_once(parsed, **parts, data=F.transform("numbers", row), reason=reason).drop(
+        content, "text", "header_lines", "blocks", "header_text", "numbers", "names", "values"
     )
 
 

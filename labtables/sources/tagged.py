@@ -10,24 +10,25 @@ from labtables.functions.strings import strip, unix_lines
 
 # Form of a tag, end of a record, the two properties that are read.
 TAG = r"> <([\w.]+)>"
-RECORD_END = r"(?s)\$\$\$\$.*"
+RECORD_END = "$$$$"
 METHOD = "METHOD"
 FREQUENCIES = "IR.FREQUENCIES"
 
+# A tag and what follows it up to the next one.
+PROPERTY = rf"(?s){TAG}(.*?)(?={TAG}|\z)"
+
 NO_TAG = "missing property"
 BAD_NUMBER = "bad number in property"
 
 
 def parse_tagged(df: DataFrame, content: str = "content") -> DataFrame:
     """Add method, freqsformat, freqs and ``reason``; the first occurrence of a tag counts."""
-    names = F.regexp_extract_all(F.col("text"), F.lit(TAG), F.lit(1))
-    pieces = F.split(F.col("text"), TAG)
+    names = F.regexp_extract_all(F.col("text"), F.lit(PROPERTY), F.lit(1))
+    pieces = F.regexp_extract_all(F.col("text"), F.lit(PROPERTY), F.lit(2))
 
     def value(name: str) -> Column:
         at = F.array_position("names", name)
-        # piece 1 is the text before the first tag
-        piece = F.get("pieces", at)
-        return F.when(at > 0, strip(F.regexp_replace(piece, RECORD_END, "")))
+        return F.when(at > 0, strip(F.substring_index(F.get("pieces", at - 1), RECORD_END, 1)))
 
     def pair(line: Column) -> Column:
         parts = F.split(strip(line), r"\s+", 2)
