@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -27,16 +28,18 @@ def get_session(master: str | None = None, app: str = "labtables", **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="labtables-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder all executors share.
 
     The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset (tests on one
     machine) a local temporary folder is named for the session.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="labtables-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

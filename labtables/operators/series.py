@@ -230,6 +230,6 @@ def to_points(df: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
     """Vectors back as rows (keys, x, y) along the grid."""
     return (
         df.where(F.col("vec").isNotNull())
-        .select(*keys, F.posexplode("vec").alias("k", "y"))
-        .select(*keys, grid.point(F.col("k")).alias("x"), "y")
+        .select(*keys, F.posexplode("vec").alias("grid_index", "y"))
+        .select(*keys, grid.point(F.col("grid_index")).alias("x"), "y")
     )

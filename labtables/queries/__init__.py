@@ -1,6 +1,13 @@
 """All registered queries; importing the modules fills the two dictionaries."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from labtables.queries import documents, pages, parsing, relational, series, splits
 from labtables.queries.base import ORACLES, QUERIES
 
+# the Python functions given to operators travel with the job; executors need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["ORACLES", "QUERIES", "documents", "pages", "parsing", "relational", "series", "splits"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from labtables.functions.plans import spread
 from labtables.operators.quality import count_reasons
 from labtables.operators.series import Grid, calibrated, resample_rows, to_points
 from labtables.plans.tables import measured, measured_series
@@ -129,7 +130,7 @@ def series_files(spark, d):
         F.lit("##XYDATA=(X++(Y..Y))\n"), block, F.lit("\n##END=\n"),
     )
     name = F.concat(F.col("c_custkey").cast("string"), F.lit("-"), F.col("c_nationkey").cast("string"), F.lit(".jdx"))
-    return table(spark, d, "customer").select(name.alias("file"), content.alias("content"))
+    return spread(table(spark, d, "customer")).select(name.alias("file"), content.alias("content"))
 
 
 FILE_PTS = """
