@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder all executors share.
 
     The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset (tests on one
-    machine) a local temporary folder is named for the session.
+    machine) a local temporary folder serves instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -10,19 +10,23 @@ def tag(df: DataFrame, source: str) -> DataFrame:
     return df.withColumn("source", F.lit(source))
 
 
-def merge_sources(tagged: DataFrame, key: str, keep_repeats: bool = False) -> DataFrame:
-    """(key, sorted source tags) from rows (key, source[, line]).
+def merge_sources(tagged: DataFrame, key: str) -> DataFrame:
+    """(key, sorted source tags) from rows (key, source).
 
-    Repeated rows fall together first, combined on the map side, so that a group of copies costs one
-    row per task; the list of a key then has one entry per source. With ``keep_repeats`` a source
-    counts once per distinct ``line`` it gave the key in.
+    The set of tags is the aggregation buffer: copies fall together before the shuffle, and a key
+    never holds more than one entry per source.
     """
-    if keep_repeats:
-        per_source = (
-            tagged.select(key, "source", "line").distinct()
-            .groupBy(key, "source").agg(F.count(F.lit(1)).cast("int").alias("times"))
-        )
-        lists = F.flatten(F.collect_list(F.array_repeat(F.col("source"), F.col("times"))))
-        return per_source.groupBy(key).agg(F.sort_array(lists).alias("source"))
-    # the set of tags is part of the aggregation buffer: one shuffle, one entry per source and key
     return tagged.groupBy(key).agg(F.sort_array(F.collect_set("source")).alias("source"))
+
+
+def count_sources(tagged: DataFrame, key: str, line: str) -> DataFrame:
+    """(key, sources as (source, times)): how many distinct lines of each source gave the key.
+
+    Repeats are counts, not repeated tags, so the list stays as short as the number of sources.
+    """
+    per_source = (
+        tagged.select(key, "source", line).distinct()
+        .groupBy(key, "source").agg(F.count(F.lit(1)).alias("times"))
+    )
+    entries = F.sort_array(F.collect_list(F.struct("source", "times")))
+    return per_source.groupBy(key).agg(entries.alias("sources"))

@@ -9,12 +9,13 @@ from pyspark.sql import types as T
 from labtables.config import shared_dir
 from labtables.operators import documents as docs
 from labtables.operators.enrich import enrich
-from labtables.operators.keys import first_of_each
+from labtables.operators.keys import drop_matching, first_of_each
 from labtables.operators.skew import collect_parts
-from labtables.operators.sources import merge_sources
+from labtables.operators.sources import count_sources, merge_sources
 from labtables.plans.registry import summary
 from labtables.plans.tables import universe
 from labtables.queries.base import query, table
+from labtables.sinks.files import write_documents
 from labtables.sinks.store import insert_ignoring_duplicates, new_documents
 
 
@@ -178,6 +179,34 @@ def docs_full_merge(spark, d):
     )
 
 
+@query("source_line_counts", """
+SELECT p_name AS smiles, string_agg(p_brand || ':' || times, ',' ORDER BY p_brand) AS sources
+FROM (SELECT p_name, p_brand, count(DISTINCT (p_type, p_size)) AS times FROM part GROUP BY p_name, p_brand)
+GROUP BY p_name
+""")
+def source_line_counts(spark, d):
+    lines = table(spark, d, "part").select(
+        F.col("p_name").alias("smiles"), F.col("p_brand").alias("source"), F.struct("p_type", "p_size").alias("line")
+    )
+    counted = count_sources(lines, "smiles", "line")
+    text = F.transform("sources", lambda s: F.concat_ws(":", s["source"], s["times"].cast("string")))
+    return counted.select("smiles", F.array_join(text, ",").alias("sources"))
+
+
+@query("document_roundtrip", """
+SELECT DISTINCT id AS _id, 0::BIGINT AS part FROM (
+  SELECT CAST(o_custkey AS VARCHAR) AS id FROM orders
+  UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)
+WHERE id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events)
+""")
+def document_roundtrip(spark, d):
+    """Documents written and read back, without those whose id is on the list of stored ones."""
+    path = shared_dir(spark, "documents")
+    write_documents(docs.documents(*document_inputs(spark, d)), path)
+    stored = table(spark, d, "events").select(F.col("user_id").cast("string").alias("_id"))
+    return drop_matching(spark.read.parquet(path), stored, "_id").select("_id", "part")
+
+
 @query("insert_ignore_duplicates", """
 SELECT c_custkey AS _id, c_name FROM customer
 """)

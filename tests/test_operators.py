@@ -15,7 +15,8 @@ from labtables.operators import coords, keys, pages, quality, splits
 from labtables.operators.documents import merge_parts
 from labtables.operators.enrich import enrich, enrich_unique, read_dictionary
 from labtables.operators.skew import collect_parts, hot_keys
-from labtables.operators.sources import merge_sources
+from labtables.operators.sources import count_sources, merge_sources
+from labtables.sinks.files import write_coords
 from labtables.sources import text
 
 
@@ -104,7 +105,8 @@ def test_sources(spark):
     rows = [("a", "s2", "a 1"), ("a", "s2", "a 1"), ("a", "s2", "a 2"), ("a", "s1", "a"), ("b", "s1", "b")]
     df = df_of(spark, rows, "k string, source string, line string")
     assert dict(map(tuple, merge_sources(df, "k").collect())) == {"a": ["s1", "s2"], "b": ["s1"]}
-    assert dict(map(tuple, merge_sources(df, "k", True).collect())) == {"a": ["s1", "s2", "s2"], "b": ["s1"]}
+    counted = {r["k"]: [tuple(s) for s in r["sources"]] for r in count_sources(df, "k", "line").collect()}
+    assert counted == {"a": [("s1", 1), ("s2", 2)], "b": [("s1", 1)]}
 
 
 @given(st.lists(st.integers(0, 9), min_size=1, max_size=5).filter(any))
@@ -204,6 +206,12 @@ def test_coordinates(spark):
     assert coords_of(spark, encode(block([(1, 2, 3, "H")], 40))).first()["reason"] == "bad atom block"
 
 
+def test_coordinate_lines_are_written(spark, tmp_path):
+    df = coords_of(spark, encode(block([(1.5, 0, 2, "C")])))
+    write_coords(df, str(tmp_path / "out"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()] == ["k\t1;6,1.5,0,2;"]
+
+
 def test_five_digits_print_as_c_does(spark):
     rng = random.Random(3)
     values = [rng.choice([1, -1]) * rng.uniform(0, 10) * 10.0 ** rng.randrange(-7, 8) for _ in range(300)]
