@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -40,9 +42,17 @@ def enrich(df: DataFrame, key: str, fn: Enricher, schema: T.StructType) -> DataF
     return df.join(enrich_unique(keys, key, fn, schema), key)
 
 
+def matches(text: Column, pattern: str) -> Column:
+    """Regular-expression search; plain words and alternatives of them need no regular expression."""
+    words = pattern.split("|")
+    if all(re.fullmatch(r"[\w \-/@:,;<>=\"']+", w) for w in words):
+        return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
+    return F.rlike(text, F.lit(pattern))
+
+
 def pattern_flags(text: Column, dictionary: Iterable[tuple[str, str]]) -> Column:
     """Struct with one boolean per (pattern, name): does the text match the pattern?"""
-    return F.struct(*[F.rlike(text, F.lit(p)).alias(n) for p, n in dictionary])
+    return F.struct(*[matches(text, p).alias(n) for p, n in dictionary])
 
 
 def read_dictionary(parsed: DataFrame) -> list[tuple[str, str]]:

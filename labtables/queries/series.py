@@ -53,8 +53,9 @@ PRICE_PTS = "WITH pts AS (SELECT l_suppkey AS k, l_extendedprice AS x, l_quantit
 
 
 def price_series(spark, d, max_gap=None):
+    samples = table(spark, d, "lineitem").select("l_suppkey", "l_extendedprice", "l_quantity")
     return resample_rows(
-        table(spark, d, "lineitem"), ["l_suppkey"], "l_extendedprice", "l_quantity", PRICE_GRID, max_gap
+        spread(samples), ["l_suppkey"], "l_extendedprice", "l_quantity", PRICE_GRID, max_gap
     )
 
 

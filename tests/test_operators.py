@@ -2,6 +2,7 @@
 
 import base64
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from labtables.functions.hashing import cutoffs
 from labtables.operators import coords, keys, pages, quality, splits
 from labtables.operators.documents import merge_parts
-from labtables.operators.enrich import enrich, enrich_unique, read_dictionary
+from labtables.operators.enrich import enrich, enrich_unique, matches, read_dictionary
 from labtables.operators.skew import collect_parts, hot_keys
 from labtables.operators.sources import count_sources, merge_sources
 from labtables.sinks.files import write_coords
@@ -158,6 +159,13 @@ def test_enrichment_drops_failing_keys(spark):
     assert [tuple(r) for r in enrich_unique(unique, "k", fn, schema).collect()] == [("aa", 2)]
 
 
+@pytest.mark.parametrize("pattern", ["sch", "a|sch", "a.c", "[0-9]{2}", "a\\|b", "", "|x"])
+def test_patterns_match_as_regular_expressions(spark, pattern):
+    texts = ["", "a", "abc", "schule", "a|b", "x12", "1"]
+    got = df_of(spark, [(t,) for t in texts], "t string").select("t", matches(F.col("t"), pattern).alias("m")).collect()
+    assert {r["t"]: r["m"] for r in got} == {t: re.search(pattern, t) is not None for t in texts}
+
+
 def test_page_links(spark):
     link = '<a href="/cgi/cbook.cgi?ID=C1&amp;Units=SI&amp;Type=IR-SPEC&amp;Index={}#IR-SPEC">'
     html = "2d Mol file" + "".join(link.format(i) for i in (3, 0, 3, 1000, "01")) + link.format(5).replace("C1", "C2")

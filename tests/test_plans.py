@@ -29,7 +29,7 @@ def test_no_shuffle(spark, name):
     ("manifest_latest", 1), ("source_universe", 1), ("distinct_rows", 1),
 ])
 def test_number_of_shuffles(spark, name, most):
-    assert len(re.findall(r"Exchange (?:hash|range|round)", plan(spark, name))) <= most
+    assert len(re.findall(r"Exchange (?:hash|range)", plan(spark, name))) <= most
 
 
 def test_cells_are_combined_before_the_shuffle(spark):
