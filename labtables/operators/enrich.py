@@ -14,12 +14,16 @@ from pyspark.sql import types as T
 Enricher = Callable[[pd.Series], pd.DataFrame]
 
 
-def enrich_unique(df: DataFrame, key: str, fn: Enricher, schema: T.StructType) -> DataFrame:
+def enrich_unique(df: DataFrame, key: str, fn: Enricher, schema: T.StructType,
+                  partitions: int | None = None) -> DataFrame:
     """Add the columns of ``schema`` to rows whose key is unique; failing keys are dropped.
 
     ``fn`` gets a batch of keys and returns flat columns under the same index, without the failing
-    ones. Only the key column goes to Python.
+    ones. Only the key column goes to Python. ``partitions`` deals the rows out to that many tasks
+    where the function is slow; a shuffle before may have left few large ones.
     """
+    if partitions:
+        df = df.repartition(partitions)
     ok = T.StructField("enriched", T.BooleanType())
     returned = T.StructType([*schema.fields, ok])
 
@@ -36,10 +40,11 @@ def enrich_unique(df: DataFrame, key: str, fn: Enricher, schema: T.StructType) -
     )
 
 
-def enrich(df: DataFrame, key: str, fn: Enricher, schema: T.StructType) -> DataFrame:
+def enrich(df: DataFrame, key: str, fn: Enricher, schema: T.StructType,
+           partitions: int | None = None) -> DataFrame:
     """As ``enrich_unique`` for repeated keys: the function sees each key once."""
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return df.join(enrich_unique(keys, key, fn, schema), key)
+    return df.join(enrich_unique(keys, key, fn, schema, partitions), key)
 
 
 def matches(text: Column, pattern: str) -> Column:

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 Check = Callable[[pd.Series], pd.Series]
 
 
-def filter_valid(df: DataFrame, key: str, check: Column | Check) -> DataFrame:
+def filter_valid(df: DataFrame, key: str, check: Column | Check, partitions: int | None = None) -> DataFrame:
     """Rows whose key passes the check.
 
     A Column is a plain filter. A vectorised Python function runs once per distinct key, in Arrow
-    batches, and its survivors select the rows by a semi join.
+    batches, and its survivors select the rows by a semi join. ``partitions`` deals the keys out to
+    that many tasks where the function is slow.
     """
     if isinstance(check, Column):
         return df.where(check)
@@ -25,6 +26,8 @@ def filter_valid(df: DataFrame, key: str, check: Column | Check) -> DataFrame:
             yield batch[check(batch[key]).to_numpy(dtype=bool)]
 
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    if partitions:
+        keys = keys.repartition(partitions)
     return df.join(keys.mapInPandas(passing, keys.schema), key, "left_semi")
 
 

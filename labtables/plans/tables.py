@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from labtables.operators.splits import with_levels, with_usage
 from labtables.plans.registry import Registry, TableDef
 from labtables.sources.labelled import parse_labelled
 from labtables.sources.tagged import parse_tagged
-from labtables.sources.text import files, lines, parse_aliases, parse_pairs, tagged_lines
+from labtables.sources.text import files, lines, parse_aliases, parse_pairs, split_rejects, tagged_lines
 
 BAD_NAME = "bad file name"
 
@@ -41,14 +42,17 @@ class Inputs:
     grid: Grid = field(default_factory=Grid)
     max_gap: int = schemas.MAX_GAP
     seed: int = 0
+    check_tasks: int | None = None
+    enrich_tasks: int | None = None
 
 
-def structure_map(pairs: DataFrame, aliases: DataFrame, check: Column | Check) -> DataFrame:
-    """Checked structures plus their aliases as (mid, smiles)."""
+def structure_map(pairs: DataFrame, aliases: DataFrame, check: Column | Check,
+                  tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(checked structures plus their aliases as (mid, smiles), aliases of unknown structures)."""
     parsed = parse_pairs(pairs).where(F.col("reason").isNull()).select("mid", "smiles")
-    valid = filter_valid(parsed, "smiles", check)
+    valid = filter_valid(parsed, "smiles", check, tasks)
     dup = parse_aliases(aliases).where(F.col("reason").isNull()).select("mid", "dupof")
-    return resolve_aliases(dup, valid)[0]
+    return resolve_aliases(dup, valid)
 
 
 def measured_series(content: DataFrame, grid: Grid, max_gap: int | None) -> DataFrame:
@@ -81,7 +85,7 @@ def computed(content: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def universe(mapping: DataFrame, external: DataFrame | None, own_source: str, fn: Enricher,
-             flags: tuple[str, ...]) -> DataFrame:
+             flags: tuple[str, ...], tasks: int | None = None) -> DataFrame:
     """One row per structure of any source, with mass, flags and sorted sources.
 
     Sources are merged first, so the function sees each structure once.
@@ -95,14 +99,15 @@ def universe(mapping: DataFrame, external: DataFrame | None, own_source: str, fn
     flat = T.StructType([
         T.StructField("mass", T.DoubleType()), *schemas.flag_struct(flags).fields
     ])
-    return enrich_unique(merged, "smiles", fn, flat).select("smiles", "mass", fold_flags(flags), "source")
+    return enrich_unique(merged, "smiles", fn, flat, tasks).select("smiles", "mass", fold_flags(flags), "source")
 
 
 def tables(inputs: Inputs) -> list[TableDef]:
     """Definitions of the five tables over raw files."""
 
     def build_map(spark: SparkSession, _: dict) -> DataFrame:
-        return structure_map(lines(spark, inputs.structures), lines(spark, inputs.aliases), inputs.check)
+        pairs, aliases = lines(spark, inputs.structures), lines(spark, inputs.aliases)
+        return structure_map(pairs, aliases, inputs.check, inputs.check_tasks)[0]
 
     def build_measured(spark: SparkSession, t: dict) -> DataFrame:
         return measured(files(spark, inputs.series_dir), t["structure_map"], inputs.grid, inputs.max_gap)
@@ -112,7 +117,9 @@ def tables(inputs: Inputs) -> list[TableDef]:
 
     def build_universe(spark: SparkSession, t: dict) -> DataFrame:
         external = tagged_lines(spark, inputs.universe_dir) if inputs.universe_dir else None
-        return universe(t["structure_map"], external, inputs.own_source, inputs.enrich, inputs.flags)
+        return universe(
+            t["structure_map"], external, inputs.own_source, inputs.enrich, inputs.flags, inputs.enrich_tasks
+        )
 
     def build_usage(spark: SparkSession, t: dict) -> DataFrame:
         return with_usage(with_levels(t["measured"], t["structure_map"], t["universe"]), inputs.seed)
@@ -126,6 +133,28 @@ def tables(inputs: Inputs) -> list[TableDef]:
     ]
 
 
+def rejects_table(inputs: Inputs) -> TableDef:
+    """Every line and file that did not make it into a table, as (input, line, reason)."""
+
+    def bad(df: DataFrame, name: str, line: str) -> DataFrame:
+        return split_rejects(df, [], name, F.col(line))[1]
+
+    def build(spark: SparkSession, _: dict) -> DataFrame:
+        pairs, aliases = lines(spark, inputs.structures), lines(spark, inputs.aliases)
+        unresolved = structure_map(pairs, aliases, inputs.check, inputs.check_tasks)[1]
+        series = measured_series(files(spark, inputs.series_dir), inputs.grid, inputs.max_gap)
+        parts = [
+            bad(parse_pairs(pairs), "structures", "value"),
+            bad(parse_aliases(aliases), "aliases", "value"),
+            bad(unresolved, "aliases", "mid"),
+            bad(series, "series", "file"),
+            bad(computed_properties(files(spark, inputs.property_dir)), "properties", "mid"),
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    return TableDef("rejects", build, (), False, schemas.REJECTS)
+
+
 def create_documents(registry: Registry) -> DataFrame:
     """Documents from the built tables."""
     t = registry.build(["structure_map", "measured", "computed", "universe"])

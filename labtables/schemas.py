@@ -56,6 +56,11 @@ USAGE = T.StructType([
     T.StructField("level", T.StringType()),
     T.StructField("usage", T.StringType()),
 ])
+REJECTS = T.StructType([
+    T.StructField("input", T.StringType()),
+    T.StructField("line", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])
 ATOMS = T.ArrayType(T.StructType([
     T.StructField("type", T.ByteType()),
     T.StructField("x", T.FloatType()),

@@ -15,7 +15,7 @@ from labtables.config import is_complete, shared_dir
 from labtables.operators.quality import audit, verified
 from labtables.operators.series import Grid
 from labtables.plans.registry import Registry, TableDef, preview, summary
-from labtables.plans.tables import Inputs, create_documents, tables
+from labtables.plans.tables import Inputs, create_documents, rejects_table, tables
 from labtables.sinks import files as sinks
 from labtables.sinks.store import bulk_insert, insert_ignoring_duplicates
 
@@ -173,7 +173,7 @@ def inputs(write):
     more = Path(write("universe/zinc", "CCC\n[y]\n")).parent
     return Inputs(
         structures, aliases, str(folder), str(props), check, describe, str(more), flags=("ring",),
-        grid=Grid(0, 40, 10), seed=3,
+        grid=Grid(0, 40, 10), seed=3, check_tasks=2, enrich_tasks=2,
     )
 
 
@@ -201,4 +201,9 @@ def test_tables_and_documents(spark, inputs, tmp_path):
     assert [tuple(p) for p in cc["thir"][0]["freqs"]] == [(1.0, 2.0), (3.0, 4.0)]
     assert docs["CCC"]["expir"] is None and docs["[x]"]["mass"] is None and docs["[x]"]["external_id"]["nist"] == ["m4"]
     assert [r["n"] for r in summary(built["usage"], "level").collect()] == [2, 1, 1]
+    rejects = reg.add(rejects_table(inputs)).get_or_create("rejects")
+    assert sorted(map(tuple, rejects.collect())) == [
+        ("aliases", "m6", "unresolved alias"), ("series", "m1-2.jdx", "bad number in data"),
+        ("structures", "short", "too few tokens"),
+    ]
     assert [r["mid"] for r in preview(built["structure_map"], ["mid"], 2).collect()] == ["m1", "m2"]
