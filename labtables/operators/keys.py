@@ -10,14 +10,20 @@ from pyspark.sql import functions as F
 UNRESOLVED = "unresolved alias"
 
 
+def known_keys(df: DataFrame, on: str | list[str]) -> DataFrame:
+    """The keys once each. A repeated key is folded before the shuffle; the join reuses its
+    partitioning. Skew splitting covers the left side of a semi or anti join only."""
+    return df.select(*([on] if isinstance(on, str) else on)).distinct()
+
+
 def keep_matching(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
     """Left rows whose key is known; each row once however often the key repeats on the right."""
-    return left.join(right, on, "left_semi")
+    return left.join(known_keys(right, on), on, "left_semi")
 
 
 def drop_matching(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
     """Left rows whose key is unknown on the right (resume lists, remaining documents)."""
-    return left.join(right, on, "left_anti")
+    return left.join(known_keys(right, on), on, "left_anti")
 
 
 def replace_key(left: DataFrame, mapping: DataFrame, key: str, new_key: str) -> DataFrame:
@@ -61,7 +67,7 @@ def remaining(all_ids: DataFrame, done: DataFrame, key: str | list[str]) -> Data
 def progress(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """One row: ids done, ids in all and the share in percent, rounded half to even."""
     n_all = todo.agg(F.count_distinct(key).alias("n_all"))
-    n_done = done.join(todo, key, "left_semi").agg(F.count_distinct(key).alias("n_done"))
+    n_done = keep_matching(done, todo, key).agg(F.count_distinct(key).alias("n_done"))
     return n_all.select(n_done.scalar().alias("n_done"), "n_all").withColumn(
         "percent",
         F.bround(F.try_divide(F.lit(100.0) * F.col("n_done"), F.col("n_all")), 3),

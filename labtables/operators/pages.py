@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labtables.functions.strings import strip
+from labtables.functions.strings import between, strip
 
 # Texts that tell the page classes, in the order they are tested.
 PAGE_CLASSES = (
@@ -96,7 +96,7 @@ def spectrum_files(pages: DataFrame, site: str) -> DataFrame:
         F.contains(F.col("html"), F.lit(SCAN_MARK)), "scanned"
     )
     scanned = F.col("kind") == "scanned"
-    quoted = F.get(F.split(F.get("scan_lines", F.lit(0)), '"'), F.lit(1))
+    quoted = between(F.get("scan_lines", F.lit(0)), '"', '"')
     digital_url = F.concat(
         F.lit(f"{site}{QUERY_PATH}?JCAMP="), F.col("id"), F.lit("&Index="), F.col("index").cast("string"),
         F.lit("&Type=IR"),

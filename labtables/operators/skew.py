@@ -31,14 +31,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], bound: int = HOT_KEYS, rows: in
 
 def with_bucket(df: DataFrame, keys: Sequence[str], spread: Column, bound: int = HOT_KEYS,
                 rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``bucket``: 0 for ordinary keys, a hash of ``spread`` over the fan for hot ones."""
-    hot = hot_keys(df, keys, bound, rows)
-    renamed = hot.select(*[F.col(k).alias(f"hot_{k}") for k in keys], "fan")
-    match = [F.col(k).eqNullSafe(F.col(f"hot_{k}")) for k in keys]
+    """Add ``bucket``: 0 for ordinary keys, a hash of ``spread`` over the fan for hot ones.
+
+    The broadcast list holds one hash and one number per hot key, so long keys do not widen it. A key
+    that shares its hash with a hot one is spread as well, which is harmless.
+    """
+    key_hash = F.xxhash64(*keys)
+    hot = hot_keys(df, keys, bound, rows).groupBy(key_hash.alias("hot_hash")).agg(F.max("fan").alias("fan"))
     return (
-        df.join(F.broadcast(renamed), match, "left")
+        df.withColumn("key_hash", key_hash)
+        .join(F.broadcast(hot), F.col("key_hash") == F.col("hot_hash"), "left")
         .withColumn("bucket", F.coalesce(F.pmod(F.xxhash64(spread), F.col("fan")), F.lit(0)).cast("bigint"))
-        .drop("fan", *[f"hot_{k}" for k in keys])
+        .drop("fan", "key_hash", "hot_hash")
     )
 
 

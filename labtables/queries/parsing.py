@@ -8,12 +8,14 @@ from labtables.config import shared_dir
 from labtables.functions.plans import spread
 from labtables.functions.strings import file_key, leading_word
 from labtables.operators import coords, enrich, keys, quality
-from labtables.plans.tables import computed_properties
+from labtables.plans.tables import computed, computed_properties
 from labtables.queries.base import query, table
 from labtables.sinks.files import export_json, write_new
 from labtables.sources import labelled, text
 
-text_of = lambda name: F.col(name).cast("string")
+
+def text_of(name: str):
+    return F.col(name).cast("string")
 
 
 @query("text_pairs", """
@@ -178,8 +180,6 @@ SELECT c_name AS smiles, {METHOD_SQL} AS method, {PEAKS_SQL} AS peaks
 FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0
 """)
 def property_table(spark, d):
-    from labtables.plans.tables import computed
-
     known = table(spark, d, "customer").where(F.col("c_acctbal") > 0)
     mapping = table(spark, d, "orders").join(known, F.col("o_custkey") == F.col("c_custkey")).select(
         text_of("o_orderkey").alias("mid"), F.col("c_name").alias("smiles")

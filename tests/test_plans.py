@@ -42,6 +42,11 @@ def test_semi_joins(spark):
     assert "LeftSemi" in optimized(spark, "semi_valid") and "LeftAnti" in optimized(spark, "anti_rest")
 
 
+def test_repeated_keys_are_folded_before_a_semi_or_anti_join(spark):
+    text = plan(spark, "anti_rest")
+    assert re.search(r"HashAggregate\(keys=\[o_orderkey#\d+L\], functions=\[\]", text)
+
+
 def test_filter_reaches_the_scan_and_columns_are_pruned(spark):
     text = plan(spark, "three_way_join")
     assert "EqualTo(o_orderstatus,F)" in text and "o_orderpriority" not in text
