@@ -7,8 +7,10 @@ from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from labtables.llm import packing, tokens, viterbi
+from labtables.llm import license_scan, packing, quality, tokens, toxicity, url_filters, viterbi
+from labtables.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +40,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -55,3 +64,20 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op9_url_filters", url_filters.oracle())
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op10_license_scan", license_scan.oracle())
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
