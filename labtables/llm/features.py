@@ -45,15 +45,12 @@ def part_hashes(text: str, make: Callable[[bytes], bytes] = _hashes, kind: str =
     """Hashes that ``make`` gives for the words of a text, in order; ``kind`` names its cache."""
     cache = worker_cache(kind)
     words = text.encode().split()
-    try:
-        joined = b"".join(map(cache.__getitem__, words))
-    except KeyError:
-        out = []
-        for word in words:
-            got = cache.get(word)
-            out.append(grow(cache, word, make(word), WORD_CACHE) if got is None else got)
-        joined = b"".join(out)
-    return np.frombuffer(joined, np.uint32)
+    out = [*map(cache.get, words)]
+    if None in out:
+        for i, got in enumerate(out):
+            if got is None:
+                out[i] = grow(cache, words[i], make(words[i]), WORD_CACHE)
+    return np.frombuffer(b"".join(out), np.uint32)
 
 
 def ngrams(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labtables.llm import license_scan, packing, quality, tokens, toxicity, url_filters, viterbi
+from labtables.llm import license_scan, neardup, packing, quality, tokens, toxicity, url_filters, viterbi
 from labtables.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@query("op2_minhash")
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # 40 bands of 6 find a pair of similarity 0.85 at odds of 1 - 6e-9, and one of 0.8 (small sets vary) at 0.99999
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, bands=40, rows=6)
+
+
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
