@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labtables.llm import license_scan, neardup, packing, quality, tokens, toxicity, url_filters, viterbi
+from labtables.llm import license_scan, neardup, packing, quality, tokens, topk, toxicity, url_filters, vector_dedup, viterbi
 from labtables.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,43 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+COSINE_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+    WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+          UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM parts LEFT JOIN counts USING (vec_id)
+"""
+
+TOPK_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op6_cosine_dedup", COSINE_SQL)
+def op6_cosine_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_topk", TOPK_SQL)
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
