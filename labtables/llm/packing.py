@@ -25,8 +25,8 @@ from labtables.llm.common import grow, worker_cache
 
 TIERS = (1024, 512, 256, 128)
 POOL_TOKENS = 1_000_000
-UNIT_CACHE = 400_000
-WORD_CACHE = 400_000
+UNIT_CACHE = 700_000
+WORD_CACHE = 700_000
 _CONTROL = regex.compile("[\x1c-\x1f]")
 
 
@@ -72,18 +72,16 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         first, *units = text.split(" ")
         cache = self.units
-        try:
-            return (self.whole(first) if first else b"") + b"".join(map(cache.__getitem__, units))
-        except KeyError:
-            pass
-        out = [self.whole(first)]
-        for unit in units:
-            got = cache.get(unit)
-            if got is None:
-                if not unit or unit[0].isspace():  # the space before it is not cut off
-                    return self.whole(text)
-                got = grow(cache, unit, self.whole(" " + unit), UNIT_CACHE)
-            out.append(got)
+        out = [*map(cache.get, units)]
+        if None in out:
+            for i, got in enumerate(out):
+                if got is None:
+                    unit = units[i]
+                    if not unit or unit[0].isspace():  # the space before it is not cut off
+                        return self.whole(text)
+                    out[i] = grow(cache, unit, self.whole(" " + unit), UNIT_CACHE)
+        if first:
+            out.insert(0, self.whole(first))
         return b"".join(out)
 
 
