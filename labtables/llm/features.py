@@ -107,6 +107,14 @@ def collect(df: DataFrame, featurise: Featurise, bits: int, label: str | None =
              np.frombuffer(r["shares"], np.float32).astype(float), r["y"]) for r in found]
 
 
+def _scores(texts: pa.Array, weights: np.ndarray, bias: float, featurise: Featurise, bits: int) -> np.ndarray:
+    scores = np.empty(len(texts))
+    for i, text in enumerate(texts):
+        buckets, values = featurise(text.as_py() or "", bits)
+        scores[i] = bias + weights[buckets] @ values
+    return 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+
+
 def score_rows(df: DataFrame, weights: np.ndarray, bias: float, featurise: Featurise, bits: int, threshold: float,
                id_col: str, text_col: str) -> DataFrame:
     """(id, score, predicted): logistic score of each whole text, one row out for each row in."""
@@ -115,14 +123,25 @@ def score_rows(df: DataFrame, weights: np.ndarray, bias: float, featurise: Featu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = np.empty(batch.num_rows)
-            for i, text in enumerate(batch.column(1)):
-                buckets, values = featurise(text.as_py() or "", bits)
-                scores[i] = bias + weights[buckets] @ values
-            scores = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+            scores = _scores(batch.column(1), weights, bias, featurise, bits)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
                 names=[id_col, "score", "predicted"],
             )
 
     return rows.mapInArrow(run, f"`{id_col}` {id_type}, score double, predicted int")
+
+
+def filter_rows(df: DataFrame, weights: np.ndarray, bias: float, featurise: Featurise, bits: int, threshold: float,
+                text_col: str, above: bool) -> DataFrame:
+    """Rows of ``df``, all columns, whose score is at least the threshold, or below it."""
+    rows = df.select(F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = _scores(batch.column(0), weights, bias, featurise, bits)
+            whole = pa.RecordBatch.from_arrays(batch.column(1).flatten(), names=names)
+            yield whole.filter(pa.array((scores >= threshold) == above))
+
+    return rows.mapInArrow(run, df.schema)

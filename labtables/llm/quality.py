@@ -72,3 +72,9 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: s
     One row out for each row in, whatever its id; columns besides the two named are not read.
     """
     return features.score_rows(docs, model.weights, model.bias, features.ngrams, model.bits, threshold, id_col, text_col)
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` with all their columns that are predicted as good."""
+    return features.filter_rows(docs, model.weights, model.bias, features.ngrams, model.bits, threshold, text_col,
+                                above=True)

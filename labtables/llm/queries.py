@@ -124,3 +124,10 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan", license_scan.oracle())
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
