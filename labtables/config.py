@@ -36,10 +36,15 @@ def _local_dir() -> str:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset (tests on one
-    machine) a local temporary folder serves instead.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset, a session on one
+    machine (tests) gets a local temporary folder, and any other one an error, as its executors would
+    each write to a disk of their own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _local_dir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

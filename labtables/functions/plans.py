@@ -18,12 +18,3 @@ def add_once(df: DataFrame, **columns: Column) -> DataFrame:
         *others, *[F.col("once")[name].alias(name) for name in columns]
     )
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores ahead of costly work per row, where the scan has fewer tasks.
-
-    For plans without a shuffle, whose number of tasks is known from the listing of the files. Large
-    inputs have more tasks than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

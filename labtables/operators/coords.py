@@ -16,6 +16,8 @@ SYMBOLS = (
 ).split()
 HEADER_LINES = 3
 SHORT_BLOCK = "bad atom block"
+BAD_COUNT = "bad atom count"
+ATOM_LINE = r"^\s*\S+\s+\S+\s+\S+\s+[A-Za-z]"
 
 
 def decode_base64(c: Column) -> Column:
@@ -32,7 +34,10 @@ def atomic_number(symbol: Column) -> Column:
 
 
 def parse_coords(df: DataFrame, encoded: str = "encoded") -> DataFrame:
-    """Add ``atoms`` and ``reason``: 3 header lines, a count, then one ``x y z symbol …`` per line."""
+    """Add ``atoms`` and ``reason``: 3 header lines, a count, then one ``x y z symbol …`` per line.
+
+    A count that is no number, or does not agree with the atom lines that follow it, is a reject.
+    """
 
     def atom(line: Column) -> Column:
         t = F.filter(F.split(line, r"\s+"), lambda w: w != "")
@@ -44,18 +49,22 @@ def parse_coords(df: DataFrame, encoded: str = "encoded") -> DataFrame:
         )
 
     text_lines = F.split(F.decode(decode_base64(F.col(encoded)), "ISO-8859-1"), "\n")
-    # the count is a fixed field of three characters; an unreadable one means no atoms
-    count = F.trim(F.substring(F.get("text_lines", F.lit(HEADER_LINES)), 1, 3)).try_cast("int")
+    # the count is the first number of its line; fields of three characters may run together there
+    count_line = F.get("text_lines", F.lit(HEADER_LINES))
+    whole = F.regexp_extract(count_line, r"^\s*(\d+)", 1).try_cast("int")
+    narrow = F.trim(F.substring(count_line, 1, 3)).try_cast("int")
+    after = F.slice("text_lines", F.lit(HEADER_LINES + 2), F.greatest(F.size("text_lines"), F.lit(0)))
+    stop = F.array_position(F.transform(after, lambda l: F.rlike(l, F.lit(ATOM_LINE))), F.lit(False))
+    n_lines = F.when(stop == 0, F.size(after)).otherwise(stop - F.lit(1)).cast("int")
     bad = F.exists("atoms", lambda a: a["type"].isNull() | a["x"].isNull() | a["y"].isNull() | a["z"].isNull())
     parsed = (
         df.withColumn("text_lines", text_lines)
-        .withColumn("n_atoms", F.greatest(F.coalesce(count, F.lit(0)), F.lit(0)))
-        .withColumn("atoms", F.transform(
-            F.slice("text_lines", F.lit(HEADER_LINES + 2), F.col("n_atoms")), atom
-        ))
+        .withColumns({"whole": whole, "narrow": narrow, "n_lines": n_lines})
+        .withColumn("atoms", F.transform(F.slice("text_lines", F.lit(HEADER_LINES + 2), F.col("n_lines")), atom))
     )
-    reason = F.when(bad | (F.size("atoms") < F.col("n_atoms")), SHORT_BLOCK)
-    return add_once(parsed, atoms=F.col("atoms"), reason=reason).drop("text_lines", "n_atoms")
+    agrees = (F.col("whole") == F.col("n_lines")) | F.coalesce(F.col("narrow") == F.col("n_lines"), F.lit(False))
+    reason = F.when(F.col("whole").isNull(), BAD_COUNT).when(bad | ~agrees, SHORT_BLOCK)
+    return add_once(parsed, atoms=F.col("atoms"), reason=reason).drop("text_lines", "whole", "narrow", "n_lines")
 
 
 def five_digits(c: Column) -> Column:

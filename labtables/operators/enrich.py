@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -19,32 +19,34 @@ def enrich_unique(df: DataFrame, key: str, fn: Enricher, schema: T.StructType,
     """Add the columns of ``schema`` to rows whose key is unique; failing keys are dropped.
 
     ``fn`` gets a batch of keys and returns flat columns under the same index, without the failing
-    ones. Only the key column goes to Python. ``partitions`` deals the rows out to that many tasks
-    where the function is slow; a shuffle before may have left few large ones.
+    ones. The rows go through Python once and come back enriched, so that no filter on the result can
+    make a second call of it. ``partitions`` deals the rows out to that many tasks where the function
+    is slow; a shuffle before may have left few large ones.
     """
     if partitions:
         df = df.repartition(partitions)
-    ok = T.StructField("enriched", T.BooleanType())
-    returned = T.StructType([*schema.fields, ok])
+    names = [f.name for f in schema.fields]
 
-    @F.pandas_udf(returned)
-    def run(keys: pd.Series) -> pd.DataFrame:
-        found = fn(keys)
-        full = found.reindex(keys.index)[[f.name for f in schema.fields]]
-        return full.assign(enriched=keys.index.isin(found.index))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = fn(batch[key])
+            yield batch.loc[found.index].assign(**{n: found[n] for n in names})
 
-    return (
-        df.withColumn("result", run(F.col(key)))
-        .where(F.col("result.enriched"))
-        .select(*df.columns, *[F.col("result")[f.name].alias(f.name) for f in schema.fields])
-    )
+    return df.mapInPandas(run, T.StructType([*df.schema.fields, *schema.fields]))
 
 
 def enrich(df: DataFrame, key: str, fn: Enricher, schema: T.StructType,
            partitions: int | None = None) -> DataFrame:
-    """As ``enrich_unique`` for repeated keys: the function sees each key once."""
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return df.join(enrich_unique(keys, key, fn, schema, partitions), key)
+    """As ``enrich_unique`` for repeated keys: the function sees each key once.
+
+    Keys fall together and meet their rows again by a 256-bit digest, so that long texts are shuffled
+    once each, for the function, and never for the join.
+    """
+    digest = F.sha2(F.col(key).cast("binary"), 256)
+    named = df.withColumn("key_digest", digest)
+    keys = named.where(F.col(key).isNotNull()).groupBy("key_digest").agg(F.any_value(key).alias(key))
+    found = enrich_unique(keys, key, fn, schema, partitions).drop(key)
+    return named.join(found, "key_digest").drop("key_digest")
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -60,9 +62,11 @@ def pattern_flags(text: Column, dictionary: Iterable[tuple[str, str]]) -> Column
     return F.struct(*[matches(text, p).alias(n) for p, n in dictionary])
 
 
-def read_dictionary(parsed: DataFrame) -> list[tuple[str, str]]:
-    """The entries of a pattern dictionary, needed on the driver because they become columns."""
-    limit = 10_000
+def read_dictionary(parsed: DataFrame, limit: int = 10_000) -> list[tuple[str, str]]:
+    """The entries of a pattern dictionary, needed on the driver because they become columns.
+
+    More than ``limit`` entries are an error, as each becomes a column of every row.
+    """
     rows = parsed.select("pattern", "name").limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"a pattern dictionary makes columns; over {limit} entries are no dictionary")

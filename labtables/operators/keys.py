@@ -34,9 +34,9 @@ def replace_key(left: DataFrame, mapping: DataFrame, key: str, new_key: str) ->
 def resolve_aliases(aliases: DataFrame, canonical: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(canonical rows + alias rows with the canonical attributes, unresolved aliases).
 
-    One hop only: an alias of an alias stays unresolved.
+    One hop only: an alias of an alias stays unresolved. Repeated canonical lines give an alias one row.
     """
-    target = canonical.select(F.col("mid").alias("dupof"), "smiles")
+    target = canonical.select(F.col("mid").alias("dupof"), "smiles").distinct()
     resolved = aliases.join(target, "dupof").select("mid", "smiles")
     lost = aliases.join(target, "dupof", "left_anti").withColumn("reason", F.lit(UNRESOLVED))
     return resolved.unionByName(canonical.select("mid", "smiles")), lost

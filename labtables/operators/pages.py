@@ -16,14 +16,16 @@ PAGE_CLASSES = (
     ("matching species were found.", "multiple results"),
     ("Information on this page:", "single result"),
 )
+# Marks around an id.
 ID_MARK, ID_END = '<a href="/cgi/cbook.cgi?ID=', "&amp;"
 # Texts that offer a structure file, its query and its file name.
 FILE_KINDS = (
     ("2d Mol file", "Str2File", "mol_files", ".mol"),
     ("3d SD file", "Str3File", "sdf_files", ".sdf"),
 )
+# Links and marks of spectrum pages, file suffixes.
 QUERY_PATH = "/cgi/cbook.cgi"
-INDEX_LINK = r'/cgi/cbook\.cgi\?ID=[^&"]*&amp;Units=SI&amp;Type=IR-SPEC&amp;Index=(?:0|[1-9]\d{0,2})#IR-SPEC'
+INDEX_LINK = r'/cgi/cbook\.cgi\?ID=[^&"]*&amp;Units=SI&amp;Type=IR-SPEC&amp;Index=(?:0|[1-9]\d*)#IR-SPEC'
 DIGITAL_MARK = "in JCAMP-DX format."
 SCAN_MARK = "A digitized version of this spectrum is not currently available."
 SCAN_LINE = "scan of original (hardcopy) spectrum"
@@ -73,7 +75,7 @@ def spectrum_pages(pages: DataFrame, site: str) -> DataFrame:
         F.regexp_extract_all(F.col("html"), F.lit(INDEX_LINK), F.lit(0)), lambda l: F.startswith(l, own)
     )
     indices = F.sort_array(F.array_distinct(F.transform(
-        links, lambda l: F.regexp_extract(l, r"Index=(\d+)#", 1).cast("int")
+        links, lambda l: F.regexp_extract(l, r"Index=(\d+)#", 1).cast("bigint")
     )))
     none = F.size("indices") == 0
     whole = F.concat(F.lit(f"{site}{QUERY_PATH}?ID="), F.col("id"), F.lit("&Units=SI&Mask=80"))
@@ -84,7 +86,7 @@ def spectrum_pages(pages: DataFrame, site: str) -> DataFrame:
     return (
         pages.select("id", indices.alias("indices"))
         .withColumn("none", none)
-        .withColumn("index", F.explode(F.when(F.col("none"), F.array(F.lit(0))).otherwise(F.col("indices"))))
+        .withColumn("index", F.explode(F.when(F.col("none"), F.array(F.lit(0).cast("bigint"))).otherwise(F.col("indices"))))
         .select("id", "index", F.when(F.col("none"), whole).otherwise(linked).alias("url"))
     )
 

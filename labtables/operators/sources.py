@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,13 +10,14 @@ def tag(df: DataFrame, source: str) -> DataFrame:
     return df.withColumn("source", F.lit(source))
 
 
-def merge_sources(tagged: DataFrame, key: str) -> DataFrame:
-    """(key, sorted source tags) from rows (key, source).
+def merge_sources(tagged: DataFrame, key: str | list[str], *more: Column) -> DataFrame:
+    """(key, sorted source tags) from rows (key, source); ``more`` are further aggregates of a key.
 
     The set of tags is the aggregation buffer: copies fall together before the shuffle, and a key
     never holds more than one entry per source.
     """
-    return tagged.groupBy(key).agg(F.sort_array(F.collect_set("source")).alias("source"))
+    keys = [key] if isinstance(key, str) else key
+    return tagged.groupBy(*keys).agg(F.sort_array(F.collect_set("source")).alias("source"), *more)
 
 
 def count_sources(tagged: DataFrame, key: str, line: str) -> DataFrame:

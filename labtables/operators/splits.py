@@ -28,10 +28,10 @@ def level(state: Column, sources: Column, more_than: int = 1) -> Column:
 
 def with_levels(spectra: DataFrame, structure_map: DataFrame, universe: DataFrame,
                 more_than: int = 1) -> DataFrame:
-    """(mid, index, level) by the joins mid → smiles → sources."""
+    """(mid, index, level) by the joins mid → smiles → sources; repeated lines of the map count once."""
     return (
         spectra.select("mid", "index", "state")
-        .join(structure_map.select("mid", "smiles"), "mid")
+        .join(structure_map.select("mid", "smiles").distinct(), "mid")
         .join(universe.select("smiles", "source"), "smiles")
         .select("mid", "index", level(F.col("state"), F.col("source"), more_than).alias("level"))
     )

@@ -13,7 +13,7 @@ from labtables import schemas
 from labtables.functions.strings import file_key, file_stem, leading_word, tokens
 from labtables.operators.documents import documents
 from labtables.operators.enrich import Enricher, enrich_unique, fold_flags
-from labtables.operators.keys import keep_matching, replace_key, resolve_aliases
+from labtables.operators.keys import UNRESOLVED, drop_matching, keep_matching, replace_key, resolve_aliases
 from labtables.operators.quality import Check, filter_valid
 from labtables.operators.series import Grid, calibrate, resample_files
 from labtables.operators.sources import merge_sources, tag
@@ -24,6 +24,9 @@ from labtables.sources.tagged import parse_tagged
 from labtables.sources.text import files, lines, parse_aliases, parse_pairs, split_rejects, tagged_lines
 
 BAD_NAME = "bad file name"
+FAILED_CHECK = "failed check"
+FAILED_ENRICHMENT = "failed enrichment"
+UNKNOWN_ID = "unknown id"
 
 
 @dataclass(frozen=True)
@@ -67,8 +70,9 @@ def measured_series(content: DataFrame, grid: Grid, max_gap: int | None) -> Data
     )
 
 
-def measured(content: DataFrame, mapping: DataFrame, grid: Grid, max_gap: int | None) -> DataFrame:
-    good = measured_series(content, grid, max_gap).where(F.col("reason").isNull())
+def measured(series: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The good rows of ``measured_series`` whose id is known."""
+    good = series.where(F.col("reason").isNull())
     return keep_matching(good.select("mid", "index", "vec", "state", "state_info"), mapping, "mid")
 
 
@@ -79,9 +83,20 @@ def computed_properties(content: DataFrame) -> DataFrame:
     )
 
 
-def computed(content: DataFrame, mapping: DataFrame) -> DataFrame:
-    good = computed_properties(content).where(F.col("reason").isNull())
-    return replace_key(good, mapping, "mid", "smiles").select("smiles", "method", "freqs")
+def computed(properties: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The good rows of ``computed_properties`` under the structure of their id, once for each structure
+    of it however often the map repeats a line."""
+    good = properties.where(F.col("reason").isNull())
+    return replace_key(good, mapping.select("mid", "smiles").distinct(), "mid", "smiles").select("smiles", "method", "freqs")
+
+
+def source_keys(mapping: DataFrame, external: DataFrame | None, own_source: str) -> DataFrame:
+    """(smiles, source) of the own structures and of the first token of each external line."""
+    keys = tag(mapping.select("smiles"), own_source)
+    if external is not None:
+        first = F.get(tokens(F.col("value")), F.lit(0))
+        keys = keys.unionByName(external.select(first.alias("smiles"), "source"))
+    return keys.where(F.col("smiles").isNotNull())
 
 
 def universe(mapping: DataFrame, external: DataFrame | None, own_source: str, fn: Enricher,
@@ -90,12 +105,7 @@ def universe(mapping: DataFrame, external: DataFrame | None, own_source: str, fn
 
     Sources are merged first, so the function sees each structure once.
     """
-    own = tag(mapping.select("smiles"), own_source)
-    keys = own
-    if external is not None:
-        first = F.get(tokens(F.col("value")), F.lit(0))
-        keys = own.unionByName(external.select(first.alias("smiles"), "source"))
-    merged = merge_sources(keys.where(F.col("smiles").isNotNull()), "smiles")
+    merged = merge_sources(source_keys(mapping, external, own_source), "smiles")
     flat = T.StructType([
         T.StructField("mass", T.DoubleType()), *schemas.flag_struct(flags).fields
     ])
@@ -103,59 +113,89 @@ def universe(mapping: DataFrame, external: DataFrame | None, own_source: str, fn
 
 
 def tables(inputs: Inputs) -> list[TableDef]:
-    """Definitions of the five tables over raw files."""
+    """Definitions of the five tables over raw files, and of the parsed files that they and the rejects
+    are taken from, so that each file is parsed once."""
 
     def build_map(spark: SparkSession, _: dict) -> DataFrame:
         pairs, aliases = lines(spark, inputs.structures), lines(spark, inputs.aliases)
         return structure_map(pairs, aliases, inputs.check, inputs.check_tasks)[0]
 
-    def build_measured(spark: SparkSession, t: dict) -> DataFrame:
-        return measured(files(spark, inputs.series_dir), t["structure_map"], inputs.grid, inputs.max_gap)
+    def parse_series(spark: SparkSession, _: dict) -> DataFrame:
+        return measured_series(files(spark, inputs.series_dir), inputs.grid, inputs.max_gap).drop("gap")
 
-    def build_computed(spark: SparkSession, t: dict) -> DataFrame:
-        return computed(files(spark, inputs.property_dir), t["structure_map"])
+    def parse_properties(spark: SparkSession, _: dict) -> DataFrame:
+        return computed_properties(files(spark, inputs.property_dir))
 
     def build_universe(spark: SparkSession, t: dict) -> DataFrame:
-        external = tagged_lines(spark, inputs.universe_dir) if inputs.universe_dir else None
-        return universe(
-            t["structure_map"], external, inputs.own_source, inputs.enrich, inputs.flags, inputs.enrich_tasks
-        )
+        return universe(t["structure_map"], _external(spark, inputs), inputs.own_source, inputs.enrich, inputs.flags,
+                        inputs.enrich_tasks)
 
     def build_usage(spark: SparkSession, t: dict) -> DataFrame:
         return with_usage(with_levels(t["measured"], t["structure_map"], t["universe"]), inputs.seed)
 
     return [
         TableDef("structure_map", build_map, (), False, schemas.STRUCTURE_MAP),
-        TableDef("measured", build_measured, ("structure_map",), False, schemas.MEASURED),
-        TableDef("computed", build_computed, ("structure_map",), False, schemas.COMPUTED),
+        TableDef("parsed_series", parse_series, (), False, schemas.PARSED_SERIES),
+        TableDef("parsed_properties", parse_properties, (), False, schemas.PARSED_PROPERTIES),
+        TableDef("measured", lambda _, t: measured(t["parsed_series"], t["structure_map"]),
+                 ("parsed_series", "structure_map"), False, schemas.MEASURED),
+        TableDef("computed", lambda _, t: computed(t["parsed_properties"], t["structure_map"]),
+                 ("parsed_properties", "structure_map"), False, schemas.COMPUTED),
         TableDef("universe", build_universe, ("structure_map",), True, schemas.universe(inputs.flags)),
         TableDef("usage", build_usage, ("measured", "structure_map", "universe"), False, schemas.USAGE),
     ]
 
 
-def rejects_table(inputs: Inputs) -> TableDef:
-    """Every line and file that did not make it into a table, as (input, line, reason)."""
+def _external(spark: SparkSession, inputs: Inputs) -> DataFrame | None:
+    return tagged_lines(spark, inputs.universe_dir) if inputs.universe_dir else None
+
 
-    def bad(df: DataFrame, name: str, line: str) -> DataFrame:
+def rejected(pairs: DataFrame, aliases: DataFrame, series: DataFrame, properties: DataFrame, keys: DataFrame,
+             mapping: DataFrame, known: DataFrame) -> DataFrame:
+    """(input, line, reason) of every line, file and key that did not make it into a table.
+
+    ``pairs`` and ``aliases`` are lines, ``series`` and ``properties`` parsed files with their reason,
+    ``keys`` the (smiles, source) offered to the universe; ``mapping`` and ``known`` are the tables of
+    structures and of the universe. The check and the enrichment are not run again: what they let pass is
+    in those tables.
+    """
+    def bad(df: DataFrame, name: str, line: str, reason: str | None = None) -> DataFrame:
+        df = df.where(F.col("reason").isNull()).withColumn("reason", F.lit(reason)) if reason else df
         return split_rejects(df, [], name, F.col(line))[1]
 
-    def build(spark: SparkSession, _: dict) -> DataFrame:
-        pairs, aliases = lines(spark, inputs.structures), lines(spark, inputs.aliases)
-        unresolved = structure_map(pairs, aliases, inputs.check, inputs.check_tasks)[1]
-        series = measured_series(files(spark, inputs.series_dir), inputs.grid, inputs.max_gap)
-        parts = [
-            bad(parse_pairs(pairs), "structures", "value"),
-            bad(parse_aliases(aliases), "aliases", "value"),
-            bad(unresolved, "aliases", "mid"),
-            bad(series, "series", "file"),
-            bad(computed_properties(files(spark, inputs.property_dir)), "properties", "mid"),
-        ]
-        return reduce(DataFrame.unionByName, parts)
-
-    return TableDef("rejects", build, (), False, schemas.REJECTS)
-
-
-def create_documents(registry: Registry) -> DataFrame:
-    """Documents from the built tables."""
+    parsed = parse_pairs(pairs)
+    passed = keep_matching(parsed.where(F.col("reason").isNull()), mapping, "smiles")
+    failed = drop_matching(parsed.where(F.col("reason").isNull()), mapping, "smiles")
+    dup = parse_aliases(aliases)
+    lost = drop_matching(dup.where(F.col("reason").isNull()), passed.select(F.col("mid").alias("dupof")), "dupof")
+    unenriched = drop_matching(keys.select("smiles").distinct(), known, "smiles")
+    return reduce(DataFrame.unionByName, [
+        bad(parsed, "structures", "value"),
+        bad(failed, "structures", "value", FAILED_CHECK),
+        bad(dup, "aliases", "value"),
+        bad(lost, "aliases", "mid", UNRESOLVED),
+        bad(series, "series", "file"),
+        bad(drop_matching(series, mapping, "mid"), "series", "file", UNKNOWN_ID),
+        bad(properties, "properties", "mid"),
+        bad(drop_matching(properties, mapping, "mid"), "properties", "mid", UNKNOWN_ID),
+        bad(unenriched.withColumn("reason", F.lit(None).cast("string")), "universe", "smiles", FAILED_ENRICHMENT),
+    ])
+
+
+def rejects_table(inputs: Inputs) -> TableDef:
+    """Every line, file and key that did not make it into a table, as (input, line, reason)."""
+
+    def build(spark: SparkSession, t: dict) -> DataFrame:
+        return rejected(
+            lines(spark, inputs.structures), lines(spark, inputs.aliases), t["parsed_series"], t["parsed_properties"],
+            source_keys(t["structure_map"], _external(spark, inputs), inputs.own_source), t["structure_map"], t["universe"],
+        )
+
+    return TableDef("rejects", build, ("structure_map", "parsed_series", "parsed_properties", "universe"), False,
+                    schemas.REJECTS)
+
+
+def create_documents(registry: Registry, **limits: int) -> DataFrame:
+    """Documents from the built tables; ``limits`` are the items per row of ``documents``."""
     t = registry.build(["structure_map", "measured", "computed", "universe"])
-    return documents(t["structure_map"], t["measured"], t["computed"], t["universe"])
+    return documents(t["structure_map"], t["measured"], t["computed"], t["universe"], **limits)

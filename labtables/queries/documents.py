@@ -23,9 +23,9 @@ from labtables.sinks.store import insert_ignoring_duplicates, new_documents
 SELECT DISTINCT source, md5(text) AS digest FROM documents
 """)
 def tagged_union(spark, d):
-    # whole texts are compared; the digest only stands for them in the result
-    lines = table(spark, d, "documents").select("source", "text").distinct()
-    return lines.select("source", F.md5("text").alias("digest"))
+    # texts are compared by a 256-bit digest, so that no text is shuffled
+    lines = table(spark, d, "documents").select("source", F.md5("text").alias("digest"), F.sha2("text", 256).alias("key"))
+    return lines.distinct().select("source", "digest")
 
 
 @query("source_universe", """
@@ -33,10 +33,11 @@ SELECT md5(text) AS digest, min(n_chars) AS n_chars, string_agg(DISTINCT source,
 FROM documents GROUP BY text
 """)
 def source_universe(spark, d):
-    merged = table(spark, d, "documents").groupBy("text").agg(
-        F.min("n_chars").alias("n_chars"), F.sort_array(F.collect_set("source")).alias("source")
+    tagged = table(spark, d, "documents").select(
+        "source", "n_chars", F.md5("text").alias("digest"), F.sha2("text", 256).alias("key")
     )
-    return merged.select(F.md5("text").alias("digest"), "n_chars", F.array_join("source", ",").alias("source"))
+    merged = merge_sources(tagged, ["key", "digest"], F.min("n_chars").alias("n_chars"))
+    return merged.select("digest", "n_chars", F.array_join("source", ",").alias("source"))
 
 
 @query("source_set_counts", """
@@ -44,7 +45,7 @@ SELECT source, count(*) AS n FROM (
   SELECT string_agg(DISTINCT source, ',' ORDER BY source) AS source FROM documents GROUP BY text) GROUP BY source
 """)
 def source_set_counts(spark, d):
-    merged = merge_sources(table(spark, d, "documents").select("text", "source"), "text")
+    merged = merge_sources(table(spark, d, "documents").select(F.sha2("text", 256).alias("key"), "source"), "key")
     return summary(merged, "source").withColumn("source", F.array_join("source", ","))
 
 
@@ -193,6 +194,26 @@ def source_line_counts(spark, d):
     return counted.select("smiles", F.array_join(text, ",").alias("sources"))
 
 
+ORDER_ITEMS_SQL = """
+SELECT CAST(o_custkey AS VARCHAR) AS _id, count(*) AS n, sum(k) AS keys, max(p) AS last FROM (
+  SELECT o_custkey, o_orderkey AS k, (row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS VARCHAR)) - 1) // 3 AS p
+  FROM orders) GROUP BY o_custkey
+"""
+
+
+@query("insert_documents_in_parts", ORDER_ITEMS_SQL)
+def insert_documents_in_parts(spark, d):
+    """Documents of several parts, inserted twice: every item of every list is in the store once."""
+    path = shared_dir(spark, "parts")
+    documents = docs.documents(*document_inputs(spark, d), ids_per_row=3, spectra_per_row=2, methods_per_row=4)
+    for _ in range(2):
+        insert_ignoring_duplicates(spark, documents, path)
+    items = docs.document_items(spark.read.parquet(path).withColumn("nist", F.col("external_id.nist")), "nist")
+    return items.groupBy("_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("bigint")).alias("keys"), F.max("part").alias("last")
+    )
+
+
 @query("document_roundtrip", """
 SELECT DISTINCT id AS _id, 0::BIGINT AS part FROM (
   SELECT CAST(o_custkey AS VARCHAR) AS id FROM orders
@@ -216,9 +237,9 @@ def insert_ignore_duplicates(spark, d):
     path = shared_dir(spark, "store")
     columns = ["_id", "c_name"]
     repeated = customer.unionByName(customer.where(F.col("c_acctbal") > 0)).select(*columns)
-    insert_ignoring_duplicates(spark, customer.where(F.col("c_mktsegment") == "BUILDING").select(*columns), path)
-    insert_ignoring_duplicates(spark, repeated, path)
-    insert_ignoring_duplicates(spark, repeated, path)
+    insert_ignoring_duplicates(spark, customer.where(F.col("c_mktsegment") == "BUILDING").select(*columns), path, ["_id"])
+    insert_ignoring_duplicates(spark, repeated, path, ["_id"])
+    insert_ignoring_duplicates(spark, repeated, path, ["_id"])
     return spark.read.parquet(path)
 
 
@@ -228,7 +249,7 @@ SELECT DISTINCT c_custkey AS _id, c_name FROM customer WHERE c_mktsegment <> 'BU
 def not_stored_yet(spark, d):
     customer = table(spark, d, "customer").select(F.col("c_custkey").alias("_id"), "c_name", "c_mktsegment")
     stored = customer.where(F.col("c_mktsegment") == "BUILDING")
-    return new_documents(customer.unionByName(customer).select("_id", "c_name"), stored)
+    return new_documents(customer.unionByName(customer).select("_id", "c_name"), stored, ["_id"])
 
 
 @query("first_of_each", """

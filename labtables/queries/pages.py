@@ -66,8 +66,8 @@ def page_structure_files(spark, d):
 
 @query("page_links", f"""
 WITH n AS (SELECT page_id, {NUMBER_SQL} AS n FROM pages),
-i AS (SELECT DISTINCT page_id, CAST(i AS INTEGER) AS index FROM (
-  SELECT page_id, n AS i FROM n WHERE n <> '' AND length(n) <= 3 UNION ALL SELECT page_id, '7' FROM n WHERE n <> ''))
+i AS (SELECT DISTINCT page_id, CAST(i AS BIGINT) AS index FROM (
+  SELECT page_id, n AS i FROM n WHERE n <> '' UNION ALL SELECT page_id, '7' FROM n WHERE n <> ''))
 SELECT 'C' || n.page_id AS id, coalesce(index, 0) AS index, CASE WHEN index IS NULL
   THEN '{SITE}/cgi/cbook.cgi?ID=C' || n.page_id || '&Units=SI&Mask=80'
   ELSE '{SITE}/cgi/cbook.cgi?ID=C' || n.page_id || '&amp;Units=SI&amp;Type=IR-SPEC&amp;Index=' || index || '#IR-SPEC'

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from labtables.config import shared_dir
-from labtables.functions.plans import spread
 from labtables.functions.strings import file_key, leading_word
 from labtables.operators import coords, enrich, keys, quality
 from labtables.plans.tables import computed, computed_properties
@@ -110,7 +109,7 @@ def labelled_files(spark, d):
         F.lit("\n##NOTE=inside\n  "), text_of("o_custkey"), F.lit(" 1e-2 7 "), whole, F.lit("\n##END=\n99 99\n"),
     )
     name = F.concat(text_of("o_custkey"), F.lit("-"), text_of("o_orderkey"), F.lit(".jdx"))
-    return spread(table(spark, d, "orders")).select(name.alias("file"), content.alias("content"))
+    return table(spark, d, "orders").select(name.alias("file"), content.alias("content"))
 
 
 @query("labelled_headers", """
@@ -151,7 +150,7 @@ def tagged_files(spark, d):
         F.lit("\t-3\n$$$$\n> <METHOD>\nlater\n"),
     )
     name = F.concat(text_of("o_orderkey"), F.lit(".sdf"))
-    return spread(table(spark, d, "orders")).select(name.alias("file"), content.alias("content"))
+    return table(spark, d, "orders").select(name.alias("file"), content.alias("content"))
 
 
 def peaks_text(freqs):
@@ -184,7 +183,7 @@ def property_table(spark, d):
     mapping = table(spark, d, "orders").join(known, F.col("o_custkey") == F.col("c_custkey")).select(
         text_of("o_orderkey").alias("mid"), F.col("c_name").alias("smiles")
     )
-    return computed(tagged_files(spark, d), mapping).select(
+    return computed(computed_properties(tagged_files(spark, d)), mapping).select(
         "smiles", "method", peaks_text("freqs").alias("peaks")
     )
 
@@ -223,7 +222,7 @@ SELECT doc_id, length(base64(encode(text))) AS n_encoded, md5(text) AS digest, t
 def base64_roundtrip(spark, d):
     # the encoder breaks lines after 76 characters, which the decoder must not see
     encoded = F.regexp_replace(F.base64(F.encode("text", "UTF-8")), "\r\n", "")
-    docs = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "text", encoded.alias("encoded"))
+    docs = table(spark, d, "documents").select("doc_id", "text").select("doc_id", "text", encoded.alias("encoded"))
     back = coords.decode_base64(F.col("encoded"))
     return docs.withColumn("back", back).select(
         "doc_id", F.length("encoded").cast("bigint").alias("n_encoded"), F.md5("back").alias("digest"),
@@ -247,7 +246,7 @@ def coordinate_blocks(spark, d):
     )
     encoded = F.regexp_replace(F.base64(F.encode(block, "UTF-8")), "\r\n", "")
     value = F.concat(text_of("vec_id"), F.lit("\t"), encoded)
-    keyed = text.parse_keyed_text(spread(table(spark, d, "embeddings")).select(value.alias("value")))
+    keyed = text.parse_keyed_text(table(spark, d, "embeddings").select(value.alias("value")))
     return coords.parse_coords(keyed).where(F.col("reason").isNull())
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from labtables.functions.plans import spread
 from labtables.operators.quality import count_reasons
 from labtables.operators.series import Grid, calibrated, resample_rows, to_points
 from labtables.plans.tables import measured, measured_series
@@ -55,7 +54,7 @@ PRICE_PTS = "WITH pts AS (SELECT l_suppkey AS k, l_extendedprice AS x, l_quantit
 def price_series(spark, d, max_gap=None):
     samples = table(spark, d, "lineitem").select("l_suppkey", "l_extendedprice", "l_quantity")
     return resample_rows(
-        spread(samples), ["l_suppkey"], "l_extendedprice", "l_quantity", PRICE_GRID, max_gap
+        samples, ["l_suppkey"], "l_extendedprice", "l_quantity", PRICE_GRID, max_gap
     )
 
 
@@ -131,7 +130,7 @@ def series_files(spark, d):
         F.lit("##XYDATA=(X++(Y..Y))\n"), block, F.lit("\n##END=\n"),
     )
     name = F.concat(F.col("c_custkey").cast("string"), F.lit("-"), F.col("c_nationkey").cast("string"), F.lit(".jdx"))
-    return spread(table(spark, d, "customer")).select(name.alias("file"), content.alias("content"))
+    return table(spark, d, "customer").select(name.alias("file"), content.alias("content"))
 
 
 FILE_PTS = """
@@ -154,7 +153,7 @@ FROM vec JOIN customer ON k = c_custkey WHERE k IN (SELECT o_custkey FROM orders
 """)
 def spectra_table(spark, d):
     mapping = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("mid"))
-    spectra = measured(series_files(spark, d), mapping, FILE_GRID, FILE_GAP)
+    spectra = measured(measured_series(series_files(spark, d), FILE_GRID, FILE_GAP), mapping)
     return spectra.withColumn("vec", vector_text("vec", 10000))
 
 

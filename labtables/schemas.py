@@ -24,10 +24,6 @@ STRUCTURE_MAP = T.StructType([
     T.StructField("mid", T.StringType()),
     T.StructField("smiles", T.StringType()),
 ])
-ALIASES = T.StructType([
-    T.StructField("mid", T.StringType()),
-    T.StructField("dupof", T.StringType()),
-])
 MEASURED = T.StructType([
     T.StructField("mid", T.StringType()),
     T.StructField("index", T.IntegerType()),
@@ -44,11 +40,17 @@ COMPUTED = T.StructType([
     T.StructField("method", T.StringType()),
     T.StructField("freqs", PEAKS),
 ])
-PROPERTIES = T.StructType([
+PARSED_PROPERTIES = T.StructType([
     T.StructField("mid", T.StringType()),
     T.StructField("method", T.StringType()),
     T.StructField("freqsformat", T.StringType()),
     T.StructField("freqs", PEAKS),
+    T.StructField("reason", T.StringType()),
+])
+PARSED_SERIES = T.StructType([
+    T.StructField("file", T.StringType()),
+    *MEASURED.fields,
+    T.StructField("reason", T.StringType()),
 ])
 USAGE = T.StructType([
     T.StructField("mid", T.StringType()),
@@ -61,12 +63,6 @@ REJECTS = T.StructType([
     T.StructField("line", T.StringType()),
     T.StructField("reason", T.StringType()),
 ])
-ATOMS = T.ArrayType(T.StructType([
-    T.StructField("type", T.ByteType()),
-    T.StructField("x", T.FloatType()),
-    T.StructField("y", T.FloatType()),
-    T.StructField("z", T.FloatType()),
-]))
 
 
 def flag_struct(names: Iterable[str] = FLAG_NAMES) -> T.StructType:
@@ -82,10 +78,3 @@ def universe(names: Iterable[str] = FLAG_NAMES) -> T.StructType:
         T.StructField("source", T.ArrayType(T.StringType())),
     ])
 
-
-def enriched(names: Iterable[str] = FLAG_NAMES) -> T.StructType:
-    """What an enrichment function returns per key: mass and flags."""
-    return T.StructType([
-        T.StructField("mass", T.DoubleType()),
-        T.StructField("fg", flag_struct(names)),
-    ])

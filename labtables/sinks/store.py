@@ -7,7 +7,8 @@ from itertools import islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from labtables.config import path_exists
+from labtables.config import is_complete
+from labtables.operators.documents import DOCUMENT_KEY
 from labtables.operators.keys import drop_matching, first_of_each
 
 Writer = Callable[[list[dict]], None]
@@ -16,7 +17,8 @@ Writer = Callable[[list[dict]], None]
 def bulk_insert(df: DataFrame, open_writer: Callable[[], Writer], batch: int = 1000) -> None:
     """Send each partition to a store in batches; one writer per partition, errors end the job.
 
-    A lost executor repeats its partition, so a writer must set documents by key, not add them.
+    A lost executor repeats its partition, so a writer must set documents by their
+    whole key (``_id`` and ``part`` for documents in parts), not add them.
     """
 
     def send(rows: Iterator[Row]) -> None:
@@ -27,16 +29,20 @@ def bulk_insert(df: DataFrame, open_writer: Callable[[], Writer], batch: int = 1
     df.foreachPartition(send)
 
 
-def new_documents(incoming: DataFrame, target: DataFrame, keys: Sequence[str] = ("_id",)) -> DataFrame:
+def new_documents(incoming: DataFrame, target: DataFrame, keys: Sequence[str] = DOCUMENT_KEY) -> DataFrame:
     """Incoming documents, once per key, whose key is not in the target."""
     return drop_matching(first_of_each(incoming, list(keys)), target.select(*keys), list(keys))
 
 
 def insert_ignoring_duplicates(spark: SparkSession, incoming: DataFrame, path: str,
-                               keys: Sequence[str] = ("_id",)) -> None:
-    """Append new documents to a Parquet store; running it again adds nothing."""
-    if path_exists(spark, path):
-        incoming = new_documents(incoming, spark.read.parquet(path), keys)
+                               keys: Sequence[str] = DOCUMENT_KEY) -> None:
+    """Append new documents to a Parquet store; running it again adds nothing.
+
+    A store counts once a write to it was committed (``_SUCCESS``); what a failed first write left in the
+    folder is not read. Documents in parts have the key (_id, part).
+    """
+    if is_complete(spark, path):
+        incoming = new_documents(incoming, spark.read.schema(incoming.schema).parquet(path), keys)
     else:
         incoming = first_of_each(incoming, list(keys))
     incoming.write.mode("append").parquet(path)

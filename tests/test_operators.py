@@ -15,7 +15,7 @@ from labtables.functions.hashing import cutoffs
 from labtables.operators import coords, keys, pages, quality, splits
 from labtables.operators.documents import merge_parts
 from labtables.operators.enrich import enrich, enrich_unique, matches, read_dictionary
-from labtables.operators.skew import collect_parts, hot_keys
+from labtables.operators.skew import collect_parts, hot_keys, join_parts, key_counts
 from labtables.operators.sources import count_sources, merge_sources
 from labtables.sinks.files import write_coords
 from labtables.sources import text
@@ -70,17 +70,28 @@ def test_ledgers(spark, write):
 
 def test_lists_in_parts_are_whole_sorted_and_bounded(spark):
     rng = random.Random(5)
-    rows = [("hot", i) for i in range(700)] + [(f"k{i % 60}", i) for i in range(600)]
+    rows = [("hot", rng.randrange(400)) for _ in range(700)] + [(f"k{i % 60}", i) for i in range(600)] + [("hot", None)]
     rng.shuffle(rows)
     df = df_of(spark, rows, "k string, v int")
-    hot = hot_keys(df, ["k"], bound=10, rows=50)
-    assert [(r["k"], r["fan"]) for r in hot.collect()] == [("hot", 6)]
-    parts = collect_parts(df, ["k"], F.col("v"), "items", limit=40, hot=(10, 50)).collect()
-    assert all(len(p["items"]) <= 40 and p["items"] == sorted(p["items"]) for p in parts)
-    assert sorted((p["k"], v) for p in parts for v in p["items"]) == sorted(rows)
-    assert len({(p["k"], p["part"]) for p in parts}) == len(parts)
-    assert all(p["part"] == 0 for p in parts if p["k"] != "hot")
-    assert len({p["part"] >> 32 for p in parts if p["k"] == "hot"}) == 6
+    hot = hot_keys(key_counts(df, ["k"]), ["k"], rows=50)
+    assert [(r["k"], r["fan"]) for r in hot.collect()] == [("hot", 15)]
+    parts = collect_parts(df, ["k"], F.col("v"), "items", limit=40, rows=50).collect()
+    whole = {}
+    for k, v in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        whole.setdefault(k, []).append(v)
+    expected = {(k, p): v[p * 40:(p + 1) * 40] for k, v in whole.items() for p in range(-(-len(v) // 40))}
+    assert {(p["k"], p["part"]): p["items"] for p in parts} == expected
+    items = join_parts(spark.createDataFrame(parts), ["k"], "items").where("k = 'hot'").orderBy("part", "place")
+    assert [r["value"] for r in items.collect()] == whole["hot"]
+
+
+def test_parts_of_a_key_do_not_depend_on_other_keys(spark):
+    rng = random.Random(8)
+    own = [("a", rng.randrange(90)) for _ in range(300)]
+    alone = collect_parts(df_of(spark, own, "k string, v int"), ["k"], F.col("v"), "items", limit=20, rows=60)
+    others = own + [(f"b{i % 3}", i) for i in range(3000)]
+    among = collect_parts(df_of(spark, others, "k string, v int"), ["k"], F.col("v"), "items", limit=20, rows=60).where("k = 'a'")
+    assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, among.collect()))
 
 
 def test_long_lists_without_hot_keys_count_on(spark):
@@ -171,8 +182,8 @@ def test_page_links(spark):
     html = "2d Mol file" + "".join(link.format(i) for i in (3, 0, 3, 1000, "01")) + link.format(5).replace("C1", "C2")
     df = df_of(spark, [("C1", html), ("C9", "3d SD file")], "id string, html string")
     found = pages.spectrum_pages(df, "http://h").collect()
-    assert [(r["id"], r["index"]) for r in found] == [("C1", 0), ("C1", 3), ("C9", 0)]
-    assert found[2]["url"] == "http://h/cgi/cbook.cgi?ID=C9&Units=SI&Mask=80"
+    assert [(r["id"], r["index"]) for r in found] == [("C1", 0), ("C1", 3), ("C1", 1000), ("C9", 0)]
+    assert found[3]["url"] == "http://h/cgi/cbook.cgi?ID=C9&Units=SI&Mask=80"
     assert [r["filename"] for r in pages.structure_files(df, "http://h").collect()] == ["mol_files/C1.mol", "sdf_files/C9.sdf"]
     ids = pages.page_ids(df_of(spark, [('<a href="/cgi/cbook.cgi?ID= C5 &amp;x<a href="/cgi/cbook.cgi?ID=C5&amp;',)], "html string"))
     assert [r["id"] for r in ids.collect()] == ["C5"]
@@ -211,7 +222,13 @@ def test_coordinates(spark):
     # decoding ends at the first foreign character, padding may be absent
     assert coords_of(spark, b64.rstrip("=") + "!" + b64).first()["atoms"] == row["atoms"]
     assert coords_of(spark, encode(block([]))).select(coords.format_atoms(F.col("atoms"))).first()[0] == "0;"
-    assert coords_of(spark, encode(block([(1, 2, 3, "H")], 40))).first()["reason"] == "bad atom block"
+    many = [(1, 2, 3, "H")] * 1234
+    for atoms, count, reason in (
+        (many[:1], 40, "bad atom block"), (many[:2], 1, "bad atom block"), (many[:1], "x", "bad atom count"),
+        (many, 1234, None), (many[:16], " 16100", None), ([], "?", "bad atom count"),
+    ):
+        row = coords_of(spark, encode(block(atoms, count))).first()
+        assert row["reason"] == reason and (reason or len(row["atoms"]) == len(atoms))
 
 
 def test_coordinate_lines_are_written(spark, tmp_path):

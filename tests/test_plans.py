@@ -4,18 +4,18 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
+from labtables.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 def plan(spark, name):
-    df = driver.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
 def optimized(spark, name):
-    return driver.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
 
 
 @pytest.mark.parametrize("name", ["row_split", "group_split", "state_parse", "file_name_parts", "page_classify",
@@ -67,7 +67,25 @@ def test_files_are_parsed_once(spark):
 
 
 def test_python_runs_only_where_a_function_was_given(spark):
-    for name in driver.queries():
-        if name in ("enrich_pandas", "universe_table", "semi_valid", "insert_ignore_duplicates", "json_roundtrip"):
+    for name in QUERIES:
+        if name in ("enrich_pandas", "universe_table", "semi_valid", "insert_ignore_duplicates", "json_roundtrip",
+                    "insert_documents_in_parts", "document_roundtrip"):
             continue
         assert "Python" not in plan(spark, name) and "MapInPandas" not in plan(spark, name), name
+
+
+@pytest.mark.parametrize("name", ["enrich_pandas", "universe_table"])
+def test_enrichment_is_one_python_node(spark, name):
+    text = plan(spark, name)
+    assert len(re.findall(r"MapInPandas|ArrowEvalPython|MapInArrow", text)) == 1
+
+
+def test_counts_of_spectra_read_no_vector(spark):
+    text = optimized(spark, "docs_full_merge")
+    counts = [line for line in text.splitlines() if "rows_of_key" in line and "Aggregate" in line]
+    assert counts and not any("vec" in line or "freqs" in line for line in counts)
+
+
+def test_no_scan_is_dealt_out_anew(spark):
+    for name in ("labelled_headers", "property_table", "coords_parse", "resample_linear", "spectra_table"):
+        assert "RoundRobin" not in plan(spark, name), name

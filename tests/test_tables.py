@@ -10,8 +10,10 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labtables.config import is_complete, shared_dir
+from labtables.operators.enrich import enrich
 from labtables.operators.quality import audit, verified
 from labtables.operators.series import Grid
 from labtables.plans.registry import Registry, TableDef, preview, summary
@@ -125,18 +127,46 @@ def test_bulk_insert_in_batches(spark, tmp_path):
 def test_insert_ignoring_duplicates(spark, tmp_path):
     path, schema = str(tmp_path / "store"), "_id string, n int"
     for rows in ([("a", 1), ("a", 0)], [("a", 9), ("b", 2), ("b", 3)], [("b", 4)]):
-        insert_ignoring_duplicates(spark, spark.createDataFrame(rows, schema), path)
+        insert_ignoring_duplicates(spark, spark.createDataFrame(rows, schema), path, ["_id"])
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 0), ("b", 2)]
 
 
+def test_parts_of_a_document_are_all_inserted(spark, tmp_path):
+    path, schema = str(tmp_path / "store"), "_id string, part long, n int"
+    (tmp_path / "store" / "_temporary").mkdir(parents=True)  # a first write that failed
+    rows = [("a", 0, 1), ("a", 1, 2), ("a", 1, 3), ("b", 0, 4)]
+    for _ in range(2):
+        insert_ignoring_duplicates(spark, spark.createDataFrame(rows, schema), path)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 0, 1), ("a", 1, 2), ("b", 0, 4)]
+
+
+def test_enrichment_sees_each_key_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def fn(keys):
+        seen.add(len(keys))
+        return pd.DataFrame({"n": keys.str.len()}, index=keys.index)[keys != "k0"]
+
+    df = spark.createDataFrame([(i, f"k{i % 10}") for i in range(1000)] + [(-1, None)], "i int, k string")
+    out = enrich(df, "k", fn, T.StructType([T.StructField("n", T.LongType())])).where("n > 0")
+    assert out.count() == 900 and seen.value == 10
+
+
 @pytest.mark.parametrize("setting", ["hdfs://shared/folder/", None])
 def test_shared_dir_follows_the_session(setting):
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: setting))
+    context = SimpleNamespace(master="local[2]" if setting is None else "yarn")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: setting), sparkContext=context)
     first, second = shared_dir(session, "x"), shared_dir(session, "x")
     assert first != second and first.split("/x-")[0] == second.split("/x-")[0]
     assert setting is None or first.startswith("hdfs://shared/folder/x-")
 
 
+def test_shared_dir_is_never_local_on_a_cluster():
+    context = SimpleNamespace(master="local-cluster[2,1,1024]")
+    with pytest.raises(ValueError):
+        shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: None), sparkContext=context), "x")
+
+
 def check(smiles: pd.Series) -> pd.Series:
     return ~smiles.str.contains("!")
 
@@ -203,7 +233,10 @@ def test_tables_and_documents(spark, inputs, tmp_path):
     assert [r["n"] for r in summary(built["usage"], "level").collect()] == [2, 1, 1]
     rejects = reg.add(rejects_table(inputs)).get_or_create("rejects")
     assert sorted(map(tuple, rejects.collect())) == [
-        ("aliases", "m6", "unresolved alias"), ("series", "m1-2.jdx", "bad number in data"),
-        ("structures", "short", "too few tokens"),
+        ("aliases", "m6", "unresolved alias"), ("properties", "m9", "unknown id"),
+        ("series", "m1-2.jdx", "bad number in data"), ("series", "m3-0.jdx", "unknown id"),
+        ("series", "m9-0.jdx", "unknown id"), ("structures", "bad! m3", "failed check"),
+        ("structures", "short", "too few tokens"), ("universe", "[x]", "failed enrichment"),
+        ("universe", "[y]", "failed enrichment"),
     ]
     assert [r["mid"] for r in preview(built["structure_map"], ["mid"], 2).collect()] == ["m1", "m2"]
