@@ -37,6 +37,16 @@ def files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def binary_files(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per file below ``folder``: (filename, content), the name relative to the folder and the
+    bytes as they are, as a checksum audit needs them."""
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/*$", 1)
+    root = folder.rstrip("/").rsplit("/", 1)[-1]
+    inside = F.substring_index(F.col("_metadata.file_path"), f"/{root}/", -1)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return found.select(F.coalesce(F.url_decode(inside), name).alias("filename"), "content")
+
+
 def tagged_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of every file of a folder in one scan, with the file name as source tag."""
     return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("source"))
@@ -103,8 +113,17 @@ def parse_ranges(df: DataFrame, col: str = "value") -> DataFrame:
     ).where(F.col("low").isNotNull() & F.col("high").isNotNull())
 
 
+def until_done(df: DataFrame, col: str = "value") -> DataFrame:
+    """Ordered lines (``seq`` of ``ordered_lines``) of each file before its first ``done`` line."""
+    done = df.where(strip(F.col(col)) == "done").groupBy(F.col("seq.file").alias("ledger")).agg(F.min("seq").alias("stop"))
+    kept = df.join(done, F.col("seq.file") == F.col("ledger"), "left").where(F.col("stop").isNull() | (F.col("seq") < F.col("stop")))
+    return kept.drop("ledger", "stop")
+
+
 def parse_ids(df: DataFrame, col: str = "value") -> DataFrame:
-    """Distinct ids of an id ledger; its end marker is left out."""
+    """Distinct ids of an id ledger; with a column ``seq`` only those before the end marker of their file."""
+    if "seq" in df.columns:
+        df = until_done(df, col)
     return df.select(strip(F.col(col)).alias("id")).where(~F.col("id").isin("", "done")).distinct()
 
 

@@ -62,6 +62,8 @@ def test_ledgers(spark, write):
     assert {r["filename"]: r["url"] for r in last.collect()} == {"a": "u3", "b": "u2"}
     ids = text.parse_ids(text.lines(spark, write("ids", "x\ny\nx\ndone\n")))
     assert sorted(r["id"] for r in ids.collect()) == ["x", "y"]
+    cut = text.parse_ids(text.ordered_lines(spark, write("cut", "a\ndone\nb\n")))
+    assert [r["id"] for r in cut.collect()] == ["a"]
     ranges = text.parse_ranges(text.lines(spark, write("ranges", "0 1.5\n1.5 99\ndone")))
     assert sorted(map(tuple, ranges.collect())) == [(0.0, 1.5), (1.5, 99.0)]
     sums = text.parse_checksums(text.lines(spark, write("sums", "f abc\n")))

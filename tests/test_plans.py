@@ -69,7 +69,8 @@ def test_files_are_parsed_once(spark):
 def test_python_runs_only_where_a_function_was_given(spark):
     for name in QUERIES:
         if name in ("enrich_pandas", "universe_table", "semi_valid", "insert_ignore_duplicates", "json_roundtrip",
-                    "insert_documents_in_parts", "document_roundtrip"):
+                    "insert_documents_in_parts", "document_roundtrip", "binary_scan", "binary_audit", "text_lines",
+                    "tagged_files", "id_ledger"):
             continue
         assert "Python" not in plan(spark, name) and "MapInPandas" not in plan(spark, name), name
 
