@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labtables.llm.common import hash_sample, mix64
+from labtables.llm.common import hash_sample, mix64, row_pieces
 
 SAMPLE_ROWS = 4_096
 MAX_CENTRES = 256
 BLOCK_ROWS = 4_096
 VISITORS_PER_ROW = 16
+VISITOR_ROWS = 1_024
 LEAST_BALL = 8
 SLACK = 1e-7
 
@@ -34,8 +35,12 @@ class Tree:
     def __init__(self, points: np.ndarray, least: int = LEAST_BALL):
         self.points = points
         squares = (points * points).sum(1)
-        gram = squares[:, None] + squares[None, :] - 2 * (points @ points.T)
-        self._distances = np.sqrt(np.maximum(gram, 0))
+        gram = points @ points.T  # one matrix of the block's size, changed in place
+        gram *= -2
+        gram += squares[:, None]
+        gram += squares[None, :]
+        np.maximum(gram, 0, out=gram)
+        self._distances = np.sqrt(gram, out=gram)
         self.scale = float(np.sqrt(squares.max(initial=0)))
         self.centre: list[int] = []
         self.radius: list[float] = []
@@ -266,7 +271,8 @@ def over_blocks(placed: DataFrame, run: Callable, schema: str) -> DataFrame:
             def visitors() -> Iterator[tuple]:
                 nonlocal ahead
                 while ahead and ahead[0][:3] == group:
-                    yield ahead[1]
+                    for a, b in row_pieces(len(ahead[1][0]), VISITOR_ROWS):
+                        yield tuple(x[a:b] for x in ahead[1])
                     ahead = next(source, None)
 
             guests = visitors()
