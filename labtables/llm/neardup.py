@@ -17,14 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labtables.llm.common import checkpoint, components, grow, mix64, worker_cache
 
 WORDS = 5
 BANDS = 40
-ROWS_PER_BAND = 5  # a pair of similarity 0.8 is found at odds of 0.9999999, one of 0.7 at 0.999
+ROWS_PER_BAND = 6  # a pair of similarity 0.8 is found at odds of 0.999995, one of 0.75 at 0.9996
 BLOCK = 256
 LEADERS = 8
 WORD_CACHE = 500_000
@@ -215,18 +215,23 @@ def link_classes(classes: DataFrame, texts: DataFrame, percent: int, words: int
     compared with those of all blocks, so that no link is lost.
     """
     rows = classes.select(F.explode("keys").alias("key"), "cid", "n")
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    found = checkpoint(rows.join(shared, "key"))
     leaders = F.array_distinct(F.array(*[F.min_by("cid", F.xxhash64("cid", F.lit(i))) for i in range(LEADERS)]))
     buckets = (
-        rows.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("cid")).alias("who"), leaders.alias("leaders"))
-        .where("m > 1")
+        found.groupBy("key", "m").agg(F.bit_xor(F.xxhash64("cid")).alias("who"), leaders.alias("leaders"))
         # bands with the very same members are one bucket
         .groupBy("m", "who").agg(F.min_by(F.struct("key", "leaders"), "key").alias("b"))
         .select("b.key", "b.leaders", _block(F.col("m"), block).alias("blocks"))
     )
     buckets = checkpoint(buckets)
     inside = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    members = checkpoint(rows.join(buckets.select("key", "blocks"), "key").select("key", "cid", "n", "blocks", inside.alias("j")))
+    members = found.join(buckets.select("key", "blocks"), "key").select("key", "cid", "n", "blocks", inside.alias("j"))
+    # in a bucket of one block, a set with none of like size beside it has no link there
+    by_size = Window.partitionBy("key", "j").orderBy("n", "cid")
+    like = lambda m: F.coalesce(F.lit(100) * F.least("n", m) >= F.lit(percent) * F.greatest("n", m), F.lit(False))
+    near = (F.col("blocks") > 1) | like(F.lag("n").over(by_size)) | like(F.lead("n").over(by_size))
+    members = checkpoint(members.withColumn("near", near).where("near").drop("near"))
     needed = members.select(F.col("cid").alias("id")).distinct()
     sets = checkpoint(
         shingle_sets(texts.join(needed, "id", "left_semi"), words).select(F.col("id").alias("cid"), "shingles")
