@@ -28,8 +28,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def worker_cache(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, so that tasks of one worker share it."""
-    return sys.__dict__.setdefault("llm_worker_caches", {}).setdefault(name, {})
+    """A dictionary that tasks of one Python worker share until a task asks for another name.
+
+    A worker serves the stages of a job one after the other; it holds the cache of the last one alone.
+    """
+    caches = sys.__dict__.setdefault("llm_worker_caches", {})
+    for other in [x for x in caches if x != name]:
+        del caches[other]
+    return caches.setdefault(name, {})
 
 
 def grow(cache: dict, key, value, limit: int):
