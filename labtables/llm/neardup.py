@@ -3,9 +3,14 @@
 Two permutations of the 64-bit numbers serve all coordinates: ``mix64`` scatters the shingles, and an
 affine one, shifted circularly by k places, orders them for coordinate k. A shift of an affine
 permutation adds a constant, so the smallest value under shift k is the first scattered value at or
-after a point of the ring: one sort of a document's values gives its whole signature.
+after a point of the ring: one sort of a document's values gives its whole signature. The shifts are
+pseudo-random: with evenly spread ones a single wide gap of the ring could be met by every band.
 
-Copies with equal shingle sets are one class. Classes that agree in a band meet in a bucket, whose pairs
+Small sets are found exactly instead, as few shingles leave a wide spread of what the bands see: sets of
+similarity t share a shingle among the first n - ceil(t * n) + 1 of each, in any order that all sets have
+in common. Frequent shingles come last in that order, the others by their hash.
+
+Copies with equal shingle sets are one class. Classes that agree in a key meet in a bucket, whose pairs
 are confirmed on full sets in groups of bounded size; what leaves a group are the links that span its
 linked classes. Pairs that are known to be in one component by then are not compared.
 """
@@ -24,7 +29,10 @@ from labtables.llm.common import checkpoint, components, grow, mix64, worker_cac
 
 WORDS = 5
 BANDS = 40
-ROWS_PER_BAND = 6  # a pair of similarity 0.8 is found at odds of 0.999995, one of 0.75 at 0.9996
+ROWS_PER_BAND = 6
+EXACT = 200  # pairs whose smaller set has so many shingles at most are found by prefixes
+SAMPLE_DOCS = 20_000
+FREQUENT = 20_000
 BLOCK = 256
 LEADERS = 8
 WORD_CACHE = 500_000
@@ -57,14 +65,15 @@ def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(mix64(out))
 
 
-def signature(shingles: np.ndarray, size: int) -> np.ndarray:
-    """``size`` coordinates: coordinate k is the shingle that is first in the order shifted k times.
+def signature(shingles: np.ndarray, size: int | np.ndarray) -> np.ndarray:
+    """Coordinates 0 to ``size`` - 1, or those of an array of numbers: coordinate k is the shingle that is
+    first in the order shifted k times.
 
     With pi(x) = x / step modulo 2**64, the shifted order is pi(x) + k, or x + k * step up to the factor.
     This file sorts by x + k * step itself, so the first shingle is the successor of ``-k * step`` on the
     ring. Shingles are scattered by ``mix64`` before, which is the other permutation.
     """
-    points = np.uint64(0) - np.arange(size, dtype=np.uint64) * _STEP
+    points = np.uint64(0) - (np.arange(size, dtype=np.uint64) if isinstance(size, int) else size) * _STEP
     at = np.searchsorted(shingles, points)
     return shingles[np.where(at == len(shingles), 0, at)]
 
@@ -78,12 +87,42 @@ def band_keys(coordinates: np.ndarray, bands: int) -> np.ndarray:
     return keys
 
 
-def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS, bands: int = BANDS,
-             rows: int = ROWS_PER_BAND) -> DataFrame:
-    """(id, n_shingles, hi, lo, keys): set size, 128-bit digest of the set and band keys of each row.
+def prefix_keys(shingles: np.ndarray, percent: int, listed: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """One key for each shingle of a set's prefix.
 
-    The digest and the keys are null where there is no word.
+    ``listed`` are the frequent shingles, sorted, and ``ranks`` their places from 1 in the common order, in
+    which all other shingles come before them. Any list gives the same links.
+    """
+    n = len(shingles)
+    at = np.minimum(np.searchsorted(listed, shingles), max(len(listed) - 1, 0))
+    place = np.where(listed[at] == shingles, ranks[at], 0) if len(listed) else np.zeros(n, np.int64)
+    first = np.lexsort((shingles, place))[:n - -(-percent * n // 100) + 1]
+    return mix64(shingles[first] * _FOLD)
+
+
+def frequent_shingles(df: DataFrame, id_col: str, text_col: str, words: int, most: int) -> np.ndarray:
+    """Shingles of a bounded sample of the sets of up to ``most``, those in three or more, rarest first."""
+    step = max(1, -(-df.count() // SAMPLE_DOCS))
+    key = F.col(id_col).cast("long")
+    texts = df.select(key.alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0)
+    seen = shingle_sets(texts, words).where(F.col("n") <= most).select(F.explode("shingles").alias("s"))
+    seen = seen.groupBy("s").agg(F.count(F.lit(1)).alias("m")).where("m > 2").orderBy(F.desc("m"), "s").limit(FREQUENT)
+    return np.array([r["s"] for r in seen.collect()][::-1], np.int64).view(np.uint64)
+
+
+def sketches(df: DataFrame, id_col: str, text_col: str, percent: int, words: int = WORDS, bands: int = BANDS,
+             rows: int = ROWS_PER_BAND, exact: int = EXACT) -> DataFrame:
+    """(id, n_shingles, hi, lo, keys): set size, 128-bit digest of the set and keys of each row.
+
+    Sets of more than ``exact`` shingles have band keys; those that can be linked with a set of up to
+    ``exact`` have prefix keys. The digest and the keys are null where there is no word.
     """
+    most = 100 * exact // percent
+    frequent = frequent_shingles(df, id_col, text_col, words, most)
+    by_value = frequent.argsort()
+    listed, ranks = frequent[by_value], by_value + 1
+    shifts = mix64(np.arange(1, bands * rows + 1, dtype=np.uint64) * _STEP)
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,10 +136,9 @@ def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS, band
                     continue
                 digest = np.frombuffer(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), "<i8")
                 hi.append(int(digest[0])), lo.append(int(digest[1]))
-                # order of the coordinates within and across bands is a stride, so that neighbours on the
-                # ring, which small sets answer alike, come into different bands
-                order = signature(shingles, bands * rows).reshape(rows, bands).T
-                keys.append(band_keys(np.ascontiguousarray(order).ravel(), bands).view(np.int64))
+                made = [band_keys(signature(shingles, shifts), bands)] if len(shingles) > exact else []
+                made += [prefix_keys(shingles, percent, listed, ranks)] if len(shingles) <= most else []
+                keys.append(np.concatenate(made).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64()))], names=["id", "n_shingles", "hi", "lo", "keys"],
@@ -220,7 +258,7 @@ def link_classes(classes: DataFrame, texts: DataFrame, percent: int, words: int
     leaders = F.array_distinct(F.array(*[F.min_by("cid", F.xxhash64("cid", F.lit(i))) for i in range(LEADERS)]))
     buckets = (
         found.groupBy("key", "m").agg(F.bit_xor(F.xxhash64("cid")).alias("who"), leaders.alias("leaders"))
-        # bands with the very same members are one bucket
+        # keys with the very same members are one bucket
         .groupBy("m", "who").agg(F.min_by(F.struct("key", "leaders"), "key").alias("b"))
         .select("b.key", "b.leaders", _block(F.col("m"), block).alias("blocks"))
     )
@@ -273,9 +311,10 @@ def near_duplicates(df: DataFrame, percent: int = 80, id_col: str = "doc_id", te
     ``component_id`` is the smallest id that a row reaches over links; ``kept`` is true for the row that
     bears it. Rows without words are linked with nothing. Rows with one id count as one document. A row
     without id is judged by its text: its component is that of the rows with the same shingle set, or null
-    if there are none, and it is kept only then. Columns besides the two named are not read.
+    if there are none, and it is kept only then. Columns besides the two named are not read. Links are
+    found exactly where the smaller set has up to ``EXACT`` shingles, by bands where both have more.
     """
-    sketch = checkpoint(sketches(df, id_col, text_col, words, bands, rows))
+    sketch = checkpoint(sketches(df, id_col, text_col, percent, words, bands, rows))
     classes = checkpoint(
         sketch.where("hi IS NOT NULL AND id IS NOT NULL").groupBy("hi", "lo")
         .agg(F.min("id").alias("cid"), F.min("n_shingles").alias("n"), F.first("keys").alias("keys"))

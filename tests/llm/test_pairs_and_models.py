@@ -88,6 +88,20 @@ def test_near_duplicates_equal_all_pairs(spark, percent, block):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_short_pairs_at_the_threshold(spark, percent):
+    rng = random.Random(percent)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(8))
+    passage, rows = " ".join(word() for _ in range(6)), []
+    for n in (4, 6, 12, 17, 34, 57, 85, 150, 200):
+        more = n * (100 - percent) // percent  # set b holds a, and as many others as the threshold allows
+        for k in range(40 if more else 0):
+            a = [*passage.split(), *[word() for _ in range(n - 2)]] if k % 2 and n > 12 else [word() for _ in range(n + 4)]
+            rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(a + [word() for _ in range(more)]))]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent, bands=40, rows=6)
+    assert [(r.doc_id, r.component_id) for r in got.collect() if r.component_id != r.doc_id // 2 * 2] == []
+
+
 def test_near_duplicates_without_ids_and_with_repeats(spark):
     a, b, c = "a b c d e f", "g h i j k l", "m n o p q r"
     rows = [(5, a), (5, a), (5, b), (9, b), (None, a), (None, c), (3, c), (None, "own text"), (4, None)]
