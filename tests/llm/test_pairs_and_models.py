@@ -253,6 +253,19 @@ def shares_of(text):
     return [*one, *one[1:], *again]
 
 
+def test_stages_judge_documents_without_labels(spark, tmp_path):
+    docs, labels = lessons()
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    truth = {5000 + i: (good, toxic) for i, good, toxic in labels if i is not None and good is not None}
+    shard = [(5000 + i, text) for i, text in docs[:-4] if 5000 + i in truth][:300]
+    shard = spark.createDataFrame(shard, "doc_id long, text string").cache()
+    for stage, column, wanted in ((corpus_pipeline.keep_quality, 0, 1), (corpus_pipeline.drop_toxic, 1, 0)):
+        kept = {r.doc_id for r in stage(spark, shard, str(tmp_path)).collect()}
+        right = [(r.doc_id in kept) == (truth[r.doc_id][column] == wanted) for r in shard.collect()]
+        assert sum(right) >= 0.95 * len(right)
+
+
 def test_pipeline_keeps_clean_documents_and_packs_the_rest(spark, tmp_path):
     docs, labels = lessons()
     docs = docs[:-4] + [(1000, docs[0][1]), (1001, docs[0][1] + " abcd"), (1002, None)]
