@@ -18,7 +18,10 @@ K = 10
 
 
 def scaled_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int, query: Column) -> DataFrame:
-    """(id, query, v): floor(scale * x) of each usable vector as doubles, in which the products are exact."""
+    """(id, v, m, q): floor(scale * x) of each usable vector as doubles, in which the products are exact.
+
+    Equal rows (id, v) are one, ``m`` is their number and ``q`` the number of queries among them.
+    """
     x = F.col(vector_col).cast("array<double>")
     rows = df.select(F.col(id_col).cast("long").alias("id"), query.alias("query"), x.alias("x"))
     rows = rows.where("id IS NOT NULL AND size(x) > 0 AND forall(x, c -> c IS NOT NULL AND abs(c) < double('Infinity'))")
@@ -29,28 +32,30 @@ def scaled_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int, quer
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
                                              names=["id", "query", "v"])
 
-    return rows.mapInArrow(run, "id long, query boolean, v binary")
+    made = rows.mapInArrow(run, "id long, query boolean, v binary")
+    return made.groupBy("id", "v").agg(F.count(F.lit(1)).alias("m"), F.count_if("query").alias("q"))
 
 
 def _search(data: DataFrame, queries: DataFrame, cells: Cells, k: int, everywhere: bool) -> DataFrame:
-    """(query_id, vec_id, score): candidates of the queries (id, bound, v) in the blocks they visit.
+    """(query_id, vec_id, score, n): candidates of the queries (id, q, bound, v) in the blocks they visit.
 
+    Rows and queries are distinct; ``n`` is how many pairs of their copies a result stands for.
     Either one block of the query's own cell, for a first bound, or every block whose largest possible
     product, from its centre and covering radius, is not below the query's bound.
     """
     def deal_data(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                ids = batch.column(0).to_numpy()
+                ids, copies = batch.column(0).to_numpy(), batch.column(2).to_numpy()
                 home = cells.distances(vectors(batch, 1)).argmin(1)
-                yield from homes(ids, np.ones(len(ids), np.int64), np.zeros(len(ids)), batch.column(1), home, cells)
+                yield from homes(ids, copies, np.zeros(len(ids)), batch.column(1), home, cells)
 
     def deal_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids, bounds = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            points, ones = vectors(batch, 2), np.ones(len(ids), np.int64)
+            points, copies = vectors(batch, 2), batch.column(3).to_numpy()
             visit = place(ids, np.full(len(ids), cells.visits))
             home = cells.distances(points).argmin(1)
             most = points @ cells.centres.T + np.linalg.norm(points, axis=1)[:, None] * cells.radius[None, :]
@@ -62,25 +67,26 @@ def _search(data: DataFrame, queries: DataFrame, cells: Cells, k: int, everywher
                         take = np.nonzero((home == cell) & (place(ids, cells.blocks[home]) == b))[0]
                     if len(take):
                         yield placed_batch(np.full(len(take), cell), np.full(len(take), b), visit[take], True, ids,
-                                           ones, bounds, batch.column(2), take)
+                                           copies, bounds, batch.column(2), take)
 
     def run(group: tuple, home: tuple, visitors: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-        ids, _, _, points = home
+        ids, copies, _, points = home
         tree = None
-        for v_ids, _, v_bounds, v_points in visitors:
+        for v_ids, v_copies, v_bounds, v_points in visitors:
             tree = tree or Tree(points)
             best = top_products(Tree(v_points), tree, k, ids, v_bounds, v_ids)
             sizes = [len(rows) for rows, _ in best]
             rows = np.concatenate([rows for rows, _ in best])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(v_ids, sizes), pa.int64()), pa.array(ids[rows], pa.int64()),
-                 pa.array(np.concatenate([s for _, s in best]).astype(np.int64))], names=["query_id", "vec_id", "score"],
+                 pa.array(np.concatenate([s for _, s in best]).astype(np.int64)),
+                 pa.array(np.repeat(v_copies, sizes) * copies[rows])], names=["query_id", "vec_id", "score", "n"],
             )
 
-    placed = data.select("id", "v").mapInArrow(deal_data, PLACED).unionByName(
-        queries.select("id", "bound", "v").mapInArrow(deal_queries, PLACED)
+    placed = data.select("id", "v", "m").mapInArrow(deal_data, PLACED).unionByName(
+        queries.select("id", "bound", "v", "q").mapInArrow(deal_queries, PLACED)
     )
-    return over_blocks(placed, run, "query_id long, vec_id long, score long")
+    return over_blocks(placed, run, "query_id long, vec_id long, score long, n long")
 
 
 def top_k(df: DataFrame, query: Column, k: int = K, scale: int = 1024, id_col: str = "vec_id",
@@ -89,12 +95,13 @@ def top_k(df: DataFrame, query: Column, k: int = K, scale: int = 1024, id_col: s
 
     Rows for which ``query`` holds are the queries. Scores are whole numbers, ties go to the smaller id.
     Vectors that are null, empty, or hold null or non-finite components, and rows without id, take no part;
-    fewer than k candidates give fewer rows. Rows with the query's id count as its own. All vectors have
-    one length; other columns are not read.
+    fewer than k candidates give fewer rows. Rows with the query's id count as its own. Repeated rows are
+    searched once; as in SQL each copy of a candidate takes a rank, and so does each copy of its query's row.
+    All vectors have one length; other columns are not read.
     """
     rows = checkpoint(scaled_vectors(df, id_col, vector_col, scale, F.coalesce(query, F.lit(False))))
     cells = make_cells(rows, block)
-    queries = rows.where("query").select("id", F.lit(float("-inf")).alias("bound"), "v")
+    queries = rows.where("q > 0").select("id", F.lit(float("-inf")).alias("bound"), "v", "q")
     first = _search(rows, queries, cells, k, everywhere=False)
     ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     bounds = (
@@ -102,11 +109,13 @@ def top_k(df: DataFrame, query: Column, k: int = K, scale: int = 1024, id_col: s
         .where(F.col("n") >= k)
     )
     bounds = queries.join(bounds, F.col("id") == F.col("query_id"), "left").select(
-        "id", F.coalesce("low", "bound").alias("bound"), "v"
+        "id", F.coalesce("low", "bound").alias("bound"), "v", "q"
     )
     found = _search(rows, checkpoint(bounds), cells, k, everywhere=True)
-    # copies of a query row give its candidates again
+    copies = F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(k)).cast("int")))
+    ranked = found.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
     return (
-        found.distinct().withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
+        ranked.select("query_id", "vec_id", "score", copies.alias("copy"))
+        .withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

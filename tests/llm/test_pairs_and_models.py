@@ -177,6 +177,21 @@ def test_top_k_equals_all_products(spark, block):
     assert topk.top_k(few.where("false"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("block", [32, 4096])
+def test_top_k_of_repeated_rows(spark, block):
+    points = np.round(clustered(n=120), 1)
+    rows = [(int(i), [float(x) for x in p]) for i, p in enumerate(points)]
+    rows = rows * 2 + rows[:3] * 12 + [(20, rows[21][1])]  # copies, and a query with two vectors
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3),
+                     F.col("vec_id") % 20 == 0, block=block).collect()
+    ids, whole = np.array([i for i, _ in rows]), np.floor(1024 * np.array([p for _, p in rows]))
+    want = []
+    for q in range(0, 120, 20):
+        pairs = [(-int(s), int(i)) for at in np.nonzero(ids == q)[0] for i, s in zip(ids, whole @ whole[at]) if i != q]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(pairs)[:10], 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def lessons(n=1500):
     """Junk has marks on its words, toxic texts have one of two words; ids decide what is held out."""
     rng = random.Random(4)
