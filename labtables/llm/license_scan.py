@@ -1,7 +1,7 @@
 """License scan: exact phrases, and a set-similarity join of text blocks with templates (operator 10).
 
-The join finds every block (line) of a text that holds at least a given share of a template's distinct
-words. Words have one global order, rarest in all documents first. A template's prefix is so long that
+The join finds every block of a text that holds at least a given share of a template's distinct words.
+Blocks are the lines and, if asked for, in text wrapped over lines all runs of twice as many words as the template has. Words have one global order, rarest in all documents first. A template's prefix is so long that
 a block without any word of it cannot hold the share, so blocks look up their words in an index of the
 prefixes; the length filter and the positional filter then drop candidates before words are counted.
 """
@@ -104,6 +104,51 @@ class Index:
                     yield number, Fraction(common, len(template))
 
 
+    def wrapped(self, lines: Sequence[Sequence[bytes]]) -> Iterator[tuple[int, int, Fraction]]:
+        """(line, template, share) of runs over more than one line that hold enough of a template.
+
+        A run has up to twice as many words as the template's set and lies around a word of its prefix;
+        of runs that meet, the first with the largest share counts, by the line on which it starts.
+        """
+        held = []  # (word number, line, rank) of all words of templates
+        at = 0
+        for number, line in enumerate(lines):
+            held += [(at + i, number, self.order[w]) for i, w in enumerate(line) if w in self.order]
+            at += len(line)
+        around: dict[int, list[int]] = {}
+        for i, (_, _, rank) in enumerate(held):
+            for number, _ in self.prefixes.get(rank, ()):
+                around.setdefault(number, []).append(i)
+        for number, anchors in around.items():
+            template, need, _ = self.templates[number]
+            mine, width, reach = frozenset(template), 2 * len(template), 0
+            best = None  # (share, line, end)
+            for i in anchors:
+                low = i
+                while low > reach and held[i][0] - held[low - 1][0] < width:
+                    low -= 1
+                for start in range(low, i + 1):
+                    place, line, rank = held[start]
+                    if rank not in mine:
+                        continue
+                    end, seen = start, set()
+                    while end < len(held) and held[end][0] - place < width:
+                        seen.add(held[end][2])
+                        end += 1
+                    common = len(seen & mine)
+                    if common < need or held[end - 1][1] == line:
+                        continue
+                    if best and start >= best[2]:
+                        yield best[1], number, best[0]
+                        best = None
+                    share = Fraction(common, len(template))
+                    if best is None or share > best[0]:
+                        best = (share, line, end)
+                reach = i + 1
+            if best:
+                yield best[1], number, best[0]
+
+
 def word_counts(texts: DataFrame, wanted: frozenset[bytes]) -> dict[bytes, int]:
     """Occurrences in all texts of the words of templates; at most one row a word to the driver."""
 
@@ -122,12 +167,13 @@ def word_counts(texts: DataFrame, wanted: frozenset[bytes]) -> dict[bytes, int]:
 
 
 def scan_licenses(df: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES,
-                  threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
+                  wrapped: bool = False) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks) for each row.
 
     ``n_base`` counts all places of phrases, ``first_word`` and ``last_word`` are the smallest and largest
     word number at which one starts (null without any). ``blocks`` lists (line, template, share) of each
-    pair that meets the threshold; ``score`` is 1 with a phrase, else the largest share, else 0. Labels are
+    pair that meets the threshold; with ``wrapped`` also of runs over lines that hold more of a template than any single line; ``score`` is 1 with a phrase, else the largest share, else 0. Labels are
     distinct, sorted and joined by commas, empty if there are none. A null text counts as empty. Frequencies
     are counted over all rows in a pass of its own; each row is then judged where it is read.
     """
@@ -147,11 +193,17 @@ def scan_licenses(df: DataFrame, phrases: Mapping[str, str] = PHRASES, templates
             out = []
             for text in batch.column(1):
                 lines = words_of(text.as_py() or "")
-                starts, base = places([w for line in lines for w in line], sought)
+                flat = [w for line in lines for w in line]
+                starts, base = places(flat, sought)
                 blocks = []
                 for number, line in enumerate(lines):
                     if any(map(rare.__contains__, map(index.order.get, wanted.intersection(line)))):
                         blocks += [(number, t, share) for t, share in index.matches(line)]
+                if wrapped and len(lines) > 1 and not rare.keys().isdisjoint(map(index.order.get, wanted.intersection(flat))):
+                    most = {}
+                    for _, t, share in blocks:
+                        most[t] = max(share, most.get(t, 0))
+                    blocks += [b for b in index.wrapped(lines) if b[2] > most.get(b[1], 0)]
                 labels = {*base, *[index.templates[t][2] for _, t, _ in blocks]}
                 out.append((
                     sum(map(len, lines)), len(starts), min(starts, default=None), max(starts, default=None),

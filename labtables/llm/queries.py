@@ -122,7 +122,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_license_scan", license_scan.oracle())
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"), wrapped=True).drop("blocks")
 
 
 @query("pipeline")

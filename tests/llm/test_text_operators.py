@@ -214,3 +214,17 @@ def test_license_scan_equals_all_pairs(spark):
             assert {(b.line, b.template, b.share) for b in r.blocks} == blocks
             assert r.labels == ",".join(sorted(base | {license_scan.TEMPLATES[t] for _, t, _ in blocks}))
             assert r.score == (1.0 if places else max((s for *_, s in blocks), default=0.0))
+
+
+def test_license_text_wrapped_over_lines(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided"
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General "
+           "Public License as published by\nthe Free Software Foundation, either version 3 of the License")
+    far = bsd.replace("\n", "\n" + "word " * 40)
+    narrow = "x\n" * 3 + bsd.replace(" ", "\n")
+    rows = list(enumerate([bsd, gpl, far, narrow, bsd.replace("\n", " ")]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(df, wrapped=True).collect()}
+    assert [got[i].labels for i in range(5)] == ["bsd", "gpl-3", "", "bsd", "bsd"]
+    assert got[0].score == got[3].score == got[4].score == 1.0 and got[1].score >= 0.8
+    assert [(b.line, b.share) for b in got[3].blocks] == [(3, 1.0)]
