@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labtables.config import shared_dir
+
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by files in the folder that the cluster names in spark.checkpoint.dir.
@@ -99,3 +101,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def row_pieces(rows: int, size: int) -> Sequence[tuple[int, int]]:
     return [(i, min(i + size, rows)) for i in range(0, rows, size)]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as it reads back from files in the shared folder; its plan runs once, here."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

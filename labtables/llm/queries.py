@@ -9,7 +9,21 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labtables.llm import license_scan, neardup, packing, quality, tokens, topk, toxicity, url_filters, vector_dedup, viterbi
+from labtables.llm import (
+    lexical,
+    license_scan,
+    neardup,
+    packing,
+    perplexity,
+    quality,
+    resampling,
+    tokens,
+    topk,
+    toxicity,
+    url_filters,
+    vector_dedup,
+    viterbi,
+)
 from labtables.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +139,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"), wrapped=True).drop("blocks")
 
 
+@query("op11_quality_rules")
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op12_ranked_search", lexical.oracle())
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_resampling", resampling.oracle())
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

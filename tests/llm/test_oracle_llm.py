@@ -20,11 +20,12 @@ def test_query(spark, con, name):
     assert difference(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", ["op1_quality", "op2_minhash", "op4_sentencepiece", "op5_token_counts", "op8_toxicity"])
+@pytest.mark.parametrize("name", ["op1_quality", "op2_minhash", "op4_sentencepiece", "op5_token_counts", "op8_toxicity",
+                                  "op11_quality_rules"])
 def test_one_row_a_document(spark, con, name):
     n = con.execute("SELECT count(*) FROM documents").fetchall()[0][0]
     assert QUERIES[name](spark, SF_DIR).select("doc_id").distinct().count() == n
 
 
 def test_each_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14))
