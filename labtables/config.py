@@ -54,6 +54,40 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Existence test for a path or a pattern of paths."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jpath)
+    return found is not None and len(found) > 0
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True once the write that made ``path`` was committed (its ``_SUCCESS`` marker is there)."""
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file, null if it is not there."""
+    if not path_exists(spark, path):
+        return None
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def swap_small(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file in one step: readers see the old text or the new one, never a part."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    fresh = hadoop.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = target.getFileSystem(conf).create(fresh)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    overwrite = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+    overwrite[0] = getattr(hadoop.Options.Rename, "OVERWRITE")
+    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(fresh, target, overwrite)

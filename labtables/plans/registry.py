@@ -1,7 +1,15 @@
-"""Named tables that are built once, with their dependencies, and then read."""
+"""Named tables that are built once, with their dependencies, and then read.
+
+A built table has a record beside it: a fingerprint of what it was built from, and a stamp of the build.
+The fingerprint covers the definition's version, the names, sizes and times of its raw files and the
+stamps of the tables it depends on, so whatever is built anew makes all that follows from it stale.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -9,18 +17,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labtables.config import is_complete
+from labtables.config import is_complete, matches, read_small, swap_small
 
 
 @dataclass(frozen=True)
 class TableDef:
-    """``build`` gets the session and a dict of the tables named in ``deps``."""
+    """``build`` gets the session and a dict of the tables named in ``deps``.
+
+    ``inputs`` are the raw files and folders it reads, ``version`` stands for its parameters and code.
+    """
 
     name: str
     build: Callable[[SparkSession, dict[str, DataFrame]], DataFrame]
     deps: tuple[str, ...] = ()
     large: bool = False
     schema: T.StructType | None = None
+    inputs: tuple[str, ...] = ()
+    version: str = ""
+
+
+def file_state(spark: SparkSession, path: str) -> str:
+    """Number of the files below a path or pattern and a sum over their names, sizes and times; no content
+    is read."""
+    if not matches(spark, path):
+        return "absent"
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    one = F.xxhash64("path", "length", F.unix_micros("modificationTime")).cast("decimal(38,0)")
+    return str(found.select(one.alias("h")).agg(F.count("h"), F.sum("h")).first())
 
 
 @dataclass
@@ -63,28 +86,84 @@ class Registry:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def _record_path(self, name: str) -> str:
+        base, table = self.path(name).rsplit("/", 1)
+        return f"{base}/_builds/{table}.json"
+
+    def record(self, name: str) -> dict | None:
+        """Fingerprint and stamp of the last build; null for a table that was put there by other means."""
+        text = read_small(self.spark, self._record_path(name))
+        return json.loads(text) if text else None
+
+    def fingerprint(self, name: str) -> str:
+        """What the table would be built from now."""
+        table = self._def(name)
+        stamps = [(d, (self.record(d) or {}).get("stamp", "")) for d in table.deps]
+        files = [(p, file_state(self.spark, p)) for p in table.inputs]
+        return hashlib.sha256(json.dumps([name, table.version, files, stamps]).encode()).hexdigest()
+
+    def is_fresh(self, name: str) -> bool:
+        """The table is complete and was built from what is there now; one without a record counts as such."""
+        if not is_complete(self.spark, self.path(name)):
+            return False
+        record = self.record(name)
+        return record is None or record["fingerprint"] == self.fingerprint(name)
+
+    def stale(self, names: Iterable[str] | None = None) -> list[str]:
+        """The tables, of those named (default: all) and what they depend on, that a build would write."""
+        found: list[str] = []
+        for step in self.order(list(names) if names is not None else list(self.defs)):
+            if any(d in found for d in self._def(step).deps) or not self.is_fresh(step):
+                found.append(step)
+        return found
+
+    def dependents(self, names: Iterable[str]) -> list[str]:
+        """The tables that follow from the named ones, in building order, without these."""
+        reached = set(names)
+        after = []
+        for step in self.order(list(self.defs)):
+            if step not in reached and reached.intersection(self._def(step).deps):
+                reached.add(step)
+                after.append(step)
+        return after
+
     def _write(self, name: str) -> None:
         table = self._def(name)
+        # taken before the build: a file that changes meanwhile makes the table stale
+        fingerprint = self.fingerprint(name)
         df = table.build(self.spark, {d: self.read(d) for d in table.deps})
         if table.schema is not None:
             df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
         # a folder without its success marker is left from a failed write and is replaced
         df.write.mode("overwrite").parquet(self.path(name))
+        record = {"fingerprint": fingerprint, "stamp": uuid.uuid4().hex}
+        swap_small(self.spark, self._record_path(name), json.dumps(record))
 
     def get_or_create(self, name: str) -> DataFrame:
-        for step in self.order([name]):
-            if not is_complete(self.spark, self.path(step)):
-                self._write(step)
-        return self.read(name)
+        return self.build([name])[name]
 
     def build(self, names: Iterable[str] | None = None, overwrite: bool = False) -> dict[str, DataFrame]:
-        """Build the named tables (all by default); ``overwrite`` replaces those that exist."""
+        """Build the named tables (all by default) and what they depend on, where absent or stale.
+
+        ``overwrite`` writes the named ones in any case.
+        """
         wanted = list(names) if names is not None else list(self.defs)
         for step in self.order(wanted):
-            if (overwrite and step in wanted) or not is_complete(self.spark, self.path(step)):
+            if (overwrite and step in wanted) or not self.is_fresh(step):
                 self._write(step)
         return {n: self.read(n) for n in wanted}
 
+    def rebuild(self, names: Iterable[str]) -> list[str]:
+        """Write the named tables anew, then all built tables that follow from them; the names written."""
+        wanted = list(names)
+        after = [n for n in self.dependents(wanted) if is_complete(self.spark, self.path(n))]
+        written = []
+        for step in self.order([*wanted, *after]):
+            if step in wanted or not self.is_fresh(step):
+                self._write(step)
+                written.append(step)
+        return written
+
 
 def preview(df: DataFrame, order: list[str], n: int = 20) -> DataFrame:
     """First rows in a fixed order."""

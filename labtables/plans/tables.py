@@ -20,6 +20,7 @@ from labtables.operators.sources import merge_sources, tag
 from labtables.operators.splits import with_levels, with_usage
 from labtables.plans.registry import Registry, TableDef
 from labtables.sources.labelled import parse_labelled
+from labtables.sources.records import labelled_records, tagged_records
 from labtables.sources.tagged import parse_tagged
 from labtables.sources.text import files, lines, parse_aliases, parse_pairs, split_rejects, tagged_lines
 
@@ -47,6 +48,7 @@ class Inputs:
     seed: int = 0
     check_tasks: int | None = None
     enrich_tasks: int | None = None
+    many_records: bool = False  # files of the two folders hold records that bear their own names
 
 
 def structure_map(pairs: DataFrame, aliases: DataFrame, check: Column | Check,
@@ -121,10 +123,11 @@ def tables(inputs: Inputs) -> list[TableDef]:
         return structure_map(pairs, aliases, inputs.check, inputs.check_tasks)[0]
 
     def parse_series(spark: SparkSession, _: dict) -> DataFrame:
-        return measured_series(files(spark, inputs.series_dir), inputs.grid, inputs.max_gap).drop("gap")
+        scan = labelled_records if inputs.many_records else files
+        return measured_series(scan(spark, inputs.series_dir), inputs.grid, inputs.max_gap).drop("gap")
 
     def parse_properties(spark: SparkSession, _: dict) -> DataFrame:
-        return computed_properties(files(spark, inputs.property_dir))
+        return computed_properties((tagged_records if inputs.many_records else files)(spark, inputs.property_dir))
 
     def build_universe(spark: SparkSession, t: dict) -> DataFrame:
         return universe(t["structure_map"], _external(spark, inputs), inputs.own_source, inputs.enrich, inputs.flags,
@@ -133,16 +136,20 @@ def tables(inputs: Inputs) -> list[TableDef]:
     def build_usage(spark: SparkSession, t: dict) -> DataFrame:
         return with_usage(with_levels(t["measured"], t["structure_map"], t["universe"]), inputs.seed)
 
+    grid = repr((inputs.grid, inputs.max_gap))
+    external = (inputs.universe_dir,) if inputs.universe_dir else ()
     return [
-        TableDef("structure_map", build_map, (), False, schemas.STRUCTURE_MAP),
-        TableDef("parsed_series", parse_series, (), False, schemas.PARSED_SERIES),
-        TableDef("parsed_properties", parse_properties, (), False, schemas.PARSED_PROPERTIES),
+        TableDef("structure_map", build_map, (), False, schemas.STRUCTURE_MAP, (inputs.structures, inputs.aliases)),
+        TableDef("parsed_series", parse_series, (), False, schemas.PARSED_SERIES, (inputs.series_dir,), grid),
+        TableDef("parsed_properties", parse_properties, (), False, schemas.PARSED_PROPERTIES, (inputs.property_dir,)),
         TableDef("measured", lambda _, t: measured(t["parsed_series"], t["structure_map"]),
                  ("parsed_series", "structure_map"), False, schemas.MEASURED),
         TableDef("computed", lambda _, t: computed(t["parsed_properties"], t["structure_map"]),
                  ("parsed_properties", "structure_map"), False, schemas.COMPUTED),
-        TableDef("universe", build_universe, ("structure_map",), True, schemas.universe(inputs.flags)),
-        TableDef("usage", build_usage, ("measured", "structure_map", "universe"), False, schemas.USAGE),
+        TableDef("universe", build_universe, ("structure_map",), True, schemas.universe(inputs.flags), external,
+                 inputs.own_source),
+        TableDef("usage", build_usage, ("measured", "structure_map", "universe"), False, schemas.USAGE, (),
+                 str(inputs.seed)),
     ]
 
 
@@ -191,8 +198,9 @@ def rejects_table(inputs: Inputs) -> TableDef:
             source_keys(t["structure_map"], _external(spark, inputs), inputs.own_source), t["structure_map"], t["universe"],
         )
 
+    files = (inputs.structures, inputs.aliases, *([inputs.universe_dir] if inputs.universe_dir else []))
     return TableDef("rejects", build, ("structure_map", "parsed_series", "parsed_properties", "universe"), False,
-                    schemas.REJECTS)
+                    schemas.REJECTS, files, inputs.own_source)
 
 
 def create_documents(registry: Registry, **limits: int) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from labtables.config import shared_dir
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -23,3 +25,20 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def text_files(spark: SparkSession, sf_dir: str, name: str, make: Callable[[SparkSession, str], DataFrame],
+               end: str = "\n") -> str:
+    """Folder of text files with the rows of ``make`` (column ``value``), each closed by ``end``.
+
+    The raw files of a query: written to the shared folder once for a session and a folder of tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = shared_dir(spark, name)
+        make(spark, sf_dir).write.option("lineSep", end).text(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]

@@ -8,7 +8,7 @@ from labtables.config import shared_dir
 from labtables.operators.quality import audit
 from labtables.plans.tables import rejected, structure_map
 from labtables.queries.base import query, table
-from labtables.sinks.files import write_id_ledger, write_lines
+from labtables.sinks.files import write_lines
 from labtables.sources import text
 
 
@@ -29,15 +29,26 @@ def binary_scan(spark, d):
 
 
 @query("binary_audit", """
-SELECT 'p_size=' || p_size AS folder, true AS whole FROM part GROUP BY p_size
+SELECT CAST(p_size AS VARCHAR) AS folder, CASE WHEN p_size % 5 = 0 THEN 'missing' WHEN p_size % 5 = 1 THEN 'mismatch' ELSE 'ok' END
+  AS status, count(DISTINCT p_name) AS n_names FROM part GROUP BY ALL
 """)
 def binary_audit(spark, d):
-    """A ledger of the files as they are, audited against a second scan of their bytes."""
-    files = text.binary_files(spark, size_lines(spark, d))
-    ledger = files.select("filename", F.md5("content").alias("md5"))
-    status = audit(ledger, files)
-    folder = F.substring_index("filename", "/", 1)
-    return status.groupBy(folder.alias("folder")).agg(F.bool_and(F.col("status") == "ok").alias("whole"))
+    """Files of names by size, the ledger of their bytes, and the files as they are found later: those of
+    every fifth size are gone, those of another fifth have changed."""
+    part = table(spark, d, "part").select(F.col("p_name").alias("value"), "p_size")
+    first, later = shared_dir(spark, "lines"), shared_dir(spark, "lines")
+    changed = F.when(F.col("p_size") % 5 == 1, F.concat("value", F.lit("."))).otherwise(F.col("value"))
+    # one file for a size, its name without the parts that the writer makes up
+    of_size = part.groupBy("p_size").agg(F.sort_array(F.collect_set("value")).alias("names"))
+    write_lines(of_size.select(F.array_join("names", "\n").alias("value"), "p_size"), first, "p_size")
+    write_lines(of_size.where("p_size % 5 <> 0").select(
+        F.array_join("names", "\n").alias("value"), "p_size").withColumn("value", changed), later, "p_size")
+    size = lambda: F.regexp_extract("filename", r"^p_size=(\d+)/", 1)
+    before = text.binary_files(spark, first).withColumn("filename", size())
+    ledger = before.select("filename", F.md5("content").alias("md5"))
+    status = audit(ledger, text.binary_files(spark, later).withColumn("filename", size()))
+    lines = before.select("filename", (F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1).cast("bigint").alias("n_names"))
+    return status.join(lines, "filename").select(F.col("filename").alias("folder"), "status", "n_names")
 
 
 @query("text_lines", "SELECT p_name AS value, count(*) AS n FROM part GROUP BY p_name")
@@ -47,21 +58,23 @@ def text_lines(spark, d):
     return text.lines(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("tagged_files", "SELECT DISTINCT p_name AS value, true AS tagged FROM part")
+@query("tagged_files", """
+SELECT p_name AS value, CAST(p_size AS VARCHAR) AS source, count(*) AS n FROM part GROUP BY ALL
+""")
 def tagged_files(spark, d):
-    """Lines of all files of a folder in one scan; each has the name of a file as its source."""
+    """Lines of all files in one scan. The first line of a file says what it holds; every other line must
+    bear the name of the file whose first line fits it."""
     path = shared_dir(spark, "lines")
-    write_lines(table(spark, d, "part").select(F.col("p_name").alias("value")), path)
-    tagged = text.tagged_lines(spark, path)
-    return tagged.groupBy("value").agg(F.bool_and(F.rlike("source", F.lit(r"^part-.*\.txt$"))).alias("tagged"))
-
-
-@query("id_ledger", "SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_acctbal > 0")
-def id_ledger(spark, d):
-    """An id ledger written with its end marker and read again."""
-    path = shared_dir(spark, "ids")
-    write_id_ledger(table(spark, d, "customer").where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("id")), path)
-    return text.parse_ids(text.ordered_lines(spark, path))
+    part = table(spark, d, "part")
+    lines = part.select(F.concat_ws("|", F.col("p_size").cast("string"), "p_name").alias("value"), "p_size")
+    heads = part.select("p_size").distinct().select(F.concat(F.lit("head|"), F.col("p_size").cast("string")).alias("value"), "p_size")
+    write_lines(lines.unionByName(heads).repartition("p_size"), path, "p_size")
+    tagged = text.tagged_lines(spark, f"{path}/*").withColumn("cells", F.split("value", r"\|", 2))
+    head = F.get("cells", F.lit(0)) == "head"
+    heads = tagged.where(head).select("source", F.get("cells", F.lit(1)).alias("size"))
+    found = tagged.where(~head).join(heads, "source").where(F.get("cells", F.lit(0)) == F.col("size"))
+    return found.groupBy(F.get("cells", F.lit(1)).alias("value"), F.col("size").alias("source")).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 REJECTS_SQL = """

@@ -1,4 +1,4 @@
-"""Parsers of lines and files, on text that Spark makes from table rows."""
+"""Parsers of lines and files, on text files that Spark writes from table rows."""
 
 from __future__ import annotations
 
@@ -8,9 +8,11 @@ from labtables.config import shared_dir
 from labtables.functions.strings import file_key, leading_word
 from labtables.operators import coords, enrich, keys, quality
 from labtables.plans.tables import computed, computed_properties
-from labtables.queries.base import query, table
-from labtables.sinks.files import export_json, write_new
+from labtables.queries.base import query, table, text_files
+from labtables.sinks.files import export_json, write_coords, write_new
 from labtables.sources import labelled, text
+from labtables.sources.records import LABELLED_END, labelled_records, tagged_records
+from labtables.sources.tagged import RECORD_END
 
 
 def text_of(name: str):
@@ -97,19 +99,23 @@ def state_parse(spark, d):
     )
 
 
-def labelled_files(spark, d):
-    """One labelled-record file per order: a repeated header, stray lines, glued negative numbers."""
+def labelled_text(spark, d):
+    """One labelled record per order: a repeated header, stray lines, glued negative numbers."""
     whole = F.floor("o_totalprice").cast("bigint").cast("string")
+    name = F.concat(text_of("o_custkey"), F.lit("-"), text_of("o_orderkey"), F.lit(".jdx"))
     content = F.concat(
-        F.lit("##TITLE= order "), text_of("o_orderkey"), F.lit("\r\n##STATE="), F.col("o_orderpriority"),
+        F.lit("\n99 99\n##TITLE= "), name, F.lit(" \r\n##STATE="), F.col("o_orderpriority"),
         F.lit("\r\n##FIRSTX=1\n##LASTX="), text_of("o_custkey"), F.lit("\n##NPOINTS = 6\n##YFACTOR=9\n"),
         F.when(F.col("o_orderstatus") != "P", "##YFACTOR=0.5\n").otherwise(""),
         F.lit("##XUNITS=1/CM\n##YUNITS= "), F.col("o_orderstatus"), F.lit(" \nstray 1 2\n##XYDATA=(XY..XY)\n3 4\n"),
         F.lit("##XYDATA= (X++(Y..Y))\n"), text_of("o_orderkey"), F.lit(" "), whole, F.lit("-"), text_of("o_custkey"),
-        F.lit("\n##NOTE=inside\n  "), text_of("o_custkey"), F.lit(" 1e-2 7 "), whole, F.lit("\n##END=\n99 99\n"),
+        F.lit("\n##NOTE=inside\n  "), text_of("o_custkey"), F.lit(" 1e-2 7 "), whole,
     )
-    name = F.concat(text_of("o_custkey"), F.lit("-"), text_of("o_orderkey"), F.lit(".jdx"))
-    return table(spark, d, "orders").select(name.alias("file"), content.alias("content"))
+    return table(spark, d, "orders").select(content.alias("value"))
+
+
+def labelled_files(spark, d):
+    return labelled_records(spark, text_files(spark, d, "labelled", labelled_text, LABELLED_END))
 
 
 @query("labelled_headers", """
@@ -138,19 +144,23 @@ def labelled_points(spark, d):
     return points.select("file", "line", "j", "x", (F.col("y") + F.lit(0.0)).alias("y"))
 
 
-def tagged_files(spark, d):
-    """One tagged-property file per order; open orders lack the method."""
+def tagged_text(spark, d):
+    """One property record per order; open orders have a method only in the record's last line."""
     whole = F.floor("o_totalprice").cast("bigint").cast("string")
     content = F.concat(
+        F.lit("\n"), text_of("o_orderkey"), F.lit(".sdf \n"),
         F.when(F.col("o_orderstatus") == "O", "order\n").otherwise(
             F.concat(F.lit("> <METHOD>\n"), F.col("o_orderpriority"), F.lit("\n\n"))
         ),
         F.lit("> <TOTAL.PRICE>\n"), whole, F.lit("\n> <IR.FREQUENCIES>\nfrequency intensity\n"),
         text_of("o_orderkey"), F.lit("  "), text_of("o_custkey"), F.lit(".5\n\n"), whole,
-        F.lit("\t-3\n$$$$\n> <METHOD>\nlater\n"),
+        F.lit("\t-3\n> <METHOD>\nlater\n"),
     )
-    name = F.concat(text_of("o_orderkey"), F.lit(".sdf"))
-    return table(spark, d, "orders").select(name.alias("file"), content.alias("content"))
+    return table(spark, d, "orders").select(content.alias("value"))
+
+
+def tagged_files(spark, d):
+    return tagged_records(spark, text_files(spark, d, "tagged", tagged_text, RECORD_END))
 
 
 def peaks_text(freqs):
@@ -220,17 +230,26 @@ def pattern_flags(spark, d):
 SELECT doc_id, length(base64(encode(text))) AS n_encoded, md5(text) AS digest, true AS same FROM documents
 """)
 def base64_roundtrip(spark, d):
-    # the encoder breaks lines after 76 characters, which the decoder must not see
-    encoded = F.regexp_replace(F.base64(F.encode("text", "UTF-8")), "\r\n", "")
-    docs = table(spark, d, "documents").select("doc_id", "text").select("doc_id", "text", encoded.alias("encoded"))
-    back = coords.decode_base64(F.col("encoded"))
-    return docs.withColumn("back", back).select(
-        "doc_id", F.length("encoded").cast("bigint").alias("n_encoded"), F.md5("back").alias("digest"),
-        (F.decode("back", "UTF-8") == F.col("text")).alias("same"),
+    """Encoded texts in a file of keyed lines, scanned and decoded, and encoded again."""
+    keyed = text.parse_keyed_text(text.lines(spark, text_files(spark, d, "encoded", encoded_lines)))
+    back = keyed.select("key", "encoded", coords.decode_base64(F.col("encoded")).alias("back"))
+    return back.select(
+        F.col("key").cast("bigint").alias("doc_id"), F.length("encoded").cast("bigint").alias("n_encoded"),
+        F.md5("back").alias("digest"), (one_line(F.col("back")) == F.col("encoded")).alias("same"),
     )
 
 
-def coordinate_blocks(spark, d):
+def one_line(data):
+    # the encoder breaks lines after 76 characters, which the decoder must not see
+    return F.regexp_replace(F.base64(data), "\r\n", "")
+
+
+def encoded_lines(spark, d):
+    line = F.concat(text_of("doc_id"), F.lit("\t"), one_line(F.encode("text", "UTF-8")))
+    return table(spark, d, "documents").select(line.alias("value"))
+
+
+def coordinate_lines(spark, d):
     """A block of 16 atoms per vector: thirds of the values are x, y, z, the last quarter the element."""
     e = F.col("embedding")
     symbols = F.array(*[F.lit(s) for s in coords.SYMBOLS])
@@ -244,9 +263,12 @@ def coordinate_blocks(spark, d):
         F.lit("name\n program\n\n 16  0  0\n"),
         F.array_join(F.transform(F.sequence(F.lit(0), F.lit(15)), line), ""), F.lit("M  END\n"),
     )
-    encoded = F.regexp_replace(F.base64(F.encode(block, "UTF-8")), "\r\n", "")
-    value = F.concat(text_of("vec_id"), F.lit("\t"), encoded)
-    keyed = text.parse_keyed_text(table(spark, d, "embeddings").select(value.alias("value")))
+    value = F.concat(text_of("vec_id"), F.lit("\t"), one_line(F.encode(block, "UTF-8")))
+    return table(spark, d, "embeddings").select(value.alias("value"))
+
+
+def coordinate_blocks(spark, d):
+    keyed = text.parse_keyed_text(text.lines(spark, text_files(spark, d, "coordinates", coordinate_lines)))
     return coords.parse_coords(keyed).where(F.col("reason").isNull())
 
 
@@ -275,7 +297,11 @@ SELECT CAST(vec_id AS VARCHAR) AS key, '16;' || string_agg(
   AS line FROM ({ATOM_SQL}) GROUP BY vec_id
 """)
 def coords_format(spark, d):
-    return coordinate_blocks(spark, d).select("key", coords.format_atoms(F.col("atoms")).alias("line"))
+    """Atoms written as text lines, which are read again."""
+    path = shared_dir(spark, "atoms")
+    write_coords(coordinate_blocks(spark, d), path)
+    parts = F.split("value", "\t", 2)
+    return text.lines(spark, path).select(F.get(parts, F.lit(0)).alias("key"), F.get(parts, F.lit(1)).alias("line"))
 
 
 @query("json_roundtrip", """

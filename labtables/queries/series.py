@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from labtables.operators.quality import count_reasons
 from labtables.operators.series import Grid, calibrated, resample_rows, to_points
 from labtables.plans.tables import measured, measured_series
-from labtables.queries.base import query, table
+from labtables.queries.base import query, table, text_files
+from labtables.sources.records import LABELLED_END, labelled_records
 
 PRICE_GRID = Grid(5000, 85000, 500)
 PRICE_GAP = 2
@@ -103,8 +104,8 @@ def series_vector(spark, d):
     return good.select("l_suppkey", vector_text("vec", 100).alias("vec"))
 
 
-def series_files(spark, d):
-    """One labelled-record file of 250 samples per customer.
+def series_text(spark, d):
+    """One labelled record of 250 samples per customer.
 
     The first x depends on the nation (some start above the grid), the step on the segment (some are
     too coarse), the units and the state on other columns. Negative numbers are glued to the last.
@@ -121,16 +122,20 @@ def series_files(spark, d):
 
     block = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(24)), line), "\n")
     content = F.concat(
-        F.lit("##TITLE=measured\n##STATE="),
+        F.lit("\n##TITLE="), F.col("c_custkey").cast("string"), F.lit("-"), F.col("c_nationkey").cast("string"),
+        F.lit(".jdx\n##STATE="),
         F.when(F.col("c_acctbal") < 0, "vapor").otherwise("GAS (100 mmHg)"),
         F.lit("\n##NPOINTS=250\n##FIRSTX="), first.cast("string"),
         F.lit("\n##LASTX="), (first + dx * 249).cast("string"), F.lit("\n##XUNITS=1/CM\n##YUNITS="),
         F.when(F.col("c_mktsegment") == "BUILDING", "ABSORBANCE").otherwise("TRANSMITTANCE"),
         F.lit("\n"), F.when(F.col("c_mktsegment") == "FURNITURE", "").otherwise("##YFACTOR=0.001\n"),
-        F.lit("##XYDATA=(X++(Y..Y))\n"), block, F.lit("\n##END=\n"),
+        F.lit("##XYDATA=(X++(Y..Y))\n"), block,
     )
-    name = F.concat(F.col("c_custkey").cast("string"), F.lit("-"), F.col("c_nationkey").cast("string"), F.lit(".jdx"))
-    return table(spark, d, "customer").select(name.alias("file"), content.alias("content"))
+    return table(spark, d, "customer").select(content.alias("value"))
+
+
+def series_files(spark, d):
+    return labelled_records(spark, text_files(spark, d, "series", series_text, LABELLED_END))
 
 
 FILE_PTS = """

@@ -47,13 +47,6 @@ def write_lines(df: DataFrame, path: str, folder: str | None = None) -> None:
     (writer.partitionBy(folder) if folder else writer).text(path)
 
 
-def write_id_ledger(df: DataFrame, path: str, done: bool = True) -> None:
-    """An id ledger as text: the ids, then a file with the end marker once they are committed."""
-    write_lines(df.select(F.col("id").cast("string").alias("value")), path)
-    if done:
-        df.sparkSession.createDataFrame([("done",)], "value string").coalesce(1).write.mode("append").text(path)
-
-
 def append_ledger(df: DataFrame, path: str) -> None:
     """Add rows to a ledger; the commit of the write is its end marker."""
     df.write.mode("append").parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labtables.functions.plans import add_once
-from labtables.functions.strings import INLINE_BLANK, unix_lines
+from labtables.functions.strings import INLINE_BLANK, strip, unix_lines
 
 # The headers the tables read and the marks of the data block.
 HEADERS = ("STATE", "FIRSTX", "LASTX", "NPOINTS", "YFACTOR", "XUNITS", "YUNITS")
@@ -20,8 +20,6 @@ BLOCK_CLOSE = rf"##{_B}END{_B}="
 
 # What lies between an opening line and the closing line or the end of the file.
 BLOCK = rf"(?s)(?:^|\n){BLOCK_OPEN}(?=\n)(.*?)(?=\n{BLOCK_CLOSE}|\n?\z)"
-# Name and trimmed value of each header that is read.
-HEADER = rf"\n##{_B}({'|'.join(HEADERS)}){_B}={_B}([^\n]*?){_B}(?=\n|\z)"
 
 BAD_HEADER_LINE = "header line without ="
 BAD_NUMBER = "bad number in data"
@@ -52,10 +50,10 @@ def _numbers(line: Column) -> Column:
 def parse_labelled(df: DataFrame, content: str = "content") -> DataFrame:
     """Add the header columns, ``data`` (array of x and ys) and ``reason`` to a file scan."""
     header_lines = F.filter(F.split("text", "\n"), lambda l: F.startswith(l, F.lit("##")))
-    header_text = F.concat(F.lit("\n"), F.array_join("header_lines", "\n"))
-
-    def found(group: int) -> Column:
-        return F.reverse(F.regexp_extract_all("header_text", F.lit(HEADER), F.lit(group)))
+    # the last header of a name counts, so they are looked up from the end
+    names = F.transform(F.reverse("header_lines"), lambda l: strip(F.substring(F.substring_index(l, "=", 1), 3, 1 << 20)))
+    values = F.transform(F.reverse("header_lines"), lambda l: strip(
+        F.substring(l, F.locate("=", l) + F.lit(1), F.length(l))))
 
     def last_value(name: str) -> Column:
         at = F.array_position("names", name)
@@ -80,15 +78,13 @@ def parse_labelled(df: DataFrame, content: str = "content") -> DataFrame:
             "blocks": F.regexp_extract_all("text", F.lit(BLOCK), F.lit(1)),
         })
         .withColumns({
-            "header_text": header_text,
-            "numbers": F.transform(F.flatten(F.transform("blocks", _data_lines)), _numbers),
+            "numbers": F.transform(F.flatten(F.transform("blocks", _data_lines)), _numbers), "names": names, "values": values,
         })
-        .withColumns({"names": found(1), "values": found(2)})
         .withColumns(columns)
     )
     parts = {n: F.col(n) for n in HEADERS}
     return add_once(parsed, **parts, data=F.transform("numbers", row), reason=reason).drop(
-        content, "text", "header_lines", "blocks", "header_text", "numbers", "names", "values"
+        content, "text", "header_lines", "blocks", "numbers", "names", "values"
     )
 
 

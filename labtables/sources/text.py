@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labtables.functions.strings import strip, strip_comment, tokens
 
 SHORT_LINE = "too few tokens"
+# Marks of ledgers.
+DONE, START, END = "done", "start", "end"
+CHUNK = 10_000
 
 
 def lines(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> DataFrame:
@@ -114,31 +118,84 @@ def parse_ranges(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def until_done(df: DataFrame, col: str = "value") -> DataFrame:
-    """Ordered lines (``seq`` of ``ordered_lines``) of each file before its first ``done`` line."""
-    done = df.where(strip(F.col(col)) == "done").groupBy(F.col("seq.file").alias("ledger")).agg(F.min("seq").alias("stop"))
-    kept = df.join(done, F.col("seq.file") == F.col("ledger"), "left").where(F.col("stop").isNull() | (F.col("seq") < F.col("stop")))
-    return kept.drop("ledger", "stop")
+    """Ordered lines (``seq`` of ``ordered_lines``) before the first ``done`` line of the whole ledger.
+
+    The files of a ledger follow each other by name; the marker may stand in any of them.
+    """
+    stop = df.where(strip(F.col(col)) == DONE).agg(F.min("seq").alias("stop"))
+    # one row with the first marker, or null
+    kept = df.join(F.broadcast(stop), F.lit(True), "left")
+    return kept.where(F.col("stop").isNull() | (F.col("seq") < F.col("stop"))).drop("stop")
+
+
+def current_lines(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """Lines (value, seq) of the folders of a ledger, in their order, up to the end marker.
+
+    A marker counts in the last folder only: rows added later open a finished ledger again.
+    """
+    if not folders:
+        return spark.createDataFrame([], "value string, seq struct<folder int, file string, start long, row long>")
+    parts = []
+    for number, folder in enumerate(folders):
+        found = ordered_lines(spark, folder)
+        found = until_done(found) if number == len(folders) - 1 else found.where(strip(F.col("value")) != DONE)
+        seq = F.struct(F.lit(number).alias("folder"), "seq.file", "seq.start", "seq.row")
+        parts.append(found.select("value", seq.alias("seq")))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def parse_ids(df: DataFrame, col: str = "value") -> DataFrame:
-    """Distinct ids of an id ledger; with a column ``seq`` only those before the end marker of their file."""
+    """Distinct ids of an id ledger; with a column ``seq`` only those before the end marker."""
     if "seq" in df.columns:
         df = until_done(df, col)
-    return df.select(strip(F.col(col)).alias("id")).where(~F.col("id").isin("", "done")).distinct()
+    return df.select(strip(F.col(col)).alias("id")).where(~F.col("id").isin("", DONE)).distinct()
 
 
 def parse_block_ends(df: DataFrame, col: str = "value") -> DataFrame:
     """Ids whose block is closed by an ``<id> end`` line; a block only begun does not count."""
     tok = tokens(F.col(col))
-    closed = (F.size(tok) == 2) & (F.get(tok, F.lit(1)) == "end")
+    closed = (F.size(tok) == 2) & (F.get(tok, F.lit(1)) == END)
     return df.where(closed).select(F.get(tok, F.lit(0)).alias("id")).distinct()
 
 
+def in_closed_blocks(df: DataFrame, col: str = "value", chunk: int = CHUNK) -> DataFrame:
+    """Ordered lines inside blocks that were begun and ended, with the ``id`` of their block.
+
+    A line counts if the last mark before it is ``<id> start`` and the next one ``<id> end`` of the same
+    id, both in its file; blocks still open, or cut off by another start, are left out. Files are worked
+    through in chunks of so many lines: a chunk knows its marks, and a window over the few chunks
+    of a file gives the marks before and after each.
+    """
+    tok = tokens(F.col(col))
+    is_mark = (F.size("tok") == 2) & F.get("tok", F.lit(1)).isin(START, END)
+    mark = F.when(is_mark, F.struct("seq", F.get("tok", F.lit(0)).alias("id"), F.get("tok", F.lit(1)).alias("kind")))
+    of = [c for c in ("folder", "file", "start") if c in df.schema["seq"].dataType.names]
+    file = F.struct(*[F.col("seq")[c].alias(c) for c in of if c != "start"])
+    place = F.struct(F.col("seq.start").alias("start"), F.floor(F.col("seq.row") / F.lit(chunk)).alias("number"))
+    lines = df.withColumn("tok", tok).withColumns({"mark": mark, "of_file": file, "chunk": place})
+    # aggregates of structs that begin with ``seq``: the first and last mark of a chunk
+    chunks = lines.groupBy("of_file", "chunk").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))
+    order = Window.partitionBy("of_file").orderBy("chunk")
+    chunks = chunks.select(
+        "of_file", "chunk",
+        F.last("last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+        F.first("first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after"),
+    )
+    here = Window.partitionBy("of_file", "chunk").orderBy("seq")
+    joined = lines.join(chunks, ["of_file", "chunk"]).withColumns({
+        "opened": F.coalesce(F.last("mark", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0)), "before"),
+        "closed": F.coalesce(F.first("mark", ignorenulls=True).over(here.rowsBetween(0, Window.unboundedFollowing)), "after"),
+    })
+    whole = (F.col("opened.kind") == START) & (F.col("closed.kind") == END) & (F.col("opened.id") == F.col("closed.id"))
+    return joined.where(whole & F.col("mark").isNull()).select(*df.columns, F.col("opened.id").alias("id"))
+
+
 def parse_manifest(df: DataFrame, col: str = "value") -> DataFrame:
-    """``url filename`` rows between the block markers, other columns kept."""
+    """``url filename`` rows between the block markers, other columns kept; lines of blocks that are still
+    open count too, ``in_closed_blocks`` leaves them out."""
     return (
         df.withColumn("tok", tokens(F.col(col)))
-        .where((F.size("tok") == 2) & ~F.get("tok", F.lit(1)).isin("start", "end"))
+        .where((F.size("tok") == 2) & ~F.get("tok", F.lit(1)).isin(START, END))
         .withColumns({"url": F.get("tok", F.lit(0)), "filename": F.get("tok", F.lit(1))})
         .drop("tok")
     )
