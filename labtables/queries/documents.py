@@ -201,13 +201,20 @@ SELECT CAST(o_custkey AS VARCHAR) AS _id, count(*) AS n, sum(k) AS keys, max(p)
 """
 
 
+def documents_in_parts(spark, d):
+    """Documents of several parts, written once and read back."""
+    path = shared_dir(spark, "documents")
+    write_documents(docs.documents(*document_inputs(spark, d), ids_per_row=3, spectra_per_row=2, methods_per_row=4), path)
+    return spark.read.parquet(path)
+
+
 @query("insert_documents_in_parts", ORDER_ITEMS_SQL)
 def insert_documents_in_parts(spark, d):
     """Documents of several parts, inserted twice: every item of every list is in the store once."""
     path = shared_dir(spark, "parts")
-    documents = docs.documents(*document_inputs(spark, d), ids_per_row=3, spectra_per_row=2, methods_per_row=4)
+    documents = documents_in_parts(spark, d)
     for _ in range(2):
-        insert_ignoring_duplicates(spark, documents, path)
+        insert_ignoring_duplicates(spark, documents, path, unique=True)
     items = docs.document_items(spark.read.parquet(path).withColumn("nist", F.col("external_id.nist")), "nist")
     return items.groupBy("_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("bigint")).alias("keys"), F.max("part").alias("last")

@@ -58,10 +58,10 @@ SELECT CAST(user_id AS VARCHAR) AS id, event_type || '/' || user_id || '-' || ev
 
 @query("ledger_blocks", f"SELECT id, filename, url FROM ({FILES_SQL})")
 def ledger_blocks(spark, d):
-    """Blocks of three rows at most; then a block that is cut off by the next, one never ended, and one
+    """Blocks of a hundred rows at most; then a block that is cut off by the next, one never ended, and one
     behind the marker, of which nothing counts."""
     path = shared_dir(spark, "blocks")
-    ledgers.write_blocks(downloads(spark, d), path, done=False, rows=3)
+    ledgers.write_blocks(downloads(spark, d), path, done=False, rows=100)
     folder = ledgers.current(spark, path)["folders"][-1]
     ledgers.swap_small(spark, f"{folder}/z-open", "u1 start\nhttp://x a/1\nu2 start\nhttp://x a/2\nu1 end\nu3 start\nhttp://x a/3\n")
     ledgers.write_version(spark.createDataFrame([], "value string"), path, done=True, keep=True)

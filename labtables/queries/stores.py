@@ -9,9 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from labtables.config import shared_dir
-from labtables.operators import documents as docs
 from labtables.queries.base import query, table
-from labtables.queries.documents import document_inputs
+from labtables.queries.documents import documents_in_parts
 from labtables.sinks.buckets import BucketStore
 from labtables.sinks.bulk import FolderTarget, bulk_insert_committed, insert_batch, read_batches
 
@@ -65,7 +64,7 @@ def bulk_insert_commit(spark, d):
     not (a local session) it fails as a whole and the second inserts it.
     """
     path = shared_dir(spark, "batches")
-    documents = docs.documents(*document_inputs(spark, d), ids_per_row=3, spectra_per_row=2, methods_per_row=4)
+    documents = documents_in_parts(spark, d)
     try:
         bulk_insert_committed(documents, LosesOneTask(path, "first"))
     except PySparkException as lost:
@@ -78,7 +77,7 @@ def bulk_insert_commit(spark, d):
 @query("bucket_inserts", CONTENTS_SQL)
 def bucket_inserts(spark, d):
     """Documents in parts into a store in buckets: a few first, then all of them, then all again."""
-    documents = docs.documents(*document_inputs(spark, d), ids_per_row=3, spectra_per_row=2, methods_per_row=4)
+    documents = documents_in_parts(spark, d)
     store = BucketStore(shared_dir(spark, "buckets"), buckets=16)
     for rows in (documents.where("_id % 50 = 0"), documents, documents):
         store.insert(rows, unique=True)

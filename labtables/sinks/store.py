@@ -29,20 +29,24 @@ def bulk_insert(df: DataFrame, open_writer: Callable[[], Writer], batch: int = 1
     df.foreachPartition(send)
 
 
-def new_documents(incoming: DataFrame, target: DataFrame, keys: Sequence[str] = DOCUMENT_KEY) -> DataFrame:
-    """Incoming documents, once per key, whose key is not in the target."""
-    return drop_matching(first_of_each(incoming, list(keys)), target.select(*keys), list(keys))
+def new_documents(incoming: DataFrame, target: DataFrame, keys: Sequence[str] = DOCUMENT_KEY,
+                  unique: bool = False) -> DataFrame:
+    """Incoming documents, once per key, whose key is not in the target; ``unique`` says that no key
+    repeats among them, which spares the fold of whole documents."""
+    rows = incoming if unique else first_of_each(incoming, list(keys))
+    return drop_matching(rows, target.select(*keys), list(keys))
 
 
 def insert_ignoring_duplicates(spark: SparkSession, incoming: DataFrame, path: str,
-                               keys: Sequence[str] = DOCUMENT_KEY) -> None:
-    """Append new documents to a Parquet store; running it again adds nothing.
+                               keys: Sequence[str] = DOCUMENT_KEY, unique: bool = False) -> None:
+    """Append new documents to a Parquet store; running it again adds nothing. The keys of the whole store
+    are read; ``BucketStore`` reads those of the buckets that a batch touches.
 
     A store counts once a write to it was committed (``_SUCCESS``); what a failed first write left in the
     folder is not read. Documents in parts have the key (_id, part).
     """
     if is_complete(spark, path):
-        incoming = new_documents(incoming, spark.read.schema(incoming.schema).parquet(path), keys)
-    else:
+        incoming = new_documents(incoming, spark.read.schema(incoming.schema).parquet(path), keys, unique)
+    elif not unique:
         incoming = first_of_each(incoming, list(keys))
     incoming.write.mode("append").parquet(path)

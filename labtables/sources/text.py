@@ -175,16 +175,22 @@ def in_closed_blocks(df: DataFrame, col: str = "value", chunk: int = CHUNK) -> D
     lines = df.withColumn("tok", tok).withColumns({"mark": mark, "of_file": file, "chunk": place})
     # aggregates of structs that begin with ``seq``: the first and last mark of a chunk
     chunks = lines.groupBy("of_file", "chunk").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))
-    order = Window.partitionBy("of_file").orderBy("chunk")
-    chunks = chunks.select(
-        "of_file", "chunk",
-        F.last("last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
-        F.first("first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after"),
-    )
-    here = Window.partitionBy("of_file", "chunk").orderBy("seq")
+    # the next mark is the last one in descending order: frames that only grow are worked through once
+    both = {"before": F.col("chunk").asc(), "after": F.col("chunk").desc()}
+    near = {"before": "last", "after": "first"}
+    chunks = chunks.select("of_file", "chunk", *[
+        F.last(near[name], ignorenulls=True).over(
+            Window.partitionBy("of_file").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)).alias(name)
+        for name, order in both.items()
+    ])
+    here = Window.partitionBy("of_file", "chunk")
+
+    def nearest(order: Column) -> Column:
+        return F.last("mark", ignorenulls=True).over(here.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+
     joined = lines.join(chunks, ["of_file", "chunk"]).withColumns({
-        "opened": F.coalesce(F.last("mark", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0)), "before"),
-        "closed": F.coalesce(F.first("mark", ignorenulls=True).over(here.rowsBetween(0, Window.unboundedFollowing)), "after"),
+        "opened": F.coalesce(nearest(F.col("seq").asc()), "before"),
+        "closed": F.coalesce(nearest(F.col("seq").desc()), "after"),
     })
     whole = (F.col("opened.kind") == START) & (F.col("closed.kind") == END) & (F.col("opened.id") == F.col("closed.id"))
     return joined.where(whole & F.col("mark").isNull()).select(*df.columns, F.col("opened.id").alias("id"))
