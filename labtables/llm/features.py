@@ -13,12 +13,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labtables.llm.common import grow, worker_cache
 
 WORD_CACHE = 500_000
+TRAIN_FEATURES = 12_000_000
 _PARTS = re.compile(r"[^\W_]+|[\W_]+")
 _CAPITALS = crc32(b"\x00capitals")
 _AGAIN = crc32(b"\x00again")
@@ -83,30 +84,63 @@ def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
 Featurise = Callable[[str, int], tuple[np.ndarray, np.ndarray]]
 
 
-def collect(df: DataFrame, featurise: Featurise, bits: int, label: str | None = None) -> list[tuple]:
+def collect(df: DataFrame, featurise: Featurise, bits: int, label: str, most: int = TRAIN_FEATURES) -> list[tuple]:
     """[(buckets, values, label)] of a bounded sample, made in tasks and ordered by hash of the id.
 
-    ``df`` has ``id``, ``text`` and the label column. Callers bound the rows of ``df``; a row has at
-    most two to the power of ``bits`` buckets.
+    ``df`` has ``id``, ``text`` and the label column; callers bound the number of different ids. Of the rows
+    of an id with one label a single one counts, that with the smallest features: each task sends one,
+    and these are folded before they are collected. Rows of a label are taken in order of the hash until
+    they hold ``most`` features, 8 bytes each, so what reaches the driver is bounded in rows and bytes.
     """
-    rows = df.select("id", F.col("text").cast("string"), F.lit(0).alias("y") if label is None else F.col(label).alias("y"))
+    rows = df.select("id", F.col("text").cast("string"), F.col(label).cast("int").alias("y"), F.xxhash64("id").alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple, tuple] = {}
+        held = 0
         for batch in batches:
-            made = [featurise(t.as_py() or "", bits) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(2).cast(pa.int32()),
-                 pa.array([b.astype(np.int32).tobytes() for b, _ in made], pa.binary()),
-                 pa.array([v.astype(np.float32).tobytes() for _, v in made], pa.binary())],
-                names=["id", "y", "buckets", "shares"],
-            )
-
-    found = rows.mapInArrow(run, "id long, y int, buckets binary, shares binary").toArrow().to_pylist()
+            for row, text, y, h in zip(*batch.columns):
+                buckets, values = featurise(text.as_py() or "", bits)
+                made = (len(buckets), buckets.astype(np.int32).tobytes(), values.astype(np.float32).tobytes())
+                key = y.as_py(), h.as_py(), row.as_py()
+                before = least.get(key)
+                least[key] = made if before is None else min(made, before)
+                held += least[key][0] - (before[0] if before else 0)
+                if held > 4 * most:
+                    held = _cut(least, most)
+        _cut(least, most)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[2] for k in least], pa.int64()), pa.array([k[0] for k in least], pa.int32()),
+             pa.array([m[0] for m in least.values()], pa.int32()), pa.array([m[1] for m in least.values()], pa.binary()),
+             pa.array([m[2] for m in least.values()], pa.binary())], names=["id", "y", "size", "buckets", "shares"],
+        )
+
+    made = rows.mapInArrow(run, "id long, y int, size int, buckets binary, shares binary")
+    one = made.groupBy("id", "y").agg(F.min(F.struct("size", "buckets", "shares")).alias("f"))
+    # a window over the rows of a sample, whose number is bounded
+    before = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    some = one.withColumn("held", F.sum("f.size").over(before)).where(F.col("held") <= most)
+    found = some.select("id", "y", "f.buckets", "f.shares").toArrow().to_pylist()
     found.sort(key=lambda r: (crc32(str(r["id"]).encode()), r["id"], r["buckets"]))
     return [(np.frombuffer(r["buckets"], np.int32).astype(np.int64),
              np.frombuffer(r["shares"], np.float32).astype(float), r["y"]) for r in found]
 
 
+def _cut(least: dict[tuple, tuple], most: int) -> int:
+    """Drop what lies beyond ``most`` features of a label in the order of the hash; the number that is left.
+
+    A row beyond that in one task is beyond it in all.
+    """
+    label, run, left = None, 0, 0
+    for key in sorted(least):
+        run = least[key][0] + (run if key[0] == label else 0)
+        label = key[0]
+        if run > most:
+            del least[key]
+        else:
+            left += least[key][0]
+    return left
+
+
 def _scores(texts: pa.Array, weights: np.ndarray, bias: float, featurise: Featurise, bits: int) -> np.ndarray:
     scores = np.empty(len(texts))
     for i, text in enumerate(texts):

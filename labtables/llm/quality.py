@@ -50,17 +50,20 @@ def ftrl(examples: Sequence[tuple], size: int, alpha: float = 0.5, beta: float =
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", bits: int = BITS, rows: int = TRAIN_ROWS) -> Model:
-    """Fit on at most ``rows`` labelled rows (smallest hash of the id) outside the held-out fold.
+          label_col: str = "quality", bits: int = BITS, rows: int = TRAIN_ROWS,
+          most: int = features.TRAIN_FEATURES) -> Model:
+    """Fit on at most ``rows`` labelled ids (smallest hash of the id) outside the held-out fold.
 
-    Rows without id or label teach nothing. Without any labelled row all scores are 0.5.
+    Rows without id or label teach nothing. An id with several labels has the smallest, one with several
+    texts teaches one of them. Texts of a label are taken until they hold ``most`` features. Without any
+    labelled row all scores are 0.5.
     """
     known = labels.where(~held_out(F.col(id_col)) & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-    chosen = hash_sample(known.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label_of_id")),
-                         "id", rows)
+    labelled = known.groupBy(F.col(id_col).alias("id")).agg(F.min(F.col(label_col).cast("int")).alias("label_of_id"))
+    chosen = hash_sample(labelled, "id", rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # the sample has a fixed number of narrow rows, so it may be broadcast whatever the size of the tables
-    examples = features.collect(texts.join(F.broadcast(chosen), "id"), features.ngrams, bits, "label_of_id")
+    examples = features.collect(texts.join(F.broadcast(chosen), "id"), features.ngrams, bits, "label_of_id", most)
     weights, bias = ftrl(examples, 1 << bits)
     return Model(weights.astype(np.float32), bias, bits)
 

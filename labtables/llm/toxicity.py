@@ -96,21 +96,23 @@ def class_prior(labels: DataFrame, label_col: str, default: float = 0.1) -> floa
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", bits: int = BITS, positive_rows: int = POSITIVE_ROWS,
-          unlabelled_rows: int = UNLABELLED_ROWS) -> Model:
-    """Fit on bounded samples (smallest hashes of the id) outside the held-out fold.
+          unlabelled_rows: int = UNLABELLED_ROWS, most: int = features.TRAIN_FEATURES) -> Model:
+    """Fit on bounded samples of ids (smallest hashes) outside the held-out fold.
 
-    Positives are rows confirmed as toxic; the unlabelled sample is taken from all texts, its labels are
-    not looked at. Rows without id teach nothing. Without positives all scores are the prior.
+    Positives are ids confirmed as toxic; the unlabelled sample is taken from all ids with a text, its labels
+    are not looked at. Rows without id teach nothing, an id with several texts teaches one of them, and
+    texts of a sample are taken until they hold ``most`` features. Without positives all scores are the
+    prior.
     """
     known = labels.where(~held_out(F.col(id_col)) & F.col(id_col).isNotNull())
     prior = class_prior(known, label_col)
     texts = docs.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     toxic = hash_sample(known.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct(), "id",
                         positive_rows).withColumn("kind", F.lit(1))
-    others = hash_sample(texts.select("id").where("id IS NOT NULL"), "id", unlabelled_rows).distinct().withColumn("kind", F.lit(0))
+    others = hash_sample(texts.select("id").where("id IS NOT NULL").distinct(), "id", unlabelled_rows).withColumn("kind", F.lit(0))
     # both samples have a fixed number of narrow rows, so they may be broadcast
     chosen = F.broadcast(toxic.unionByName(others))
-    examples = features.collect(texts.join(chosen, "id"), features.presence, bits, "kind")
+    examples = features.collect(texts.join(chosen, "id"), features.presence, bits, "kind", most)
     weights, bias = nnpu([b for b, _, kind in examples if kind == 1], [b for b, _, kind in examples if kind == 0],
                          1 << bits, prior)
     return Model(weights.astype(np.float32), bias, bits)

@@ -305,3 +305,93 @@ def test_pipeline_keeps_clean_documents_and_packs_the_rest(spark, tmp_path):
     assert gone <= {1000, 1001} and seen["packing"] == seen["near_duplicates"]
     rows = corpus_pipeline.run(spark, str(tmp_path))
     assert rows.select("doc_id").distinct().count() == len(seen["packing"])
+
+
+def test_a_repeated_id_does_not_fill_the_driver(spark, monkeypatch):
+    long = " ".join(f"w{i}" for i in range(3000))
+    docs = spark.createDataFrame([(1, f"good text {i % 7}") for i in range(20_000)] + [(2, long), (4, "bad"), (5, long + " x")],
+                                 "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (1, 0, 1), (2, 1, 0), (4, 0, 0), (5, 1, 1)] * 3, "doc_id long, quality int, toxic int")
+    seen = []
+    real = features.collect
+    monkeypatch.setattr(features, "collect", lambda *a, **k: seen.append(real(*a, **k)) or seen[-1])
+    quality.train(docs, labels, rows=10)
+    toxicity.train(docs, labels, positive_rows=2, unlabelled_rows=3)
+    assert len(seen[0]) <= 4 and len(seen[1]) <= 5 and {y for *_, y in seen[1]} == {0, 1}
+    quality.train(docs, labels, rows=10, most=50)
+    assert sum(len(b) for b, *_ in seen[2]) <= 2 * 50 and len(seen[2]) < len(seen[0])
+    least = {(1, h, h): (size, b"", b"") for h, size in ((3, 5), (-2, 4), (9, 9), (4, 1))}
+    assert features._cut(least, 10) == 10 and sorted(k[1] for k in least) == [-2, 3, 4]
+
+
+def dense_ftrl(examples, size, alpha, beta, l1, l2, epochs):
+    """The same learner on whole vectors, one coordinate after the other."""
+    z, n = [0.0] * (size + 1), [0.0] * (size + 1)
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for buckets, values, label in examples:
+            x = dict(zip([*buckets, size], [*values, 1.0]))
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * x[i] for i in x)))
+            for i, v in x.items():
+                g = (p - label) * v
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * w[i]
+                n[i] += g * g
+    return [weight(i) for i in range(size + 1)]
+
+
+def test_ftrl_equals_a_plain_one():
+    rng = np.random.default_rng(5)
+    examples = [(np.sort(rng.choice(12, 4, replace=False)), rng.random(4), int(rng.random() < 0.5)) for _ in range(80)]
+    w, b = quality.ftrl(examples, 12, 0.5, 1.0, 0.02, 0.1, 3)
+    assert np.allclose([*w, b], dense_ftrl(examples, 12, 0.5, 1.0, 0.02, 0.1, 3))
+
+
+def test_nnpu_equals_a_plain_one():
+    rng = np.random.default_rng(6)
+    rows = [np.sort(rng.choice(10, 3, replace=False)) for _ in range(60)]
+    p, u, prior, size = rows[:15], rows[15:], 0.3, 10
+    dense = lambda some: np.array([[float(i in r) for i in range(size)] for r in some])
+    x, y = dense(p), dense(u)
+    w, b, s, sb = np.zeros(size), np.log(prior / (1 - prior)), np.full(size, 1e-8), 1e-8
+    steps, turned = [], 0
+    sigmoid = lambda t: 1 / (1 + np.exp(-t))
+    for _ in range(60):
+        fp, fu = x @ w + b, y @ w + b
+        negative = np.log1p(np.exp(fu)).mean() - prior * np.log1p(np.exp(fp)).mean()
+        if negative >= 0:  # gradient of prior * loss(+) and of the corrected loss(-)
+            gp, gu = -prior * sigmoid(-fp) / len(p) - prior * sigmoid(fp) / len(p), sigmoid(fu) / len(u)
+        else:
+            gp, gu, turned = prior * sigmoid(fp) / len(p), -sigmoid(fu) / len(u), turned + 1
+        g, gb = x.T @ gp + y.T @ gu, gp.sum() + gu.sum()
+        s, sb = s + g * g, sb + gb * gb
+        w = w - 0.5 / np.sqrt(s) * g
+        w = np.sign(w) * np.maximum(np.abs(w) - 0.5 / np.sqrt(s) * 1e-3, 0)
+        b = b - 0.5 / np.sqrt(sb) * gb
+        steps.append((w, b))
+    got_w, got_b = toxicity.nnpu(p, u, size, prior, l1=1e-3, rate=0.5, epochs=60, least=1)
+    assert np.allclose(got_w, np.mean([w for w, _ in steps[-12:]], 0)) and np.isclose(got_b, np.mean([b for _, b in steps[-12:]]))
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
+    text = " ".join(f"word{i}" for i in range(30))
+    other = " ".join(f"other{i}" for i in range(30))
+    long = " ".join(f"long{i}" for i in range(60_000))
+    cases = [
+        [(5, text), (5, text), (7, text), (None, text)], [(None, text), (None, text)], [(5, text), (5, text + " more"), (6, other)],
+        [(1, None), (2, ""), (1, None)], [(3, long), (4, long + " end"), (None, long)], [(9, text), (8, text), (9, other)],
+    ]
+    want = [[text], [text], [text, other], [None, "", None], [long], [text, other]]
+    for rows, texts in zip(cases, want):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+            {n: F.lit("x") for n in ("score", "kept", "row_id", "component_id", "n_shingles", "times")})
+        got = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns
+        kept = got.collect()
+        assert sorted((r.text or "")[:12] for r in kept) == sorted((t or "")[:12] for t in texts), rows
+    assert [r.doc_id for r in kept] == [8] or {r.doc_id for r in kept} == {8, 9}
