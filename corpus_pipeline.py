@@ -18,9 +18,22 @@ from labtables.llm import neardup, packing, quality, toxicity
 from labtables.llm.queries import table, tokenizer
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Documents less those of ``rejected`` (doc_id); rows without id stay, as no decision names them."""
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+def _with_row_ids(spark: SparkSession, docs: DataFrame, row_id: str) -> DataFrame:
+    """``docs`` with a number of each row in the column ``row_id``: its doc_id where that is no other row's.
+
+    Rows without doc_id and those that share one get numbers above all doc_ids, fixed by writing them.
+    """
+    times = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
+    several = times.where("times > 1 AND doc_id IS NOT NULL").select("doc_id")
+    odd = docs.where("doc_id IS NULL").unionByName(docs.join(several, "doc_id", "left_semi").select(docs.columns))
+    plain = docs.where("doc_id IS NOT NULL").join(several, "doc_id", "left_anti").select(docs.columns)
+    plain = plain.withColumn(row_id, F.col("doc_id").cast("long"))
+    if odd.isEmpty():
+        return plain
+    above = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long")).first()[0] + 1
+    path = f"{_folder(spark)}/rows"
+    odd.withColumn(row_id, F.monotonically_increasing_id() + F.lit(above)).write.parquet(path)
+    return plain.unionByName(spark.read.parquet(path))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +49,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id (similarity 0.8)."""
-    judged = neardup.near_duplicates(docs, percent=80)
-    return _without(docs, judged.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct())
+    """One row of each group of near duplicates (similarity 0.8), that with the smallest id.
+
+    Rows that share a doc_id, and rows without one, are documents of their own here; in a group they come
+    after all rows with a doc_id of their own. Texts without words are linked with nothing and stay.
+    """
+    row_id = max(["row", *docs.columns], key=len) + "_id"  # a name that no column has
+    rows = _with_row_ids(spark, docs, row_id)
+    judged = neardup.near_duplicates(rows, percent=80, id_col=row_id)
+    return rows.join(judged.where("NOT kept").select(row_id), row_id, "left_anti").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
