@@ -1,8 +1,10 @@
 """Cover trees over blocks of vectors, their dual traversal, and the blocks themselves.
 
-A tree has nested levels with halving radii: a node's children are balls of at most half its radius,
-each around one of its points. Points that form no ball of their own size stay together in one leaf of
-the parent's radius, so that a block without structure is one product of matrices.
+The nets of a tree have halving radii: centres of level i are more than 2**i apart, every point lies within
+2**i of one, and each net holds the one above it. A node is a centre from its level on; its children are
+the centres of the first finer net that divides what it holds, the first of them its own centre, all within
+2**(i + 1). Dual traversal goes down two trees at once and compares the children of a pair of nodes
+in one product of matrices; pairs that their covering radii keep apart are left out.
 
 At the level of the cluster, vectors are dealt into cells around centres taken from a bounded sample,
 and cells into blocks of bounded size. A task holds one block and lets visitors stream past it.
@@ -10,8 +12,11 @@ and cells into blocks of bounded size. A task holds one block and lets visitors
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from heapq import heappop, heappush
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -20,134 +25,307 @@ from pyspark.sql import functions as F
 
 from labtables.llm.common import hash_sample, mix64, row_pieces
 
-SAMPLE_ROWS = 4_096
-MAX_CENTRES = 256
+SAMPLE_ROWS = 8_192
+MAX_CENTRES = 1_024
 BLOCK_ROWS = 4_096
 VISITORS_PER_ROW = 16
 VISITOR_ROWS = 1_024
-LEAST_BALL = 8
+NET_ROWS = 64
 SLACK = 1e-7
 
 
+def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances, which rounding may leave a little below zero."""
+    gram = a @ b.T
+    gram *= -2
+    gram += (a * a).sum(1)[:, None]
+    gram += (b * b).sum(1)[None, :]
+    return gram
+
+
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    gram = squares(a, b)
+    return np.sqrt(np.maximum(gram, 0, out=gram), out=gram)
+
+
 class Tree:
-    """``centre``, ``radius``, ``members`` and ``children`` by node; node 0 is the root."""
+    """``centre``, ``level``, ``radius``, ``members`` and ``children`` by node; node 0 is the root.
 
-    def __init__(self, points: np.ndarray, least: int = LEAST_BALL):
+    ``members`` are the points below a node and ``radius`` is the largest distance of one of them from its
+    centre. Points within ``stop`` of a centre that no finer net has to part stay with it in one leaf.
+    """
+
+    def __init__(self, points: np.ndarray, stop: float = 0.0):
         self.points = points
-        squares = (points * points).sum(1)
-        gram = points @ points.T  # one matrix of the block's size, changed in place
-        gram *= -2
-        gram += squares[:, None]
-        gram += squares[None, :]
-        np.maximum(gram, 0, out=gram)
-        self._distances = np.sqrt(gram, out=gram)
-        self.scale = float(np.sqrt(squares.max(initial=0)))
+        self.scale = float(np.sqrt((points * points).sum(1).max(initial=0)))
         self.centre: list[int] = []
-        self.radius: list[float] = []
-        self.members: list[np.ndarray] = []
+        self.level: list[int] = []
         self.children: list[list[int]] = []
-        waiting = [self._node(0, np.arange(len(points)))]
-        while waiting:
-            node = waiting.pop()
-            if self.radius[node] > SLACK * self.scale and len(self.members[node]) >= 2 * least:
-                waiting += self._split(node, least)
-        del self._distances
-
-    def _node(self, centre: int, members: np.ndarray) -> int:
+        self._build(max(stop, SLACK * self.scale))
+        self.members: list = [None] * len(self.centre)
+        self.radius = np.zeros(len(self.centre))
+        for node in reversed(range(len(self.centre))):  # children come after their parents
+            of = self.children[node]
+            rows = np.concatenate([self.members[c] for c in of]) if of else self._held[node]
+            self.members[node] = rows
+            if len(rows) > 1:
+                self.radius[node] = np.linalg.norm(points[rows] - points[self.centre[node]], axis=1).max()
+        del self._held
+        self.centre_of = np.array(self.centre)
+        self.single = np.array([len(m) == 1 for m in self.members])
+
+    def below(self, node: int, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Single points and larger nodes right below a node, or itself where it is a leaf; ``group`` if
+        there is no node."""
+        if node < 0:
+            return group, np.zeros(0, np.int64)
+        of = np.array(self.children[node] or [node])
+        alone = self.single[of]
+        return self.centre_of[of[alone]], of[~alone]
+
+    def _node(self, centre: int, level: int, held: np.ndarray) -> int:
         self.centre.append(centre)
-        self.radius.append(float(self._distances[centre, members].max()))
-        self.members.append(members)
+        self.level.append(level)
         self.children.append([])
+        self._held[len(self.centre) - 1] = held
         return len(self.centre) - 1
 
-    def _split(self, node: int, least: int) -> list[int]:
-        """Make the children of a node; returns those that may be split further."""
-        half, left, balls, single = self.radius[node] / 2, self.members[node], [], []
-        centre = self.centre[node]
-        while len(left):
-            near = self._distances[centre, left] <= half
-            (balls if near.sum() >= least else single).append((centre, left[near]))
-            left = left[~near]
-            centre = left[0] if len(left) else centre
-        if not balls:
-            return []
-        made = [self._node(c, m) for c, m in balls]
-        if single:
-            self.children[node].append(self._node(self.centre[node], np.concatenate([m for _, m in single])))
-        self.children[node] += made
+    def _build(self, stop: float) -> None:
+        """Net by net from the root; ``live`` are the nodes of the current net."""
+        points, self._held = self.points, {}
+        far = np.linalg.norm(points - points[0], axis=1)
+        level = int(np.ceil(np.log2(max(far.max(), 1e-300))))
+        live = [self._node(0, level, np.arange(len(points)))]
+        open_nodes = live if far.max() > stop else []
+        while open_nodes:
+            level -= 1
+            parts, loose = self._claim(live, open_nodes, 2.0 ** level)
+            fresh = self._new_centres(open_nodes, loose, 2.0 ** level)
+            after, touched = [], []
+            for node in live:
+                held = parts.get(node, self._held[node])
+                if fresh.get(node):
+                    own = self._node(self.centre[node], level, held)
+                    made = [own, *[self._node(c, level, rows) for c, rows in fresh[node]]]
+                    self.children[node] = made
+                    after += made
+                    touched += made
+                else:
+                    if held is not self._held[node]:
+                        self._held[node] = held
+                        touched.append(node)
+                    after.append(node)
+            live = after
+            open_nodes = [n for n in touched if len(self._held[n]) > 1 and np.linalg.norm(
+                points[self._held[n]] - points[self.centre[n]], axis=1).max() > stop]
+
+    def _claim(self, live: list[int], open_nodes: list[int], r: float) -> tuple[dict, dict]:
+        """Points of open nodes by the node of the net within ``r`` of them, and those without one.
+
+        A centre within r of a point has its parent within 3 r of that point, whose own parent is within 2 r.
+        """
+        points, centres = self.points, self.points[[self.centre[n] for n in live]]
+        taken: dict[int, list] = {n: [np.array([self.centre[n]])] for n in open_nodes}
+        loose = {}
+        for node in open_nodes:
+            held = self._held[node]
+            held = held[held != self.centre[node]]
+            near = np.nonzero(distances(points[[self.centre[node]]], centres)[0] <= 5 * r + SLACK * self.scale)[0]
+            d = distances(points[held], centres[near])
+            best = d.argmin(1)
+            inside = d[np.arange(len(held)), best] <= r
+            loose[node] = held[~inside]
+            for k in np.unique(best[inside]):
+                claimer = live[near[k]]
+                if claimer not in taken:
+                    taken[claimer] = [self._held[claimer]]
+                taken[claimer].append(held[inside & (best == k)])
+        return {n: np.concatenate(rows) for n, rows in taken.items()}, loose
+
+    def _new_centres(self, open_nodes: list[int], loose: dict, r: float) -> dict[int, list]:
+        """Centres more than ``r`` apart out of the points that no centre holds, by the node they come from."""
+        points, made = self.points, {}
+        free = np.zeros(len(points), bool)
+        for rows in loose.values():
+            free[rows] = True
+        centres = points[[self.centre[n] for n in open_nodes]]
+        for at, node in enumerate(open_nodes):
+            if not free[loose[node]].any():
+                continue
+            near = at + np.nonzero(distances(centres[[at]], centres[at:])[0] <= 5 * r + SLACK * self.scale)[0]
+            pool = np.concatenate([loose[open_nodes[k]] for k in near])
+            while True:
+                some = loose[node][free[loose[node]]][:NET_ROWS]
+                if not len(some):
+                    break
+                pool = pool[free[pool]]
+                for point, inside in zip(some, distances(points[some], points[pool]) <= r):
+                    if free[point]:
+                        rows = pool[inside & free[pool]]
+                        rows = rows if (rows == point).any() else np.append(rows, point)
+                        free[rows] = False
+                        made.setdefault(node, []).append((int(point), rows))
         return made
 
 
 def threshold_pairs(a: Tree, b: Tree, reach: float, exact: Callable[[np.ndarray, np.ndarray], np.ndarray],
-                    ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+                    seen: Counter | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """(rows of a, rows of b, all): pairs of points within ``reach``, each exactly once.
 
     With ``all`` every row is paired with every other one: the node pair lies within reach as a whole.
-    Node pairs that are apart by their covering radii are pruned; leaves are decided by ``exact``.
+    Node pairs that are apart by their covering radii are pruned; leaves are decided by ``exact``. ``seen``
+    counts the pairs of points that were pruned, taken as a whole and compared.
     """
     slack = SLACK * max(a.scale, b.scale, reach)
-    waiting = [(0, 0)]
+    seen = Counter() if seen is None else seen
+    nothing = np.zeros(0, np.int64)
+    # a side is a node, or some single points (node -1)
+    waiting = [(0, nothing, 0, nothing)]
     while waiting:
-        i, j = waiting.pop()
-        gap = float(np.linalg.norm(a.points[a.centre[i]] - b.points[b.centre[j]]))
-        both = a.radius[i] + b.radius[j]
-        if gap - both > reach + slack:
-            continue
-        if gap + both < reach - slack:
-            yield a.members[i], b.members[j], True
-        elif not a.children[i] and not b.children[j]:
-            x, y = np.nonzero(exact(a.points[a.members[i]], b.points[b.members[j]]))
-            if len(x):
-                yield a.members[i][x], b.members[j][y], False
-        elif a.children[i] and (not b.children[j] or a.radius[i] >= b.radius[j]):
-            waiting += [(c, j) for c in a.children[i]]
-        else:
-            waiting += [(i, c) for c in b.children[j]]
-
-
-def top_products(queries: Tree, data: Tree, k: int, ids: np.ndarray, bounds: np.ndarray,
-                 skip: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        i, group, j, others = waiting.pop()
+        alone, nodes = a.below(i, group)
+        single, right = b.below(j, others)
+        for low, high in row_pieces(len(alone), NET_ROWS * 4):
+            yield from _points(a, alone[low:high], b, single, reach, slack, exact, seen)
+        for m in nodes:
+            apart, inside = _between(a, [m], b.points[single], np.zeros(len(single)), reach, slack)
+            rows, whole, open_ = a.members[m], single[inside[0]], single[~apart[0] & ~inside[0]]
+            seen["pruned"] += len(rows) * int(apart.sum())
+            if len(whole):
+                seen["whole"] += len(rows) * len(whole)
+                yield rows, whole, True
+            if len(open_):
+                yield from _next(a, m, nothing, b, -1, open_, exact, seen, waiting)
+        for n in right:
+            apart, inside = _between(b, [n], a.points[alone], np.zeros(len(alone)), reach, slack)
+            rows, whole, open_ = b.members[n], alone[inside[0]], alone[~apart[0] & ~inside[0]]
+            seen["pruned"] += len(rows) * int(apart.sum())
+            if len(whole):
+                seen["whole"] += len(rows) * len(whole)
+                yield whole, rows, True
+            if len(open_):
+                yield from _next(a, -1, open_, b, n, nothing, exact, seen, waiting)
+        if len(nodes) and len(right):
+            apart, inside = _between(a, nodes, b.points[b.centre_of[right]], b.radius[right], reach, slack)
+            for x, y in zip(*np.nonzero(apart)):
+                seen["pruned"] += len(a.members[nodes[x]]) * len(b.members[right[y]])
+            for x, y in zip(*np.nonzero(inside)):
+                rows, others = a.members[nodes[x]], b.members[right[y]]
+                seen["whole"] += len(rows) * len(others)
+                yield rows, others, True
+            for x, y in zip(*np.nonzero(~apart & ~inside)):
+                yield from _next(a, nodes[x], nothing, b, right[y], nothing, exact, seen, waiting)
+
+
+def _between(tree: Tree, nodes, points: np.ndarray, radius: np.ndarray, reach: float, slack: float) -> tuple:
+    """(apart, inside): nodes by points of another tree with the radii around these."""
+    gap = distances(tree.points[tree.centre_of[nodes]], points)
+    both = tree.radius[nodes][:, None] + radius[None, :]
+    return gap - both > reach + slack, gap + both < reach - slack
+
+
+def _next(a: Tree, i: int, group: np.ndarray, b: Tree, j: int, others: np.ndarray, exact: Callable, seen: Counter,
+          waiting: list) -> Iterator[tuple]:
+    """Let a pair of sides wait for its children, or decide it where both are leaves."""
+    if (i >= 0 and a.children[i]) or (j >= 0 and b.children[j]):
+        waiting.append((int(i), group, int(j), others))
+    else:
+        yield from _decided(a, group if i < 0 else a.members[i], b, others if j < 0 else b.members[j], exact, seen)
+
+
+def _points(a: Tree, rows: np.ndarray, b: Tree, others: np.ndarray, reach: float, slack: float, exact: Callable,
+            seen: Counter) -> Iterator[tuple]:
+    """Pairs of single points: the distance decides but for its last digits."""
+    if not len(rows) or not len(others):
+        return
+    seen["compared"] += len(rows) * len(others)
+    x, y = np.nonzero(squares(a.points[rows], b.points[others]) <= (reach + slack) ** 2)
+    if not len(x):
+        return
+    gap = np.linalg.norm(a.points[rows[x]] - b.points[others[y]], axis=1)
+    sure = gap < reach - slack
+    if sure.any():
+        yield rows[x[sure]], others[y[sure]], False
+    for p, q in zip(x[~sure], y[~sure]):
+        yield from _decided(a, rows[[p]], b, others[[q]], exact, Counter())
+
+
+def _decided(a: Tree, rows: np.ndarray, b: Tree, others: np.ndarray, exact: Callable, seen: Counter) -> Iterator[tuple]:
+    seen["compared"] += len(rows) * len(others)
+    x, y = np.nonzero(exact(a.points[rows], b.points[others]))
+    if len(x):
+        yield rows[x], others[y], False
+
+
+def top_products(queries: Tree, data: Tree, k: int, ids: np.ndarray, bounds: np.ndarray, skip: np.ndarray,
+                 seen: Counter | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """(rows of data, scores) of the k largest inner products of each query, ties to smaller ids.
 
     ``bounds`` are kth scores that the queries are known to reach elsewhere; lower ones are not wanted.
     ``skip`` is the id that a query does not compare with. A node pair is pruned when its largest possible
     product, from the product of the centres and the covering radii, is below the worst kth score of the
-    node's queries. Node pairs with the largest bound are visited first.
+    node's queries. Node pairs with the largest bound are visited first; single points below a node are
+    taken together. ``seen`` counts the pairs of points that were pruned and compared.
     """
     none = (np.zeros(0, np.int64), np.zeros(0))
     best = [none] * len(queries.points)
     worst = bounds.astype(float).copy()
     q_norm = np.linalg.norm(queries.points, axis=1)
     y_norm = np.linalg.norm(data.points, axis=1)
-
-    def bound(i: int, j: int) -> float:
-        q, y = queries.centre[i], data.centre[j]
-        r, s = queries.radius[i], data.radius[j]
-        return float(queries.points[q] @ data.points[y]) + r * y_norm[y] + s * q_norm[q] + r * s
-
-    waiting = [(bound(0, 0), 0, 0)]
     slack = SLACK * queries.scale * data.scale
+    seen = Counter() if seen is None else seen
+
+    def score(group: np.ndarray, rows: np.ndarray) -> None:
+        seen["compared"] += len(group) * len(rows)
+        products = queries.points[group] @ data.points[rows].T
+        for q, scores in zip(group, products):
+            keep = (scores >= worst[q]) & (ids[rows] != skip[q])
+            if not keep.any():
+                continue
+            found, got = np.r_[best[q][0], rows[keep]], np.r_[best[q][1], scores[keep]]
+            order = np.lexsort((ids[found], -got))[:k]
+            best[q] = (found[order], got[order])
+            if len(order) == k:
+                worst[q] = max(worst[q], got[order[-1]])
+
+    order = count()
+    waiting: list[tuple] = []
+
+    def push(i: int | None, group: np.ndarray, j: int) -> None:
+        """Wait with a pair: node ``i`` of the queries, or some queries alone, against node ``j``."""
+        y, s = data.centre[j], data.radius[j]
+        if i is None:
+            most = queries.points[group] @ data.points[y] + s * q_norm[group]
+            wanted = most + slack >= worst[group]
+            seen["pruned"] += int((~wanted).sum()) * len(data.members[j])
+            group, most = group[wanted], most[wanted]
+            if not len(group):
+                return
+            top = float(most.max())
+        else:
+            q, r = queries.centre[i], queries.radius[i]
+            top = float(queries.points[q] @ data.points[y]) + r * y_norm[y] + s * q_norm[q] + r * s
+        heappush(waiting, (-top, next(order), i, group, j))
+
+    push(0, queries.members[0], 0)
     while waiting:
-        waiting.sort()
-        most, i, j = waiting.pop()
-        if most + slack < worst[queries.members[i]].min():
-            continue
-        if queries.children[i] and (not data.children[j] or queries.radius[i] >= data.radius[j]):
-            waiting += [(bound(c, j), c, j) for c in queries.children[i]]
-        elif data.children[j]:
-            waiting += [(bound(i, c), i, c) for c in data.children[j]]
+        most, _, i, group, j = heappop(waiting)
+        if -most + slack < worst[group].min():
+            seen["pruned"] += len(group) * len(data.members[j])
+        elif i is not None and queries.children[i] and (not data.children[j] or queries.radius[i] >= data.radius[j]):
+            alone, below = queries.below(i, group)
+            if len(alone):
+                push(None, alone, j)
+            for c in below:
+                push(c, queries.members[c], j)
+        elif not data.children[j]:
+            score(group, data.members[j])
         else:
-            rows = data.members[j]
-            products = queries.points[queries.members[i]] @ data.points[rows].T
-            for q, scores in zip(queries.members[i], products):
-                keep = (scores >= worst[q]) & (ids[rows] != skip[q])
-                if not keep.any():
-                    continue
-                found, got = np.r_[best[q][0], rows[keep]], np.r_[best[q][1], scores[keep]]
-                order = np.lexsort((ids[found], -got))[:k]
-                best[q] = (found[order], got[order])
-                if len(order) == k:
-                    worst[q] = max(worst[q], got[order[-1]])
+            alone, below = data.below(j, group)
+            if len(alone):
+                score(group, alone)
+            for c in below:
+                push(i if i is not None and queries.children[i] else None, group, c)
     return best
 
 

@@ -75,7 +75,8 @@ def links(classes: DataFrame, cosine: float, block: int = BLOCK_ROWS) -> DataFra
 
     def run(group: tuple, home: tuple, visitors: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         ids, weights, _, points = home
-        tree, near = Tree(points), lambda x, y: x @ y.T >= cosine
+        # parts of a leaf that lie this close are linked or apart as a whole, or compared at once
+        tree, near = Tree(points, reach / 16), lambda x, y: x @ y.T >= cosine
         found, root = np.zeros(len(ids), np.int64), list(range(len(ids)))
 
         def top(i: int) -> int:
@@ -100,7 +101,7 @@ def links(classes: DataFrame, cosine: float, block: int = BLOCK_ROWS) -> DataFra
                     join(a, b)
             found -= weights  # each row met itself
         for v_ids, v_weights, _, v_points in visitors:
-            guests = Tree(v_points)
+            guests = Tree(v_points, reach / 16)
             linked, host = np.zeros(len(v_ids), np.int64), np.full(len(v_ids), -1)
             for a, b, whole in threshold_pairs(tree, guests, reach, near):
                 if whole:

@@ -121,14 +121,80 @@ def clustered(seed=2, n=400, size=8):
     return points
 
 
-def test_tree_nodes_cover_their_members():
-    points = clustered(n=900)
-    tree = covertree.Tree(points)
-    for c, r, members, children in zip(tree.centre, tree.radius, tree.members, tree.children):
-        assert np.linalg.norm(points[members] - points[c], axis=1).max() <= r + 1e-6
-        if children:
-            assert sorted(np.concatenate([tree.members[i] for i in children])) == sorted(members)
-    assert len(tree.centre) > 20
+def shapes():
+    rng = np.random.default_rng(8)
+    yield clustered(n=700)
+    yield rng.normal(size=(300, 32))  # no structure
+    yield np.repeat(rng.normal(size=(3, 4)), 40, axis=0)  # copies
+    yield np.cumsum(2.0 ** -np.arange(40))[:, None] * [[1.0, 0.0]]  # one net for each point
+    yield rng.normal(size=(1, 5))
+
+
+@pytest.mark.parametrize("stop", [0.0, 0.05])
+def test_nets_of_a_tree(stop):
+    """Nesting, covering and separation with halving radii, and what the nodes say of their members."""
+    for points in shapes():
+        tree = covertree.Tree(points, stop)
+        level, centre = np.array(tree.level), np.array(tree.centre)
+        assert sorted(tree.members[0]) == list(range(len(points)))
+        for node, children in enumerate(tree.children):
+            members = tree.members[node]
+            far = np.linalg.norm(points[members] - points[centre[node]], axis=1).max()
+            assert far == pytest.approx(tree.radius[node]) and far <= 2.0 ** (level[node] + 1) * (1 + 1e-9)
+            if children:
+                assert centre[children[0]] == centre[node]  # nested
+                assert (level[children] < level[node]).all()
+                assert sorted(np.concatenate([tree.members[c] for c in children])) == sorted(members)
+                apart = np.linalg.norm(points[centre[children]] - points[centre[node]], axis=1)
+                assert (apart <= 2.0 ** (level[children] + 1) * (1 + 1e-9)).all()  # covered
+            else:
+                assert far <= max(stop, 1e-7 * tree.scale)
+        for i in set(tree.level):  # separated: the net of a level holds the centres of it and of those above
+            net = points[np.unique(centre[level >= i])]
+            gaps = np.linalg.norm(net[:, None] - net[None], axis=2)[np.triu_indices(len(net), 1)]
+            assert (gaps > 2.0 ** i * (1 - 1e-9)).all()
+
+
+def test_dual_traversal_prunes_and_finds_all():
+    for points, most in zip(shapes(), (0.75, 1.0, 1.0, 1.0, 1.0)):
+        a, b, reach = covertree.Tree(points), covertree.Tree(points[::-3], 0.02), 0.4
+        seen, found = covertree.Counter(), covertree.Counter()
+        exact = lambda x, y: np.linalg.norm(x[:, None] - y[None], axis=2) <= reach
+        for rows, others, whole in covertree.threshold_pairs(a, b, reach, exact, seen):
+            pairs = [(i, j) for i in rows for j in others] if whole else zip(rows, others)
+            found.update((int(i), int(j)) for i, j in pairs)
+        want = {(int(i), int(j)) for i, j in zip(*np.nonzero(exact(points, points[::-3])))}
+        assert set(found) == want and set(found.values()) <= {1}
+        assert seen["compared"] <= most * len(points) * len(points[::-3]) and sum(seen.values()) == len(points) * len(points[::-3])
+        ids, q = np.arange(len(points)), points[::-3]
+        seen = covertree.Counter()
+        best = covertree.top_products(covertree.Tree(q), a, 5, ids, np.full(len(q), -np.inf), ids[::-3], seen)
+        for row, (rows, scores) in zip(range(len(q)), best):
+            all_scores = points @ q[row]
+            all_scores[ids[::-3][row]] = -np.inf
+            assert np.allclose(scores, np.sort(all_scores)[::-1][:min(5, len(ids) - 1)])
+        assert seen["compared"] <= most * len(points) * len(q)
+
+
+def test_links_just_at_the_threshold(spark):
+    rows = []
+    for i in range(200):
+        turn = np.arccos(0.95 + (1e-9 if i % 2 else -1e-9))
+        a = np.zeros(16)
+        a[i % 16] = 1.0
+        a += 0.3 * np.sin(np.arange(16) * (i + 1))
+        a /= np.linalg.norm(a)
+        side = np.roll(a, 5) - (np.roll(a, 5) @ a) * a
+        side /= np.linalg.norm(side)
+        rows += [(2 * i, [*map(float, a)]), (2 * i + 1, [*map(float, np.cos(turn) * a + np.sin(turn) * side)])]
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    assert 100 <= linked.sum() and not linked[0, 1] and linked[2, 3]
+    for block in (16, 4096):
+        got = vector_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=block)
+        assert {r.vec_id: r.n_links for r in got.collect()} == dict(enumerate(linked.sum(1)))
 
 
 @pytest.mark.parametrize("block", [32, 4096])
