@@ -158,14 +158,25 @@ def document_inputs(spark, d):
     return mapping, measured, computed, base
 
 
-@query("docs_full_merge", """
-WITH e AS (SELECT CAST(o_custkey AS VARCHAR) AS id, count(DISTINCT (o_totalprice, o_orderstatus, o_orderpriority)) AS n_expir,
+SPECTRUM_SQL = "o_orderstatus || ':' || o_orderpriority || ':' || CAST(round(o_totalprice * 100) AS BIGINT)"
+
+
+def spectra_text():
+    """Spectra of a document, which hold one value each, as sorted text."""
+    return F.array_join(F.array_sort(F.transform("expir", lambda s: F.concat_ws(
+        ":", s["state"], s["state_info"], F.round(F.get(s["vec"], F.lit(0)) * 100).cast("bigint").cast("string")
+    ))), ",")
+
+
+@query("docs_full_merge", f"""
+WITH e AS (SELECT CAST(o_custkey AS VARCHAR) AS id,
+    string_agg(DISTINCT {SPECTRUM_SQL}, ',' ORDER BY {SPECTRUM_SQL}) AS expir,
     string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)) AS nist FROM orders GROUP BY 1),
 t AS (SELECT CAST(user_id AS VARCHAR) AS id, string_agg(event_type || ':' || event_id, ',' ORDER BY event_type, event_id) AS thir
   FROM events GROUP BY 1),
 c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_acctbal AS mass, c_mktsegment AS source, c_acctbal > 5000 AS rich,
   c_nationkey < 10 AS near FROM customer WHERE c_acctbal > 0)
-SELECT id AS _id, 0::BIGINT AS part, mass, source, rich, near, nist, CAST(coalesce(n_expir, 0) AS INTEGER) AS n_expir, thir
+SELECT id AS _id, 0::BIGINT AS part, mass, source, rich, near, nist, expir, thir
 FROM e FULL OUTER JOIN t USING (id) FULL OUTER JOIN c USING (id)
 """)
 def docs_full_merge(spark, d):
@@ -176,7 +187,7 @@ def docs_full_merge(spark, d):
     return merged.select(
         "_id", "part", "mass", F.array_join("source", ",").alias("source"), "fg.rich", "fg.near",
         F.array_join("external_id.nist", ",").alias("nist"),
-        F.coalesce(F.size("expir"), F.lit(0)).alias("n_expir"), thir.alias("thir"),
+        spectra_text().alias("expir"), thir.alias("thir"),
     )
 
 
@@ -221,18 +232,36 @@ def insert_documents_in_parts(spark, d):
     )
 
 
-@query("document_roundtrip", """
-SELECT DISTINCT id AS _id, 0::BIGINT AS part FROM (
-  SELECT CAST(o_custkey AS VARCHAR) AS id FROM orders
-  UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)
+ROUNDTRIP_SQL = f"""
+SELECT id AS _id, 0::BIGINT AS part, c_acctbal AS mass, c_acctbal > 5000 AS rich, c_mktsegment AS source, nist, expir
+FROM (SELECT CAST(o_custkey AS VARCHAR) AS id, string_agg(DISTINCT {SPECTRUM_SQL}, ',' ORDER BY {SPECTRUM_SQL}) AS expir,
+    string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)) AS nist FROM orders GROUP BY 1)
+  FULL OUTER JOIN (SELECT CAST(c_custkey AS VARCHAR) AS id, * FROM customer WHERE c_acctbal > 0) USING (id)
 WHERE id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events)
-""")
+"""
+
+
+def not_stored(spark, d, documents):
+    """Documents, as they read back, without those whose id is on the list of stored ones."""
+    stored = table(spark, d, "events").select(F.col("user_id").cast("string").alias("_id"))
+    return drop_matching(documents, stored, "_id").select(
+        "_id", "part", "mass", "fg.rich", F.array_join("source", ",").alias("source"),
+        F.array_join("external_id.nist", ",").alias("nist"), spectra_text().alias("expir"),
+    )
+
+
+@query("document_roundtrip", ROUNDTRIP_SQL)
 def document_roundtrip(spark, d):
-    """Documents written and read back, without those whose id is on the list of stored ones."""
     path = shared_dir(spark, "documents")
     write_documents(docs.documents(*document_inputs(spark, d)), path)
-    stored = table(spark, d, "events").select(F.col("user_id").cast("string").alias("_id"))
-    return drop_matching(spark.read.parquet(path), stored, "_id").select("_id", "part")
+    return not_stored(spark, d, spark.read.parquet(path))
+
+
+@query("document_json_roundtrip", ROUNDTRIP_SQL)
+def document_json_roundtrip(spark, d):
+    path, documents = shared_dir(spark, "documents"), docs.documents(*document_inputs(spark, d))
+    write_documents(documents, path, as_json=True)
+    return not_stored(spark, d, spark.read.schema(documents.schema).json(path))
 
 
 @query("insert_ignore_duplicates", """

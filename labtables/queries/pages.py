@@ -11,6 +11,7 @@ from labtables.queries.base import query, table
 from labtables.sources.text import parse_block_ends, parse_manifest
 
 SITE = "https://data.example.org"
+SCAN_PATH = "/scans/17.gif"
 CLASSES = (("###", "marked"), ('lang="fr"', "french"), ('lang="de"', "german"), ('lang="en"', "english"))
 
 
@@ -42,8 +43,8 @@ def structure_pages(spark, d):
     p = table(spark, d, "pages").withColumn("id", F.concat(F.lit("C"), F.col("page_id").cast("string")))
     html = F.concat(
         F.col("html"),
-        F.when(F.startswith("url", F.lit("https")), "<p>2d Mol file</p>").otherwise(""),
-        F.when(F.contains("url", F.lit("/en/")), "<p>3d SD file</p>").otherwise(""),
+        F.when(F.startswith("url", F.lit("https")), f"<p>{ops.FILE_KINDS[0][0]}</p>").otherwise(""),
+        F.when(F.contains("url", F.lit("/en/")), f"<p>{ops.FILE_KINDS[1][0]}</p>").otherwise(""),
         F.when(number_in_url() != "", F.concat(link(number_in_url()), link(F.lit("7")), link(number_in_url())))
         .otherwise(""),
         F.lit('<a href="/cgi/cbook.cgi?ID=other&amp;Units=SI&amp;Type=IR-SPEC&amp;Index=5#IR-SPEC">'),
@@ -78,13 +79,14 @@ def page_links(spark, d):
 
 
 def fetched_pages(spark, d):
-    scan = F.lit('<p>View <a href="/cgi/cbook.cgi?Scan=s1&amp;Type=IR">scan of original (hardcopy) spectrum</a>.</p>\n')
+    # a line that holds the mark, with a link of our own in quotes
+    scan = F.lit(f'<li>{ops.SCAN_LINE}: <b title="{SCAN_PATH}">see page</b></li>\n')
     http = ~F.startswith("url", F.lit("https"))
     html = F.concat(
         F.col("html"), F.lit("\n"),
-        F.when(F.contains("url", F.lit("/en/")), "Get it in JCAMP-DX format.\n")
+        F.when(F.contains("url", F.lit("/en/")), f"Numbers {ops.DIGITAL_MARK}\n")
         .when(F.contains("url", F.lit("/fr/")), "\n")
-        .otherwise("A digitized version of this spectrum is not currently available.\n"),
+        .otherwise(f"{ops.SCAN_MARK}\n"),
         scan, F.when(http & F.contains("url", F.lit("/de/")), scan).otherwise(""),
     )
     return table(spark, d, "pages").select(
@@ -103,7 +105,7 @@ SELECT 'C' || page_id AS id, CAST(length(url) AS INTEGER) AS index,
 
 @query("page_spectrum_files", f"""
 SELECT id, index, kind, reason, CASE WHEN reason IS NOT NULL THEN NULL
-  WHEN kind = 'scanned' THEN '{SITE}/cgi/cbook.cgi?Scan=s1&amp;Type=IR'
+  WHEN kind = 'scanned' THEN '{SITE}{SCAN_PATH}'
   ELSE '{SITE}/cgi/cbook.cgi?JCAMP=' || id || '&Index=' || index || '&Type=IR' END AS url,
   CASE WHEN reason IS NULL THEN kind || '/' || id || '-' || index
     || CASE kind WHEN 'scanned' THEN '.gif' ELSE '.jdx' END END AS filename FROM ({KIND_SQL})

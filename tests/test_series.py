@@ -1,4 +1,4 @@
-"""Resampling and the gate against plain definitions on random series."""
+"""Resampling and the gate against plain sequential definitions on random series."""
 
 import random
 
@@ -27,11 +27,11 @@ def brute_force(samples, grid):
         else:
             (xl, yl), (xr, yr) = left[-1], right[0]
             values.append(yl + (yr - yl) / (xr - xl) * (g - xl))
-    # shortage of samples that lasts to the upper end, over all places to start counting from
-    consumed = [s[0] for s in samples[1:]]
-    gap = max(
-        sum(1 for p in points[j:]) - sum(1 for x in consumed if points[j] <= x < points[-1]) for j in range(len(points))
-    )
+    # a counter goes up at each grid point and down, not below zero, at each sample after the first
+    gap = 0
+    walk = [(p, 0) for p in points] + [(x, 1) for x, _ in samples[1:] if x < points[-1]]
+    for _, is_sample in sorted(walk):
+        gap = max(gap - 1, 0) if is_sample else gap + 1
     return values, gap, None
 
 
