@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ class TableDef:
     """``build`` gets the session and a dict of the tables named in ``deps``.
 
     ``inputs`` are the raw files and folders it reads, ``version`` stands for its parameters and code.
+    ``metrics`` are aggregates that are taken while the table is written, such as counts by reason.
     """
 
     name: str
@@ -34,6 +35,7 @@ class TableDef:
     schema: T.StructType | None = None
     inputs: tuple[str, ...] = ()
     version: str = ""
+    metrics: tuple[tuple[str, Column], ...] = ()
 
 
 def file_state(spark: SparkSession, path: str) -> str:
@@ -95,6 +97,10 @@ class Registry:
         text = read_small(self.spark, self._record_path(name))
         return json.loads(text) if text else None
 
+    def metrics(self, name: str) -> dict:
+        """What was counted while the table was written; nothing is read again."""
+        return (self.record(name) or {}).get("metrics", {})
+
     def fingerprint(self, name: str) -> str:
         """What the table would be built from now."""
         table = self._def(name)
@@ -134,9 +140,12 @@ class Registry:
         df = table.build(self.spark, {d: self.read(d) for d in table.deps})
         if table.schema is not None:
             df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+        seen = Observation(f"{name} {uuid.uuid4().hex}")
+        if table.metrics:
+            df = df.observe(seen, *[value.alias(metric) for metric, value in table.metrics])
         # a folder without its success marker is left from a failed write and is replaced
         df.write.mode("overwrite").parquet(self.path(name))
-        record = {"fingerprint": fingerprint, "stamp": uuid.uuid4().hex}
+        record = {"fingerprint": fingerprint, "stamp": uuid.uuid4().hex, "metrics": seen.get if table.metrics else {}}
         swap_small(self.spark, self._record_path(name), json.dumps(record))
 
     def get_or_create(self, name: str) -> DataFrame:

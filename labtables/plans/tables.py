@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labtables import schemas
+from labtables.operators import series as series_reasons
+from labtables.sources import labelled, tagged
 from labtables.functions.strings import file_key, file_stem, leading_word, tokens
 from labtables.operators.documents import documents
 from labtables.operators.enrich import Enricher, enrich_unique, fold_flags
@@ -114,6 +116,18 @@ def universe(mapping: DataFrame, external: DataFrame | None, own_source: str, fn
     return enrich_unique(merged, "smiles", fn, flat, tasks).select("smiles", "mass", fold_flags(flags), "source")
 
 
+def reason_counts(*reasons: str) -> tuple[tuple[str, Column], ...]:
+    """Metrics of a parsed table: its rows, the good ones and those of each reason."""
+    reason = F.col("reason")
+    return (("rows", F.count(F.lit(1))), ("ok", F.count_if(reason.isNull())),
+            *[(r, F.count_if(reason.eqNullSafe(F.lit(r)))) for r in reasons])
+
+
+SERIES_REASONS = (BAD_NAME, labelled.BAD_HEADER_LINE, labelled.BAD_NUMBER, labelled.MISSING, series_reasons.BAD_HEADER,
+                  series_reasons.TOO_FEW, series_reasons.OUT_OF_RANGE, series_reasons.NO_RIGHT, series_reasons.LOW_RESOLUTION)
+PROPERTY_REASONS = (tagged.NO_TAG, tagged.BAD_NUMBER)
+
+
 def tables(inputs: Inputs) -> list[TableDef]:
     """Definitions of the five tables over raw files, and of the parsed files that they and the rejects
     are taken from, so that each file is parsed once."""
@@ -140,8 +154,10 @@ def tables(inputs: Inputs) -> list[TableDef]:
     external = (inputs.universe_dir,) if inputs.universe_dir else ()
     return [
         TableDef("structure_map", build_map, (), False, schemas.STRUCTURE_MAP, (inputs.structures, inputs.aliases)),
-        TableDef("parsed_series", parse_series, (), False, schemas.PARSED_SERIES, (inputs.series_dir,), grid),
-        TableDef("parsed_properties", parse_properties, (), False, schemas.PARSED_PROPERTIES, (inputs.property_dir,)),
+        TableDef("parsed_series", parse_series, (), False, schemas.PARSED_SERIES, (inputs.series_dir,), grid,
+                 reason_counts(*SERIES_REASONS)),
+        TableDef("parsed_properties", parse_properties, (), False, schemas.PARSED_PROPERTIES, (inputs.property_dir,),
+                 "", reason_counts(*PROPERTY_REASONS)),
         TableDef("measured", lambda _, t: measured(t["parsed_series"], t["structure_map"]),
                  ("parsed_series", "structure_map"), False, schemas.MEASURED),
         TableDef("computed", lambda _, t: computed(t["parsed_properties"], t["structure_map"]),

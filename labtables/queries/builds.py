@@ -9,7 +9,8 @@ from labtables.config import shared_dir
 from labtables.operators.series import Grid
 from labtables.plans.registry import Registry
 from labtables.plans.tables import Inputs, tables
-from labtables.queries.base import query, table
+from labtables.queries.base import ORACLES, query, table, text_files
+from labtables.queries.series import FILE_GAP, FILE_GRID, series_text
 from labtables.sources.records import LABELLED_END
 from labtables.sources.tagged import RECORD_END
 
@@ -93,3 +94,16 @@ def registry_rebuild(spark, d):
     for other in rows[1:]:
         result = result.unionByName(other)
     return result
+
+
+@query("observed_reasons", ORACLES["spectra_rejects"])
+def observed_reasons(spark, d):
+    """Reasons of rejected spectra as they were counted while the parsed table was written."""
+    raw, out = text_files(spark, d, "series", series_text, LABELLED_END), shared_dir(spark, "tables")
+    inputs = Inputs(raw, raw, raw, raw, F.lit(True), mass_of, grid=FILE_GRID, max_gap=FILE_GAP, many_records=True)
+    registry = Registry(spark, out, out).add(*[t for t in tables(inputs) if t.name == "parsed_series"])
+    registry.build()
+    counted = registry.metrics("parsed_series")
+    if counted.pop("rows") != sum(counted.values()):
+        raise AssertionError(f"a reason is not counted: {counted}")
+    return spark.createDataFrame([(r, n) for r, n in counted.items() if n], "reason string, n long")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from labtables.config import shared_dir
+from labtables.operators import idsets
 from labtables.operators.keys import latest
 from labtables.queries.base import query, table
 from labtables.sinks import ledgers
@@ -85,3 +86,33 @@ def ledger_checksums(spark, d):
     files = docs.where(F.col("source") != "src3").select("filename", F.encode("text", "UTF-8").alias("content"))
     ledgers.keep_verified(spark, path, files)
     return text.parse_checksums(ledgers.ledger_lines(spark, path))
+
+
+def stored_id_sets(spark, d):
+    """Users of three kinds of events as bitmaps, each kept in files of its own."""
+    folder, events = shared_dir(spark, "idsets"), table(spark, d, "events")
+    paths = []
+    for kind in ("view", "click", "signup"):
+        paths.append(f"{folder}/{kind}")
+        idsets.id_set(events.where((F.col("event_type") == kind) & (F.col("user_id") % 3 > 0)), "user_id").write.parquet(paths[-1])
+    return [spark.read.parquet(p) for p in paths]
+
+
+@query("id_set_members", """
+SELECT DISTINCT user_id AS id FROM events WHERE event_type IN ('view', 'click', 'signup') AND user_id % 3 > 0
+""")
+def id_set_members(spark, d):
+    """Ids found in any of three batches, from their bitmaps alone."""
+    return idsets.members(idsets.union(*stored_id_sets(spark, d)))
+
+
+@query("id_set_todo", """
+SELECT c_custkey, (SELECT count(DISTINCT user_id) FROM events WHERE event_type IN ('view', 'click', 'signup')
+  AND user_id % 3 > 0) AS n_found FROM customer
+WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE event_type IN ('view', 'click', 'signup') AND user_id % 3 > 0)
+""")
+def id_set_todo(spark, d):
+    """Customers whose id no batch holds, and how many ids the batches hold."""
+    found = idsets.union(*stored_id_sets(spark, d))
+    todo = idsets.not_in(table(spark, d, "customer").select("c_custkey"), "c_custkey", found)
+    return todo.select("c_custkey", idsets.size(found).scalar().alias("n_found"))

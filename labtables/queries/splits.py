@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from labtables.functions.hashing import cutoffs
 from labtables.operators import splits
+from labtables.operators.quotas import with_quotas
 from labtables.operators.sources import merge_sources, tag
 from labtables.plans.registry import summary
 from labtables.queries.base import query, table
-from labtables.schemas import LIMITED_WEIGHTS, OVERALL_WEIGHTS
+from labtables.schemas import LIMITED_WEIGHTS, OVERALL_WEIGHTS, USAGES
 
 SEED = 7
 
@@ -92,3 +93,43 @@ SELECT event_id, user_id, CASE WHEN mixed THEN pick ELSE u END AS usage FROM l J
 def split_repair(spark, d):
     events = table(spark, d, "events").select("event_id", "user_id")
     return splits.split_and_repair(events, F.col("event_id"), "user_id", OVERALL_WEIGHTS, SEED)
+
+
+QUOTAS = {"view": (5, 3, 3), "click": (4, 1, 1), "purchase": (1, 0, 0)}
+
+
+def quota_sql(place: str, n: str) -> str:
+    cases = []
+    for name, weights in QUOTAS.items():
+        a, b, total = weights[0], weights[0] + weights[1], sum(weights)
+        cases.append(f"WHEN event_type = '{name}' THEN CASE WHEN {place} < {n} * {a} // {total} THEN 'training' "
+                     f"WHEN {place} < {n} * {b} // {total} THEN 'validation' ELSE 'testing' END")
+    return f"CASE {' '.join(cases)} ELSE 'unused' END"
+
+
+@query("exact_quotas", f"""
+WITH u AS (SELECT DISTINCT event_type, CAST(user_id AS VARCHAR) AS mid FROM events),
+p AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY {hash_sql('mid')}, mid) - 1 AS place,
+  count(*) OVER (PARTITION BY event_type) AS n FROM u)
+SELECT event_id, {quota_sql('place', 'n')} AS usage FROM events JOIN p USING (event_type)
+WHERE CAST(events.user_id AS VARCHAR) = mid
+""")
+def exact_quotas(spark, d):
+    """Users of each event type in shares that hold exactly; all events of a user and type go together."""
+    events = table(spark, d, "events").select("event_id", "event_type", F.col("user_id").cast("string").alias("mid"))
+    return with_quotas(events, "event_type", "mid", QUOTAS, USAGES, seed=SEED).select("event_id", "usage")
+
+
+@query("exact_quota_counts", f"""
+WITH p AS (SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('view', 'click') GROUP BY 1),
+c AS (SELECT event_type, n * CASE event_type WHEN 'view' THEN 5 ELSE 4 END // CASE event_type WHEN 'view' THEN 11 ELSE 6 END AS a,
+  n * CASE event_type WHEN 'view' THEN 8 ELSE 5 END // CASE event_type WHEN 'view' THEN 11 ELSE 6 END AS b, n FROM p)
+SELECT event_type, 'training' AS usage, a AS n FROM c UNION ALL SELECT event_type, 'validation', b - a FROM c
+UNION ALL SELECT event_type, 'testing', n - b FROM c
+""")
+def exact_quota_counts(spark, d):
+    """Events of two types split 5:3:3 and 4:1:1 by their own id: rows per type and label."""
+    events = table(spark, d, "events").select("event_type", F.col("event_id").cast("string").alias("key"))
+    weights = {"view": OVERALL_WEIGHTS, "click": LIMITED_WEIGHTS}
+    split = with_quotas(events.where(F.col("event_type").isin(*weights)), "event_type", "key", weights, USAGES, seed=SEED)
+    return split.groupBy("event_type", "usage").agg(F.count(F.lit(1)).alias("n"))
