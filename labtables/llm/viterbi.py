@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import accumulate
 from zlib import crc32
 
 import pyarrow as pa
@@ -22,7 +22,9 @@ from labtables.llm.common import grow, worker_cache
 SPACE = "▁"
 UNIT_CACHE = 400_000
 LONG_UNIT = 64
+SLICE = 256
 UNKNOWN_PENALTY = 10.0
+NEVER = float("-inf")
 
 
 class Vocabulary:
@@ -46,86 +48,91 @@ class Vocabulary:
                 self.pieces[piece] = (model.get_score(i), i)
                 self.text.append(piece)
         self.longest = max(map(len, self.pieces))
-        self.starts = frozenset(p[:i] for p in self.pieces for i in range(1, len(p) + 1))
+        self.trie: dict = {}  # by character: [further characters, score, id]; id -1 where no piece ends
+        for piece, (value, i) in self.pieces.items():
+            at = self.trie
+            for c in piece:
+                node = at.setdefault(c, [{}, 0.0, -1])
+                at = node[0]
+            node[1:] = value, i
         self.joined = frozenset(p[i:i + 2] for p in self.pieces for i in range(len(p) - 1))
         self.parts: dict[str, bytes] = {}
         self.unknown = min(s for s, _ in self.pieces.values()) - UNKNOWN_PENALTY
         self.cut = all(SPACE not in p.lstrip(SPACE) for p in self.pieces)
         self.units: dict[str, bytes] = {}
 
-    def stream(self, chars: Iterable[str]) -> Iterator[int]:
-        """Ids of the best path through ``chars`` (spaces already marked); ties go to the longer piece.
+    def stream(self, text: str | Iterable[str]) -> Iterator[int]:
+        """Ids of the best path through a text (spaces already marked); ties go to the longer piece.
 
-        ``best[k]`` and ``back[k]`` belong to the position ``k`` of the window; positions up to ``at`` are
-        final. Each later path goes through one of the reached positions behind ``at``, so the window is
-        cut at the boundary on which their back pointers meet.
+        ``best[k]`` and ``back[k]`` belong to position ``k`` of the window, which holds the characters from the
+        last committed boundary on. Where no piece reaches beyond the current position, every path goes
+        through it and what lies before is committed; a window that grows to four times the longest piece
+        is cut at the boundary on which the back pointers of all reached positions meet.
         """
-        pieces, starts, longest, unknown = self.pieces, self.starts, self.longest, self.unknown
-        source = iter(chars)
-        text, at, best, back, ids = "", 0, [0.0], [0], [-1]
-        while True:
-            if len(text) < at + longest:
-                more = "".join(islice(source, 4 * longest))
-                text += more
-                best += [None] * len(more)
-                back += [0] * len(more)
-                ids += [-1] * len(more)
-                if at == len(text):
-                    break
-            score = best[at]
-            if best[at + 1] is None:
-                best[at + 1], back[at + 1] = score + unknown, at
-            for end in range(at + 1, min(at + longest, len(text)) + 1):
-                part = text[at:end]
-                if part not in starts:
-                    break
-                found = pieces.get(part)
-                if found is not None:
-                    total = score + found[0]
-                    if best[end] is None or total > best[end]:
-                        best[end], back[end], ids[end] = total, at, found[1]
-            at += 1
-            if at >= 4 * longest:
-                ends = {e for e in range(at, min(at + longest, len(text) + 1)) if best[e] is not None}
-                while len(ends) > 1:
-                    last = max(ends)
-                    ends.discard(last)
-                    ends.add(back[last])
-                meet = ends.pop()
-                if meet:
-                    yield from self._path(text, back, ids, meet)
-                    offset = best[meet]
-                    text, at = text[meet:], at - meet
-                    best = [None if b is None else b - offset for b in best[meet:]]
-                    # positions before ``at`` that come from before the boundary are on no path any more
-                    back = [0, *[max(b - meet, 0) for b in back[meet + 1:]]]
-                    ids = [-1, *ids[meet + 1:]]
-        yield from self._path(text, back, ids, len(text))
-
-    def _short(self, text: str) -> list[int]:
-        """The same for a stretch that lies within one window."""
-        n = len(text)
-        pieces, starts, longest = self.pieces.get, self.starts, self.longest
-        best, back, ids = [None] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
-        best[0] = 0.0
-        for at in range(n):
-            score = best[at]
-            if best[at + 1] is None:
-                best[at + 1], back[at + 1] = score + self.unknown, at
-            for end in range(at + 1, min(at + longest, n) + 1):
-                part = text[at:end]
-                found = pieces(part)
-                if found is not None:
-                    total = score + found[0]
-                    if best[end] is None or total > best[end]:
-                        best[end], back[end], ids[end] = total, at, found[1]
-                elif part not in starts:
-                    break
-        return self._path(text, back, ids, n)
-
-    def _path(self, text: str, back: list[int], ids: list[int], at: int) -> list[int]:
+        trie, unknown, longest = self.trie, self.unknown, self.longest
+        slices = (text[i:i + SLICE] for i in range(0, len(text), SLICE)) if isinstance(text, str) else iter(text)
+        window, at, reach, best, back, ids = "", 0, 0, [0.0], [0], [-1]
+        more = next(slices, None)
+        while more is not None:
+            window += more
+            best += [NEVER] * len(more)
+            back += [0] * len(more)
+            ids += [-1] * len(more)
+            more, size = next(slices, None), len(window)
+            # a position is worked on once all pieces from it lie in the window
+            stop = size if more is None else size - longest
+            start = 0  # the last boundary, whose best path scores 0
+            while at < stop:
+                if at == reach:
+                    if at > start:
+                        yield from self._path(window, back, ids, at, start)
+                        start, best[at] = at, 0.0
+                elif at - start >= 4 * longest:
+                    meet = self._meeting(best, back, at, size)
+                    if meet > start:
+                        yield from self._path(window, back, ids, meet, start)
+                        lost = best[meet]
+                        for k in range(meet, min(at + longest, size) + 1):
+                            best[k] -= lost
+                            # reached from before the boundary: on no path any more
+                            back[k] = max(back[k], meet)
+                        start = meet
+                score, node, end = best[at], trie, at
+                if best[at + 1] == NEVER:
+                    best[at + 1], back[at + 1] = score + unknown, at
+                    if reach <= at:
+                        reach = at + 1
+                while end < size:
+                    found = node.get(window[end])
+                    if found is None:
+                        break
+                    end += 1
+                    node, value, number = found
+                    if number >= 0 and score + value > best[end]:
+                        best[end], back[end], ids[end] = score + value, at, number
+                        if end > reach:
+                            reach = end
+                at += 1
+            if start:
+                window, at, reach = window[start:], at - start, reach - start
+                best, ids = best[start:], [-1, *ids[start + 1:]]
+                back = [0, *[max(b - start, 0) for b in back[start + 1:]]]
+        yield from self._path(window, back, ids, len(window), 0)
+
+    @staticmethod
+    def _meeting(best: list[float], back: list[int], at: int, size: int) -> int:
+        """The last boundary on which the back pointers of all reached positions from ``at`` on meet."""
+        ends = {e for e in range(at, size + 1) if best[e] != NEVER}
+        while len(ends) > 1:
+            last = max(ends)
+            ends.discard(last)
+            ends.add(back[last])
+        return ends.pop()
+
+    def _path(self, text: str, back: list[int], ids: list[int], at: int, stop: int) -> list[int]:
+        """Ids of the best path from the boundary ``stop`` to the position ``at``."""
         out: list[int] = []
-        while at:
+        while at > stop:
             start = back[at]
             if ids[at] >= 0:
                 out.append(ids[at])
@@ -169,7 +176,7 @@ class Vocabulary:
                 part = unit[start:i]
                 got = self.parts.get(part)
                 if got is None:
-                    got = self._pack(self._short(part) if len(part) <= LONG_UNIT else self.stream(part))
+                    got = self._pack(self.stream(part))
                     if len(part) <= LONG_UNIT:
                         grow(self.parts, part, got, UNIT_CACHE)
                 out.append(got)
@@ -240,7 +247,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
 
 def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_ids, ids_crc32, same): encoding and decoding in one pass; ``same`` if the text comes back.
+    """(id, n_ids, ids_crc32, ids, same): encoding and decoding in one pass; ``same`` if the text comes back.
 
     A null text counts as empty. A literal mark of a space in a text comes back as a space.
     """
@@ -250,16 +257,24 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in batches:
-            counts, digests, same = [], [], []
+            counts, digests, same, coded = [], [], [], []
             for text in batch.column(1):
                 text = text.as_py() or ""
                 ids = words.encode(text)
                 counts.append(len(ids) // 4)
                 digests.append(crc32(ids))
+                coded.append(ids)
                 same.append(words.decode(ids) == text.replace(SPACE, " "))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.int64()),
-                 pa.array(same, pa.bool_())], names=[id_col, "n_ids", "ids_crc32", "same"],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.int64()), _lists(coded),
+                 pa.array(same, pa.bool_())], names=[id_col, "n_ids", "ids_crc32", "ids", "same"],
             )
 
-    return rows.mapInArrow(run, f"`{id_col}` {id_type}, n_ids long, ids_crc32 long, same boolean")
+    return rows.mapInArrow(run, f"`{id_col}` {id_type}, n_ids long, ids_crc32 long, ids array<int>, same boolean")
+
+
+def _lists(coded: list[bytes]) -> pa.Array:
+    """Lists of 32-bit ids from their bytes, without a copy of each id."""
+    ends = pa.array([0, *accumulate(len(ids) // 4 for ids in coded)], pa.int32())
+    values = pa.Array.from_buffers(pa.int32(), ends[-1].as_py(), [None, pa.py_buffer(b"".join(coded))])
+    return pa.ListArray.from_arrays(ends, values)

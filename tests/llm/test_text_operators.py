@@ -139,6 +139,8 @@ def test_viterbi_equals_brute_force_and_comes_back(spark):
         want = best_path(words, marked) if t else []
         assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == want
         assert not t or list(words.stream(marked)) == want  # the window alone, without cuts at words
+        for n in (1, 3):  # in slices
+            assert not t or list(words.stream(marked[i:i + n] for i in range(0, len(marked), n))) == want
         assert words.decode(ids) == t
     assert all(r.same for r in viterbi.round_trip(messy(spark), PIECES).collect())
     plain = messy(spark).where("instr(text, '▁') = 0 OR text IS NULL")
@@ -148,6 +150,41 @@ def test_viterbi_equals_brute_force_and_comes_back(spark):
     assert words.decode(struct.pack("<3I", 0, 1, 99999)) == ""
 
 
+def test_every_uncached_character_goes_through_the_window():
+    words = viterbi.Vocabulary(PIECES)
+    seen, real = [], words.stream
+    words.stream = lambda text: (seen.append(text), real(text))[1]
+    for t in random_texts("ab the,.éstroing l漢\n", 80, 60):
+        words.units.clear(), words.parts.clear(), seen.clear()
+        words.encode(t)
+        marked = viterbi.SPACE + t.replace(" ", viterbi.SPACE)
+        at, streamed = 0, set(seen)
+        while at < len(marked):  # the text is made of what was streamed, whole parts and repeats of them
+            part = max((p for p in streamed if marked.startswith(p, at)), key=len)
+            at += len(part)
+        assert len(seen) == len(streamed)  # each part once
+
+
+def test_ties_go_to_the_longer_piece_and_windows_stay_short():
+    words = viterbi.Vocabulary(PIECES)
+    words.pieces = {"a": (-1.0, 1), "b": (-1.0, 2), "ab": (-2.0, 3), "ba": (-2.0, 4), "aa": (-2.0, 5), "aba": (-3.0, 6)}
+    words.longest, words.trie = 3, {}
+    for piece, (value, i) in words.pieces.items():
+        at = words.trie
+        for c in piece:
+            node = at.setdefault(c, [{}, 0.0, -1])
+            at = node[0]
+        node[1:] = value, i
+    widths, path = [], words._path
+    words._path = lambda text, back, ids, at, stop: (widths.append(at - stop), path(text, back, ids, at, stop))[1]
+    rng = random.Random(1)
+    for _ in range(60):
+        text = "".join(rng.choice("ab") for _ in range(rng.randrange(1, 700)))
+        assert list(words.stream(text)) == best_path(words, text)
+    assert list(words.stream("aba")) == [6] and list(words.stream("abab")) == best_path(words, "abab")
+    assert max(widths) < 600
+
+
 URLS = [None, "", "no scheme", "http://", "HTTP://A.NET/x", "https://example.net/en/1", "https://example.net/EN/1",
         "http://m.example.com/de/1?x=/fr/", "http://notexample.com/de/1", "http://x.org/fr/#a", "http://x.org/fr",
         "http://x.net", "http://x.net?/", "http://x.net:80/", "x://y.net/a://b.org/fr/", "http://.net/",
