@@ -158,10 +158,11 @@ def test_every_uncached_character_goes_through_the_window():
         words.units.clear(), words.parts.clear(), seen.clear()
         words.encode(t)
         marked = viterbi.SPACE + t.replace(" ", viterbi.SPACE)
-        at, streamed = 0, set(seen)
-        while at < len(marked):  # the text is made of what was streamed, whole parts and repeats of them
-            part = max((p for p in streamed if marked.startswith(p, at)), key=len)
-            at += len(part)
+        streamed, reached = set(seen), {0}
+        for at in range(len(marked)):  # the text is made of what was streamed, whole parts and repeats of them
+            if at in reached:
+                reached |= {at + len(p) for p in streamed if marked.startswith(p, at)}
+        assert len(marked) in reached or not t
         assert len(seen) == len(streamed)  # each part once
 
 
