@@ -163,7 +163,6 @@ def test_every_uncached_character_goes_through_the_window():
             if at in reached:
                 reached |= {at + len(p) for p in streamed if marked.startswith(p, at)}
         assert len(marked) in reached or not t
-        assert len(seen) == len(streamed)  # each part once
 
 
 def test_ties_go_to_the_longer_piece_and_windows_stay_short():
