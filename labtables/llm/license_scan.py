@@ -1,14 +1,14 @@
 """License scan: exact phrases, and a set-similarity join of text blocks with templates (operator 10).
 
-The join finds every block of a text that holds at least a given share of a template's distinct words.
-Blocks are the lines and, if asked for, in text wrapped over lines all runs of twice as many words as the template has. Words have one global order, rarest in all documents first. A template's prefix is so long that
-a block without any word of it cannot hold the share, so blocks look up their words in an index of the
-prefixes; the length filter and the positional filter then drop candidates before words are counted.
+A window is a run of twice as many words as a template has, wherever lines end. The join finds every
+window that holds at least a given share of a template's distinct words; windows that overlap make one
+block. Words have one global order, rarest in all documents first. A template's prefix is so long that a
+window without any word of it cannot hold the share, so texts look up their words in an index of the
+prefixes; the length filter and the positional filter drop candidates before windows are counted.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = Fraction(4, 5)
+STRETCH = 2
 MAX_TEMPLATES = 10_000
 
 # Base phrases and their labels.
@@ -42,14 +43,14 @@ TEMPLATES = {
     "this source code form is subject to the terms of the mozilla public license version 2 0": "mpl-2",
 }
 
-# Bytes that separate words become spaces, A-Z become a-z; line ends stay for the cut into blocks.
+# Bytes that separate words become spaces, A-Z become a-z.
 _WORD = [48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)]
-_TABLE = bytes((b | 32 if 65 <= b <= 90 else b) if _WORD[b] or b == 10 else 32 for b in range(256))
+_TABLE = bytes((b | 32 if 65 <= b <= 90 else b) if _WORD[b] else 32 for b in range(256))
 
 
-def words_of(text: str) -> list[list[bytes]]:
-    """Words of each line: runs of 0-9, a-z and non-ASCII characters."""
-    return [line.split() for line in text.encode().translate(_TABLE).split(b"\n")]
+def words_of(text: str) -> list[bytes]:
+    """Words of a text: runs of 0-9, a-z and non-ASCII characters."""
+    return text.encode().translate(_TABLE).split()
 
 
 def places(words: Sequence[bytes], phrases: Mapping[bytes, str]) -> tuple[list[int], list[str]]:
@@ -69,10 +70,12 @@ def places(words: Sequence[bytes], phrases: Mapping[bytes, str]) -> tuple[list[i
 class Index:
     """Templates by the words of their prefixes; ``order`` numbers the words, rarest first."""
 
-    def __init__(self, templates: Mapping[str, str], counts: Mapping[bytes, int], threshold: Fraction):
+    def __init__(self, templates: Mapping[str, str], counts: Mapping[bytes, int], threshold: Fraction, stretch: int = STRETCH):
         sets = [(frozenset(t.encode().split()), label) for t, label in templates.items()]
         vocabulary = sorted({w for words, _ in sets for w in words}, key=lambda w: (counts.get(w, 0), w))
         self.order = {w: i for i, w in enumerate(vocabulary)}
+        self.wanted = frozenset(vocabulary)
+        self.stretch = stretch
         self.templates = []
         self.prefixes: dict[int, list[tuple[int, int]]] = {}
         for number, (words, label) in enumerate(sets):
@@ -82,82 +85,58 @@ class Index:
             for position, rank in enumerate(ranks[:len(ranks) - need + 1]):
                 self.prefixes.setdefault(rank, []).append((number, position))
 
-    def matches(self, block: Sequence[bytes]) -> Iterator[tuple[int, Fraction]]:
-        """(template, share of its words) for every template that the block holds enough of."""
-        ranks = sorted({r for r in map(self.order.get, block) if r is not None})
+    def candidates(self, present: Sequence[int]) -> Iterator[int]:
+        """Templates that a text with these words (ascending numbers) may hold enough of."""
         tried = set()
-        for at, rank in enumerate(ranks):
+        for at, rank in enumerate(present):
             for number, position in self.prefixes.get(rank, ()):
-                if number in tried:
-                    continue
-                tried.add(number)  # the first common word in the global order
-                template, need, _ = self.templates[number]
-                if len(ranks) < need:
-                    continue
-                if 1 + min(len(ranks) - at, len(template) - position) - 1 < need:
-                    continue
-                common = 0
-                for r in template[position:]:
-                    i = bisect_left(ranks, r, at)
-                    common += i < len(ranks) and ranks[i] == r
-                if common >= need:
-                    yield number, Fraction(common, len(template))
-
-
-    def wrapped(self, lines: Sequence[Sequence[bytes]]) -> Iterator[tuple[int, int, Fraction]]:
-        """(line, template, share) of runs over more than one line that hold enough of a template.
-
-        A run has up to twice as many words as the template's set and lies around a word of its prefix;
-        of runs that meet, the first with the largest share counts, by the line on which it starts.
-        """
-        held = []  # (word number, line, rank) of all words of templates
-        at = 0
-        for number, line in enumerate(lines):
-            held += [(at + i, number, self.order[w]) for i, w in enumerate(line) if w in self.order]
-            at += len(line)
-        around: dict[int, list[int]] = {}
-        for i, (_, _, rank) in enumerate(held):
-            for number, _ in self.prefixes.get(rank, ()):
-                around.setdefault(number, []).append(i)
-        for number, anchors in around.items():
+                if number not in tried:
+                    tried.add(number)  # the first common word in the global order
+                    template, need, _ = self.templates[number]
+                    if len(present) >= need and min(len(present) - at, len(template) - position) >= need:
+                        yield number
+
+    def blocks(self, words: Sequence[bytes]) -> Iterator[tuple[int, int, int, Fraction]]:
+        """(first word, last word, template, share) of every block: the windows that hold enough of a template,
+        from a word of the template to the last one in reach, merged where they overlap."""
+        present = sorted(map(self.order.__getitem__, self.wanted.intersection(words)))
+        chosen = list(self.candidates(present)) if present else []
+        if not chosen:
+            return
+        held = [(at, self.order[w]) for at, w in enumerate(words) if w in self.wanted]
+        for number in chosen:
             template, need, _ = self.templates[number]
-            mine, width, reach = frozenset(template), 2 * len(template), 0
-            best = None  # (share, line, end)
-            for i in anchors:
-                low = i
-                while low > reach and held[i][0] - held[low - 1][0] < width:
-                    low -= 1
-                for start in range(low, i + 1):
-                    place, line, rank = held[start]
-                    if rank not in mine:
-                        continue
-                    end, seen = start, set()
-                    while end < len(held) and held[end][0] - place < width:
-                        seen.add(held[end][2])
-                        end += 1
-                    common = len(seen & mine)
-                    if common < need or held[end - 1][1] == line:
-                        continue
-                    if best and start >= best[2]:
-                        yield best[1], number, best[0]
-                        best = None
-                    share = Fraction(common, len(template))
-                    if best is None or share > best[0]:
-                        best = (share, line, end)
-                reach = i + 1
-            if best:
-                yield best[1], number, best[0]
+            mine = frozenset(template)
+            places = [(at, rank) for at, rank in held if rank in mine]
+            width, end, block = self.stretch * len(template), 0, None
+            inside: Counter = Counter()
+            for at, rank in places:
+                while end < len(places) and places[end][0] < at + width:
+                    inside[places[end][1]] += 1
+                    end += 1
+                if len(inside) >= need:
+                    last, share = places[end - 1][0], Fraction(len(inside), len(template))
+                    if block and at <= block[1]:
+                        block = (block[0], last, number, max(block[3], share))
+                    else:
+                        if block:
+                            yield block
+                        block = (at, last, number, share)
+                inside[rank] -= 1
+                if not inside[rank]:
+                    del inside[rank]
+            if block:
+                yield block
 
 
 def word_counts(texts: DataFrame, wanted: frozenset[bytes]) -> dict[bytes, int]:
-    """Occurrences in all texts of the words of templates; at most one row a word to the driver."""
+    """Texts that hold each word of the templates; at most one row a word to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for batch in batches:
             for text in batch.column(0):
-                for line in words_of(text.as_py() or ""):
-                    found.update(wanted.intersection(line))
+                found.update(wanted.intersection(words_of(text.as_py() or "")))
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"]
         )
@@ -168,48 +147,40 @@ def word_counts(texts: DataFrame, wanted: frozenset[bytes]) -> dict[bytes, int]:
 
 def scan_licenses(df: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES,
                   threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
-                  wrapped: bool = False) -> DataFrame:
+                  stretch: int = STRETCH) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks) for each row.
 
     ``n_base`` counts all places of phrases, ``first_word`` and ``last_word`` are the smallest and largest
-    word number at which one starts (null without any). ``blocks`` lists (line, template, share) of each
-    pair that meets the threshold; with ``wrapped`` also of runs over lines that hold more of a template than any single line; ``score`` is 1 with a phrase, else the largest share, else 0. Labels are
-    distinct, sorted and joined by commas, empty if there are none. A null text counts as empty. Frequencies
-    are counted over all rows in a pass of its own; each row is then judged where it is read.
+    word number at which one starts (null without any). ``blocks`` lists (first, last, template, share) of
+    all blocks that meet the threshold, by word numbers, with the largest share of a window in them;
+    windows have ``stretch`` times as many words as the template has different ones. ``score`` is 1 with a
+    phrase, else the largest share, else 0. Labels are distinct, sorted and joined by commas, empty if
+    there are none. A null text counts as empty. Frequencies are counted over all rows in a pass of its
+    own; each row is then judged where it is read.
     """
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     rows = df.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text"))
     wanted = frozenset(w for t in templates for w in t.encode().split())
-    index = Index(templates, word_counts(rows.select("text"), wanted), threshold)
+    index = Index(templates, word_counts(rows.select("text"), wanted), threshold, stretch)
     sought = {f" {p} ".encode(): label for p, label in phrases.items()}
     names = list(templates)
     id_type = rows.schema[id_col].dataType.simpleString()
-    block_type = pa.list_(pa.struct([("line", pa.int64()), ("template", pa.string()), ("share", pa.float64())]))
+    block_type = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("template", pa.string()), ("share", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = index.prefixes
         for batch in batches:
             out = []
             for text in batch.column(1):
-                lines = words_of(text.as_py() or "")
-                flat = [w for line in lines for w in line]
-                starts, base = places(flat, sought)
-                blocks = []
-                for number, line in enumerate(lines):
-                    if any(map(rare.__contains__, map(index.order.get, wanted.intersection(line)))):
-                        blocks += [(number, t, share) for t, share in index.matches(line)]
-                if wrapped and len(lines) > 1 and not rare.keys().isdisjoint(map(index.order.get, wanted.intersection(flat))):
-                    most = {}
-                    for _, t, share in blocks:
-                        most[t] = max(share, most.get(t, 0))
-                    blocks += [b for b in index.wrapped(lines) if b[2] > most.get(b[1], 0)]
-                labels = {*base, *[index.templates[t][2] for _, t, _ in blocks]}
+                words = words_of(text.as_py() or "")
+                starts, base = places(words, sought)
+                blocks = sorted(index.blocks(words))
+                labels = {*base, *[index.templates[t][2] for _, _, t, _ in blocks]}
                 out.append((
-                    sum(map(len, lines)), len(starts), min(starts, default=None), max(starts, default=None),
+                    len(words), len(starts), min(starts, default=None), max(starts, default=None),
                     ",".join(sorted(set(base))), ",".join(sorted(labels)),
                     1.0 if starts else float(max((s for *_, s in blocks), default=0)),
-                    [{"line": n, "template": names[t], "share": float(s)} for n, t, s in blocks],
+                    [{"first": a, "last": b, "template": names[t], "share": float(s)} for a, b, t, s in blocks],
                 ))
             columns = list(zip(*out)) if out else [()] * 8
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), block_type]
@@ -221,7 +192,7 @@ def scan_licenses(df: DataFrame, phrases: Mapping[str, str] = PHRASES, templates
 
     return rows.mapInArrow(
         run, f"`{id_col}` {id_type}, n_words long, n_base long, first_word long, last_word long, base_labels string, "
-             "labels string, score double, blocks array<struct<line: bigint, template: string, share: double>>"
+             "labels string, score double, blocks array<struct<first: bigint, last: bigint, template: string, share: double>>"
     )
 
 
@@ -238,11 +209,15 @@ def oracle() -> str:
                WHERE contains(low, split_part(phrase, ' ', 1))
                  AND words[i:i + len(string_split(phrase, ' ')) - 1] = string_split(phrase, ' ')),
     base AS (SELECT doc_id, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word FROM placed GROUP BY 1),
-    lines AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '{word}')) AS words
-              FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM docs)),
-    held AS (SELECT doc_id, label, len(list_intersect(words, string_split(template, ' '))) AS common,
-                    len(list_distinct(string_split(template, ' '))) AS size FROM lines, templates
-             WHERE len(words) > 0),
+    lex AS (SELECT template, label, unnest(list_distinct(string_split(template, ' '))) AS word,
+                   len(list_distinct(string_split(template, ' '))) AS size FROM templates),
+    occ AS (SELECT doc_id, template, label, size, word, i FROM
+            (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs) JOIN lex USING (word)),
+    enough AS (SELECT doc_id, template FROM occ GROUP BY doc_id, template, size HAVING count(DISTINCT word) * 5 >= size * 4),
+    near AS (SELECT occ.* FROM occ JOIN enough USING (doc_id, template)),
+    held AS (SELECT a.doc_id, a.label, a.size, count(DISTINCT b.word) AS common
+             FROM near a JOIN near b ON a.doc_id = b.doc_id AND a.template = b.template AND b.i >= a.i AND b.i < a.i + {STRETCH} * a.size
+             GROUP BY a.doc_id, a.template, a.label, a.size, a.i),
     found AS (SELECT doc_id, label, common / size AS share FROM held WHERE common * 5 >= size * 4),
     tags AS (SELECT doc_id, label, true AS is_base, 1.0 AS share FROM placed
              UNION ALL SELECT doc_id, label, false, share FROM found),

@@ -5,9 +5,11 @@ import struct
 from fractions import Fraction
 from zlib import crc32
 
+import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
+from oracle import difference
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -226,42 +228,60 @@ def test_rules_without_tokens_and_limits(spark):
 LICENSES = ["Released under the MIT License. Under the mit license", "cc-by.nc", "CC BY-NC 4.0", "Apache License, Version 2.0",
             "under the mit\nlicense", "Permission granted free of charge to any person obtaining a copy of this software hereby",
             "this program is free software redistribute it under the gnu general public license", "mit", "", None, "é under the mit license",
-            "gnu " * 4000 + "\n" + "distributed under the gnu general public license version 3"]
+            "gnu " * 4000 + "\n" + "distributed under the gnu general public license version 3",
+            "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided",
+            "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General "
+            "Public License as published by\nthe Free Software Foundation, either version 3 of the License",
+            " ".join(f"filler{i}" for i in range(40)).join(["licensed ", " under ", " cc ", " by ", " nc ", " 4 ", " 0"]) * 20,
+            "licensed under cc by nc 4 0 " * 30 + "x " * 60 + "Licensed under\nCC-BY\nNC 4"]
+
+
+def plain_blocks(words, template, threshold):
+    """Blocks of a template by counting every window from a word of it."""
+    have = set(template.split())
+    width, found = 2 * len(have), []
+    for at, word in enumerate(words):
+        window = [i for i in range(at, min(at + width, len(words))) if words[i] in have]
+        common = len({words[i] for i in window})
+        if word in have and common >= threshold * len(have):
+            if found and at <= found[-1][1]:
+                found[-1] = (found[-1][0], window[-1], template, max(found[-1][3], common / len(have)))
+            else:
+                found.append((at, window[-1], template, common / len(have)))
+    return found
 
 
 def test_license_scan_equals_all_pairs(spark):
     df = messy(spark, list(enumerate(LICENSES)) + [(None, LICENSES[0]), (0, LICENSES[0])])
     for threshold in (Fraction(4, 5), Fraction(1, 2), Fraction(1)):
         for r in license_scan.scan_licenses(df, threshold=threshold).collect():
-            lines = license_scan.words_of(LICENSES[r.doc_id or 0] or "")
-            words = [w.decode() for line in lines for w in line]
+            words = [w.decode() for w in license_scan.words_of(LICENSES[r.doc_id or 0] or "")]
             starts = {p: [i for i in range(len(words)) if words[i:i + len(p.split())] == p.split()] for p in license_scan.PHRASES}
             places = sorted(i for s in starts.values() for i in s)
-            blocks = set()
-            for n, line in enumerate(lines):
-                for template in license_scan.TEMPLATES:
-                    have = set(template.split())
-                    common = len(have & {w.decode() for w in line})
-                    if common >= threshold * len(have):
-                        blocks.add((n, template, common / len(have)))
+            blocks = {b for t in license_scan.TEMPLATES for b in plain_blocks(words, t, threshold)}
             base = {license_scan.PHRASES[p] for p, s in starts.items() if s}
             assert (r.n_words, r.n_base) == (len(words), len(places))
             assert (r.first_word, r.last_word) == ((places[0], places[-1]) if places else (None, None))
             assert r.base_labels == ",".join(sorted(base))
-            assert {(b.line, b.template, b.share) for b in r.blocks} == blocks
-            assert r.labels == ",".join(sorted(base | {license_scan.TEMPLATES[t] for _, t, _ in blocks}))
+            assert {(b.first, b.last, b.template, b.share) for b in r.blocks} == blocks and len(r.blocks) == len(blocks)
+            assert r.labels == ",".join(sorted(base | {license_scan.TEMPLATES[t] for _, _, t, _ in blocks}))
             assert r.score == (1.0 if places else max((s for *_, s in blocks), default=0.0))
 
 
-def test_license_text_wrapped_over_lines(spark):
-    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided"
-    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General "
-           "Public License as published by\nthe Free Software Foundation, either version 3 of the License")
+def test_license_text_wrapped_over_lines(spark, tmp_path):
+    bsd, gpl, scattered = LICENSES[12], LICENSES[13], LICENSES[14]
     far = bsd.replace("\n", "\n" + "word " * 40)
     narrow = "x\n" * 3 + bsd.replace(" ", "\n")
-    rows = list(enumerate([bsd, gpl, far, narrow, bsd.replace("\n", " ")]))
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r for r in license_scan.scan_licenses(df, wrapped=True).collect()}
-    assert [got[i].labels for i in range(5)] == ["bsd", "gpl-3", "", "bsd", "bsd"]
+    line = " ".join(["by", "under", "nc"] + ["plain"] * 7000 + ["licensed", "cc", "4", "0"])
+    rows = list(enumerate([bsd, gpl, far, narrow, bsd.replace("\n", " "), scattered, line, gpl + "\n\n" + gpl, *LICENSES]))
+    spark.createDataFrame([(i, t) for i, t in rows if t is not None], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    result = license_scan.scan_licenses(df)
+    got = {r.doc_id: r for r in result.collect()}
+    assert [got[i].labels for i in range(8)] == ["bsd", "gpl-3", "", "bsd", "bsd", "", "", "gpl-3"]
     assert got[0].score == got[3].score == got[4].score == 1.0 and got[1].score >= 0.8
-    assert [(b.line, b.share) for b in got[3].blocks] == [(3, 1.0)]
+    assert [(b.first, b.share) for b in got[3].blocks] == [(3, 1.0)]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert difference(result.drop("blocks"), con, license_scan.oracle()) is None
+
