@@ -102,6 +102,24 @@ def test_short_pairs_at_the_threshold(spark, percent):
     assert [(r.doc_id, r.component_id) for r in got.collect() if r.component_id != r.doc_id // 2 * 2] == []
 
 
+@pytest.mark.parametrize("percent, rows", [(80, 6), (85, 6)])
+def test_large_sets_at_the_threshold(spark, percent, rows):
+    """Sets over 200 shingles meet in bands: pairs just at the threshold are linked, those just below are not."""
+    rng, texts, want = random.Random(percent), [], {}
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    for pair in range(60):
+        n = rng.randrange(260, 900)  # shingles of the shorter text
+        more = n * (100 - percent) // percent  # the largest number of further ones with a link
+        more += pair % 2
+        base = [word() for _ in range(n + 4)]
+        texts += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(base + [word() for _ in range(more)]))]
+        want[2 * pair + 1] = 2 * pair if 100 * n >= percent * (n + more) else 2 * pair + 1
+    got = neardup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), percent, bands=40, rows=rows)
+    found = {r.doc_id: (r.component_id, r.n_shingles) for r in got.collect()}
+    assert min(n for _, n in found.values()) > 200
+    assert {i: found[i][0] for i in want} == want and sum(want[i] != i for i in want) >= 30
+
+
 def test_near_duplicates_without_ids_and_with_repeats(spark):
     a, b, c = "a b c d e f", "g h i j k l", "m n o p q r"
     rows = [(5, a), (5, a), (5, b), (9, b), (None, a), (None, c), (3, c), (None, "own text"), (4, None)]
