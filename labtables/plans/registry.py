@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labtables.config import is_complete, matches, read_small, swap_small
+from labtables.sinks.layout import read_bucketed, write_bucketed
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,7 @@ class TableDef:
 
     ``inputs`` are the raw files and folders it reads, ``version`` stands for its parameters and code.
     ``metrics`` are aggregates that are taken while the table is written, such as counts by reason.
+    ``buckets`` (key, number) keeps the table in sorted hash buckets; it needs the schema.
     """
 
     name: str
@@ -36,6 +38,7 @@ class TableDef:
     inputs: tuple[str, ...] = ()
     version: str = ""
     metrics: tuple[tuple[str, Column], ...] = ()
+    buckets: tuple[str, int] | None = None
 
 
 def file_state(spark: SparkSession, path: str) -> str:
@@ -86,6 +89,9 @@ class Registry:
         return done
 
     def read(self, name: str) -> DataFrame:
+        table = self._def(name)
+        if table.buckets:
+            return read_bucketed(self.spark, self.path(name), table.schema, *table.buckets)
         return self.spark.read.parquet(self.path(name))
 
     def _record_path(self, name: str) -> str:
@@ -106,7 +112,7 @@ class Registry:
         table = self._def(name)
         stamps = [(d, (self.record(d) or {}).get("stamp", "")) for d in table.deps]
         files = [(p, file_state(self.spark, p)) for p in table.inputs]
-        return hashlib.sha256(json.dumps([name, table.version, files, stamps]).encode()).hexdigest()
+        return hashlib.sha256(json.dumps([name, table.version, files, stamps, table.buckets]).encode()).hexdigest()
 
     def is_fresh(self, name: str) -> bool:
         """The table is complete and was built from what is there now; one without a record counts as such."""
@@ -144,7 +150,10 @@ class Registry:
         if table.metrics:
             df = df.observe(seen, *[value.alias(metric) for metric, value in table.metrics])
         # a folder without its success marker is left from a failed write and is replaced
-        df.write.mode("overwrite").parquet(self.path(name))
+        if table.buckets:
+            write_bucketed(df, self.path(name), *table.buckets)
+        else:
+            df.write.mode("overwrite").parquet(self.path(name))
         record = {"fingerprint": fingerprint, "stamp": uuid.uuid4().hex, "metrics": seen.get if table.metrics else {}}
         swap_small(self.spark, self._record_path(name), json.dumps(record))
 

@@ -50,6 +50,7 @@ class Inputs:
     seed: int = 0
     check_tasks: int | None = None
     enrich_tasks: int | None = None
+    buckets: int | None = None  # keeps the map of structures and the spectra in so many buckets of ``mid``
     many_records: bool = False  # files of the two folders hold records that bear their own names
 
 
@@ -152,14 +153,16 @@ def tables(inputs: Inputs) -> list[TableDef]:
 
     grid = repr((inputs.grid, inputs.max_gap))
     external = (inputs.universe_dir,) if inputs.universe_dir else ()
+    by_mid = ("mid", inputs.buckets) if inputs.buckets else None
     return [
-        TableDef("structure_map", build_map, (), False, schemas.STRUCTURE_MAP, (inputs.structures, inputs.aliases)),
+        TableDef("structure_map", build_map, (), False, schemas.STRUCTURE_MAP, (inputs.structures, inputs.aliases),
+                 buckets=by_mid),
         TableDef("parsed_series", parse_series, (), False, schemas.PARSED_SERIES, (inputs.series_dir,), grid,
-                 reason_counts(*SERIES_REASONS)),
+                 reason_counts(*SERIES_REASONS), by_mid),
         TableDef("parsed_properties", parse_properties, (), False, schemas.PARSED_PROPERTIES, (inputs.property_dir,),
                  "", reason_counts(*PROPERTY_REASONS)),
         TableDef("measured", lambda _, t: measured(t["parsed_series"], t["structure_map"]),
-                 ("parsed_series", "structure_map"), False, schemas.MEASURED),
+                 ("parsed_series", "structure_map"), False, schemas.MEASURED, buckets=by_mid),
         TableDef("computed", lambda _, t: computed(t["parsed_properties"], t["structure_map"]),
                  ("parsed_properties", "structure_map"), False, schemas.COMPUTED),
         TableDef("universe", build_universe, ("structure_map",), True, schemas.universe(inputs.flags), external,

@@ -13,6 +13,7 @@ from labtables.queries.base import query, table
 from labtables.queries.documents import documents_in_parts
 from labtables.sinks.buckets import BucketStore
 from labtables.sinks.bulk import FolderTarget, bulk_insert_committed, insert_batch, read_batches
+from labtables.sinks.layout import read_bucketed, write_bucketed
 
 
 @dataclass(frozen=True)
@@ -96,3 +97,22 @@ def bucket_compaction(spark, d):
     store.insert(rows.unionByName(rows))
     store.compact(spark, rows.schema, most_files=1)
     return store.read(spark, rows.schema)
+
+
+def bucketed(spark, d, name, columns, key):
+    rows, path = table(spark, d, name).select(*columns), shared_dir(spark, name)
+    write_bucketed(rows, path, key, 8)
+    return read_bucketed(spark, path, rows.schema, key, 8)
+
+
+@query("bucketed_join", """
+SELECT c_custkey, c_name, count(o_orderkey) AS n, max(o_totalprice) AS most FROM customer
+LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name
+""")
+def bucketed_join(spark, d):
+    """Orders and customers kept in buckets of the customer: joined and counted without a shuffle."""
+    customer = bucketed(spark, d, "customer", ["c_custkey", "c_name"], "c_custkey")
+    orders = bucketed(spark, d, "orders", ["o_custkey", "o_orderkey", "o_totalprice"], "o_custkey")
+    # the join of two large tables; a small side would be broadcast
+    joined = customer.hint("merge").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return joined.groupBy("c_custkey", "c_name").agg(F.count("o_orderkey").alias("n"), F.max("o_totalprice").alias("most"))

@@ -93,3 +93,8 @@ def test_counts_of_spectra_read_no_vector(spark):
 def test_no_scan_is_dealt_out_anew(spark):
     for name in ("labelled_headers", "property_table", "coords_parse", "resample_linear", "spectra_table"):
         assert "RoundRobin" not in plan(spark, name), name
+
+
+def test_tables_in_buckets_join_without_an_exchange(spark):
+    text = plan(spark, "bucketed_join")
+    assert "SortMergeJoin" in text and "Exchange" not in text and text.count("Bucketed: true") == 2
