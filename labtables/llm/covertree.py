@@ -57,7 +57,8 @@ class Tree:
 
     def __init__(self, points: np.ndarray, stop: float = 0.0):
         self.points = points
-        self.scale = float(np.sqrt((points * points).sum(1).max(initial=0)))
+        self.half = (points * points).sum(1) / 2
+        self.scale = float(np.sqrt(2 * self.half.max(initial=0)))
         self.centre: list[int] = []
         self.level: list[int] = []
         self.children: list[list[int]] = []
@@ -185,26 +186,33 @@ def threshold_pairs(a: Tree, b: Tree, reach: float, exact: Callable[[np.ndarray,
         i, group, j, others = waiting.pop()
         alone, nodes = a.below(i, group)
         single, right = b.below(j, others)
+        left_points, right_points = a.points[alone], b.points[single]
         for low, high in row_pieces(len(alone), NET_ROWS * 4):
-            yield from _points(a, alone[low:high], b, single, reach, slack, exact, seen)
-        for m in nodes:
-            apart, inside = _between(a, [m], b.points[single], np.zeros(len(single)), reach, slack)
-            rows, whole, open_ = a.members[m], single[inside[0]], single[~apart[0] & ~inside[0]]
-            seen["pruned"] += len(rows) * int(apart.sum())
-            if len(whole):
-                seen["whole"] += len(rows) * len(whole)
-                yield rows, whole, True
-            if len(open_):
-                yield from _next(a, m, nothing, b, -1, open_, exact, seen, waiting)
-        for n in right:
-            apart, inside = _between(b, [n], a.points[alone], np.zeros(len(alone)), reach, slack)
-            rows, whole, open_ = b.members[n], alone[inside[0]], alone[~apart[0] & ~inside[0]]
-            seen["pruned"] += len(rows) * int(apart.sum())
-            if len(whole):
-                seen["whole"] += len(rows) * len(whole)
-                yield whole, rows, True
-            if len(open_):
-                yield from _next(a, -1, open_, b, n, nothing, exact, seen, waiting)
+            yield from _points(a, alone[low:high], left_points[low:high], b, single, right_points, reach, slack, exact, seen)
+        if len(nodes) and len(single):
+            apart, inside = _between(a, nodes, right_points, np.zeros(len(single)), reach, slack)
+            for x, m in enumerate(nodes):
+                rows, n_apart = a.members[m], int(apart[x].sum())
+                seen["pruned"] += len(rows) * n_apart
+                if n_apart < len(single):
+                    whole, open_ = single[inside[x]], single[~apart[x] & ~inside[x]]
+                    if len(whole):
+                        seen["whole"] += len(rows) * len(whole)
+                        yield rows, whole, True
+                    if len(open_):
+                        yield from _next(a, m, nothing, b, -1, open_, exact, seen, waiting)
+        if len(right) and len(alone):
+            apart, inside = _between(b, right, left_points, np.zeros(len(alone)), reach, slack)
+            for y, n in enumerate(right):
+                rows, n_apart = b.members[n], int(apart[y].sum())
+                seen["pruned"] += len(rows) * n_apart
+                if n_apart < len(alone):
+                    whole, open_ = alone[inside[y]], alone[~apart[y] & ~inside[y]]
+                    if len(whole):
+                        seen["whole"] += len(rows) * len(whole)
+                        yield whole, rows, True
+                    if len(open_):
+                        yield from _next(a, -1, open_, b, n, nothing, exact, seen, waiting)
         if len(nodes) and len(right):
             apart, inside = _between(a, nodes, b.points[b.centre_of[right]], b.radius[right], reach, slack)
             for x, y in zip(*np.nonzero(apart)):
@@ -233,16 +241,19 @@ def _next(a: Tree, i: int, group: np.ndarray, b: Tree, j: int, others: np.ndarra
         yield from _decided(a, group if i < 0 else a.members[i], b, others if j < 0 else b.members[j], exact, seen)
 
 
-def _points(a: Tree, rows: np.ndarray, b: Tree, others: np.ndarray, reach: float, slack: float, exact: Callable,
-            seen: Counter) -> Iterator[tuple]:
+def _points(a: Tree, rows: np.ndarray, left: np.ndarray, b: Tree, others: np.ndarray, right: np.ndarray, reach: float,
+            slack: float, exact: Callable, seen: Counter) -> Iterator[tuple]:
     """Pairs of single points: the distance decides but for its last digits."""
     if not len(rows) or not len(others):
         return
     seen["compared"] += len(rows) * len(others)
-    x, y = np.nonzero(squares(a.points[rows], b.points[others]) <= (reach + slack) ** 2)
+    # |x - y|**2 <= r**2 as x.y - |y|**2 / 2 >= (|x|**2 - r**2) / 2: two passes over the products
+    gram = left @ right.T
+    gram -= b.half[others][None, :]
+    x, y = np.nonzero(gram >= (a.half[rows] - (reach + slack) ** 2 / 2)[:, None])
     if not len(x):
         return
-    gap = np.linalg.norm(a.points[rows[x]] - b.points[others[y]], axis=1)
+    gap = np.linalg.norm(left[x] - right[y], axis=1)
     sure = gap < reach - slack
     if sure.any():
         yield rows[x[sure]], others[y[sure]], False
