@@ -119,10 +119,13 @@ def collect(df: DataFrame, featurise: Featurise, bits: int, label: str, most: in
     # a window over the rows of a sample, whose number is bounded
     before = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
     some = one.withColumn("held", F.sum("f.size").over(before)).where(F.col("held") <= most)
-    found = some.select("id", "y", "f.buckets", "f.shares").toArrow().to_pylist()
-    found.sort(key=lambda r: (crc32(str(r["id"]).encode()), r["id"], r["buckets"]))
-    return [(np.frombuffer(r["buckets"], np.int32).astype(np.int64),
-             np.frombuffer(r["shares"], np.float32).astype(float), r["y"]) for r in found]
+    found = some.select("id", "y", "f.buckets", "f.shares").toArrow()
+    ids, labels = found["id"].to_pylist(), found["y"].to_pylist()
+    # views of the collected bytes, of which there is no second copy
+    buckets, shares = (found[n].combine_chunks() for n in ("buckets", "shares"))
+    order = sorted(range(len(ids)), key=lambda i: (crc32(str(ids[i]).encode()), ids[i], labels[i]))
+    return [(np.frombuffer(buckets[i].as_buffer(), np.int32), np.frombuffer(shares[i].as_buffer(), np.float32), labels[i])
+            for i in order]
 
 
 def _cut(least: dict[tuple, tuple], most: int) -> int:

@@ -35,8 +35,8 @@ class _Rows:
 
     def __init__(self, rows: Sequence[np.ndarray], size: int):
         self.n, self.size = len(rows), size
-        self.column = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
+        self.column = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows])
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.column], self.n)
@@ -57,7 +57,7 @@ def nnpu(positive: Sequence[np.ndarray], unlabelled: Sequence[np.ndarray], size:
         return np.zeros(size), float(np.log(prior / (1 - prior)))
     used, seen = np.unique(np.concatenate([*positive, *unlabelled]), return_counts=True)
     used = used[seen >= least]
-    number = np.full(size, -1)
+    number = np.full(size, -1, np.int32)
     number[used] = np.arange(len(used))
     narrow = lambda rows: _Rows([m[m >= 0] for m in (number[r] for r in rows)], len(used))
     p, u = narrow(positive), narrow(unlabelled)
