@@ -25,11 +25,11 @@ def _with_row_ids(spark: SparkSession, docs: DataFrame, row_id: str) -> DataFram
     """
     times = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
     several = times.where("times > 1 AND doc_id IS NOT NULL").select("doc_id")
+    if times.where("times > 1 OR doc_id IS NULL").isEmpty():  # no join of whole texts where every id is its row's own
+        return docs.withColumn(row_id, F.col("doc_id").cast("long"))
     odd = docs.where("doc_id IS NULL").unionByName(docs.join(several, "doc_id", "left_semi").select(docs.columns))
     plain = docs.where("doc_id IS NOT NULL").join(several, "doc_id", "left_anti").select(docs.columns)
     plain = plain.withColumn(row_id, F.col("doc_id").cast("long"))
-    if odd.isEmpty():
-        return plain
     above = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long")).first()[0] + 1
     path = f"{_folder(spark)}/rows"
     odd.withColumn(row_id, F.monotonically_increasing_id() + F.lit(above)).write.parquet(path)
