@@ -160,9 +160,15 @@ class Tree:
                 if not len(some):
                     break
                 pool = pool[free[pool]]
-                for point, inside in zip(some, distances(points[some], points[pool]) <= r):
+                inside = points[some] @ points[pool].T - self.half[pool]
+                inside = inside >= (self.half[some] - r * r / 2)[:, None]
+                alone = inside.sum(1) <= 1  # no free point but itself is near: a centre whatever the order
+                if alone.any():
+                    free[some[alone]] = False
+                    made.setdefault(node, []).extend((int(p), np.array([p])) for p in some[alone])
+                for point, near_it in zip(some[~alone], inside[~alone]):
                     if free[point]:
-                        rows = pool[inside & free[pool]]
+                        rows = pool[near_it & free[pool]]
                         rows = rows if (rows == point).any() else np.append(rows, point)
                         free[rows] = False
                         made.setdefault(node, []).append((int(point), rows))
@@ -174,98 +180,133 @@ def threshold_pairs(a: Tree, b: Tree, reach: float, exact: Callable[[np.ndarray,
     """(rows of a, rows of b, all): pairs of points within ``reach``, each exactly once.
 
     With ``all`` every row is paired with every other one: the node pair lies within reach as a whole.
-    Node pairs that are apart by their covering radii are pruned; leaves are decided by ``exact``. ``seen``
-    counts the pairs of points that were pruned, taken as a whole and compared.
+    Node pairs that are apart by their covering radii are pruned; leaves are decided by ``exact``. A tree against
+    itself is gone through once for both orders of a pair. ``seen`` counts the pairs of points that were pruned,
+    taken as a whole and compared.
     """
-    slack = SLACK * max(a.scale, b.scale, reach)
     seen = Counter() if seen is None else seen
-    nothing = np.zeros(0, np.int64)
-    # a side is a node, or some single points (node -1)
-    waiting = [(0, nothing, 0, nothing)]
-    while waiting:
-        i, group, j, others = waiting.pop()
-        alone, nodes = a.below(i, group)
-        single, right = b.below(j, others)
-        left_points, right_points = a.points[alone], b.points[single]
-        for low, high in row_pieces(len(alone), NET_ROWS * 4):
-            yield from _points(a, alone[low:high], left_points[low:high], b, single, right_points, reach, slack, exact, seen)
-        if len(nodes) and len(single):
-            apart, inside = _between(a, nodes, right_points, np.zeros(len(single)), reach, slack)
-            for x, m in enumerate(nodes):
-                rows, n_apart = a.members[m], int(apart[x].sum())
-                seen["pruned"] += len(rows) * n_apart
-                if n_apart < len(single):
-                    whole, open_ = single[inside[x]], single[~apart[x] & ~inside[x]]
-                    if len(whole):
-                        seen["whole"] += len(rows) * len(whole)
-                        yield rows, whole, True
-                    if len(open_):
-                        yield from _next(a, m, nothing, b, -1, open_, exact, seen, waiting)
-        if len(right) and len(alone):
-            apart, inside = _between(b, right, left_points, np.zeros(len(alone)), reach, slack)
-            for y, n in enumerate(right):
-                rows, n_apart = b.members[n], int(apart[y].sum())
-                seen["pruned"] += len(rows) * n_apart
-                if n_apart < len(alone):
-                    whole, open_ = alone[inside[y]], alone[~apart[y] & ~inside[y]]
+    for rows, others, whole, twice in _Dual(a, b, reach, exact, seen).run():
+        yield rows, others, whole
+        if twice:
+            yield others, rows, whole
+
+
+class _Dual:
+    """One traversal of two trees. Results have a mark ``twice`` if they stand for both orders of a pair."""
+
+    def __init__(self, a: Tree, b: Tree, reach: float, exact: Callable, seen: Counter):
+        self.a, self.b, self.reach, self.exact, self.seen = a, b, reach, exact, seen
+        self.slack = SLACK * max(a.scale, b.scale, reach)
+        # |x - y|**2 <= r**2 as x.y - |y|**2 / 2 >= (|x|**2 - r**2) / 2. The left side is one product in single
+        # precision, with a column more, of points shrunk to norm 1; what may pass by its rounding is looked at again
+        shrink = max(a.scale, b.scale) or 1.0
+        self.left = np.c_[a.points / shrink, np.ones(len(a.points))].astype(np.float32)
+        self.right = np.c_[b.points / shrink, -b.half / shrink ** 2].astype(np.float32)
+        error = (self.left.shape[1] + 4) * 2.0 ** -23
+        self.least = ((a.half - (reach + self.slack) ** 2 / 2) / shrink ** 2 - error).astype(np.float32)
+        self.nothing = np.zeros(0, np.int64)
+        # a side is a node, or some single points (node -1)
+        self.waiting: list[tuple] = [(0, self.nothing, 0, self.nothing, False)]
+
+    def run(self) -> Iterator[tuple]:
+        a, b, nothing = self.a, self.b, self.nothing
+        while self.waiting:
+            i, group, j, others, twice = self.waiting.pop()
+            alone, nodes = a.below(i, group)
+            if a is b and i == j >= 0:
+                for low, high in row_pieces(len(alone), NET_ROWS * 4):
+                    yield from self._points(alone[low:high], alone[low:high], False)
+                    yield from self._points(alone[low:high], alone[high:], True)
+                yield from self._nodes_and_points(nodes, alone, True)
+                for x, node in enumerate(nodes):
+                    yield from self._nodes(nodes[x:x + 1], nodes[x:x + 1], False)
+                    yield from self._nodes(nodes[x:x + 1], nodes[x + 1:], True)
+                continue
+            single, right = b.below(j, others)
+            for low, high in row_pieces(len(alone), NET_ROWS * 4):
+                yield from self._points(alone[low:high], single, twice)
+            yield from self._nodes_and_points(nodes, single, twice)
+            if len(right) and len(alone):
+                apart, inside = self._between(b, right, a.points[alone], np.zeros(len(alone)))
+                for y, n in enumerate(right):
+                    whole, open_ = self._shares(alone, apart[y], inside[y], len(b.members[n]), twice)
                     if len(whole):
-                        seen["whole"] += len(rows) * len(whole)
-                        yield whole, rows, True
+                        yield whole, b.members[n], True, twice
                     if len(open_):
-                        yield from _next(a, -1, open_, b, n, nothing, exact, seen, waiting)
-        if len(nodes) and len(right):
-            apart, inside = _between(a, nodes, b.points[b.centre_of[right]], b.radius[right], reach, slack)
-            for x, y in zip(*np.nonzero(apart)):
-                seen["pruned"] += len(a.members[nodes[x]]) * len(b.members[right[y]])
-            for x, y in zip(*np.nonzero(inside)):
-                rows, others = a.members[nodes[x]], b.members[right[y]]
-                seen["whole"] += len(rows) * len(others)
-                yield rows, others, True
-            for x, y in zip(*np.nonzero(~apart & ~inside)):
-                yield from _next(a, nodes[x], nothing, b, right[y], nothing, exact, seen, waiting)
-
-
-def _between(tree: Tree, nodes, points: np.ndarray, radius: np.ndarray, reach: float, slack: float) -> tuple:
-    """(apart, inside): nodes by points of another tree with the radii around these."""
-    gap = distances(tree.points[tree.centre_of[nodes]], points)
-    both = tree.radius[nodes][:, None] + radius[None, :]
-    return gap - both > reach + slack, gap + both < reach - slack
-
-
-def _next(a: Tree, i: int, group: np.ndarray, b: Tree, j: int, others: np.ndarray, exact: Callable, seen: Counter,
-          waiting: list) -> Iterator[tuple]:
-    """Let a pair of sides wait for its children, or decide it where both are leaves."""
-    if (i >= 0 and a.children[i]) or (j >= 0 and b.children[j]):
-        waiting.append((int(i), group, int(j), others))
-    else:
-        yield from _decided(a, group if i < 0 else a.members[i], b, others if j < 0 else b.members[j], exact, seen)
-
-
-def _points(a: Tree, rows: np.ndarray, left: np.ndarray, b: Tree, others: np.ndarray, right: np.ndarray, reach: float,
-            slack: float, exact: Callable, seen: Counter) -> Iterator[tuple]:
-    """Pairs of single points: the distance decides but for its last digits."""
-    if not len(rows) or not len(others):
-        return
-    seen["compared"] += len(rows) * len(others)
-    # |x - y|**2 <= r**2 as x.y - |y|**2 / 2 >= (|x|**2 - r**2) / 2: two passes over the products
-    gram = left @ right.T
-    gram -= b.half[others][None, :]
-    x, y = np.nonzero(gram >= (a.half[rows] - (reach + slack) ** 2 / 2)[:, None])
-    if not len(x):
-        return
-    gap = np.linalg.norm(left[x] - right[y], axis=1)
-    sure = gap < reach - slack
-    if sure.any():
-        yield rows[x[sure]], others[y[sure]], False
-    for p, q in zip(x[~sure], y[~sure]):
-        yield from _decided(a, rows[[p]], b, others[[q]], exact, Counter())
-
-
-def _decided(a: Tree, rows: np.ndarray, b: Tree, others: np.ndarray, exact: Callable, seen: Counter) -> Iterator[tuple]:
-    seen["compared"] += len(rows) * len(others)
-    x, y = np.nonzero(exact(a.points[rows], b.points[others]))
-    if len(x):
-        yield rows[x], others[y], False
+                        yield from self._next(-1, open_, n, nothing, twice)
+            yield from self._nodes(nodes, right, twice)
+
+    def _between(self, tree: Tree, nodes, points: np.ndarray, radius: np.ndarray) -> tuple:
+        """(apart, inside): nodes by points of another tree with the radii around these."""
+        gap = distances(tree.points[tree.centre_of[nodes]], points)
+        both = tree.radius[nodes][:, None] + radius[None, :]
+        return gap - both > self.reach + self.slack, gap + both < self.reach - self.slack
+
+    def _shares(self, rows: np.ndarray, apart: np.ndarray, inside: np.ndarray, members: int, twice: bool) -> tuple:
+        """Single points that lie within reach of a whole node, and those that its children decide about."""
+        whole, open_ = rows[inside], rows[~apart & ~inside]
+        self.seen["pruned"] += members * int(apart.sum()) * (1 + twice)
+        self.seen["whole"] += members * len(whole) * (1 + twice)
+        return whole, open_
+
+    def _nodes_and_points(self, nodes: np.ndarray, single: np.ndarray, twice: bool) -> Iterator[tuple]:
+        a = self.a
+        if not len(nodes) or not len(single):
+            return
+        apart, inside = self._between(a, nodes, self.b.points[single], np.zeros(len(single)))
+        for x, m in enumerate(nodes):
+            whole, open_ = self._shares(single, apart[x], inside[x], len(a.members[m]), twice)
+            if len(whole):
+                yield a.members[m], whole, True, twice
+            if len(open_):
+                yield from self._next(m, self.nothing, -1, open_, twice)
+
+    def _nodes(self, nodes: np.ndarray, right: np.ndarray, twice: bool) -> Iterator[tuple]:
+        a, b = self.a, self.b
+        if not len(nodes) or not len(right):
+            return
+        apart, inside = self._between(a, nodes, b.points[b.centre_of[right]], b.radius[right])
+        for x, y in zip(*np.nonzero(apart)):
+            self.seen["pruned"] += len(a.members[nodes[x]]) * len(b.members[right[y]]) * (1 + twice)
+        for x, y in zip(*np.nonzero(inside)):
+            rows, others = a.members[nodes[x]], b.members[right[y]]
+            self.seen["whole"] += len(rows) * len(others) * (1 + twice)
+            yield rows, others, True, twice
+        for x, y in zip(*np.nonzero(~apart & ~inside)):
+            yield from self._next(nodes[x], self.nothing, right[y], self.nothing, twice)
+
+    def _next(self, i: int, group: np.ndarray, j: int, others: np.ndarray, twice: bool) -> Iterator[tuple]:
+        """Let a pair of sides wait for its children, or decide it where both are leaves."""
+        a, b = self.a, self.b
+        if (i >= 0 and a.children[i]) or (j >= 0 and b.children[j]):
+            self.waiting.append((int(i), group, int(j), others, twice))
+            return
+        rows, others = group if i < 0 else a.members[i], others if j < 0 else b.members[j]
+        self.seen["compared"] += len(rows) * len(others) * (1 + twice)
+        yield from self._decided(rows, others, twice)
+
+    def _points(self, rows: np.ndarray, others: np.ndarray, twice: bool) -> Iterator[tuple]:
+        """Pairs of single points: the distance decides but for its last digits."""
+        if not len(rows) or not len(others):
+            return
+        self.seen["compared"] += len(rows) * len(others) * (1 + twice)
+        gram, least = self.left[rows] @ self.right[others].T, self.least[rows]
+        some = np.nonzero(gram.max(1) >= least)[0]
+        if not len(some):
+            return
+        x, y = np.nonzero(gram[some] >= least[some][:, None])
+        x, y = rows[some[x]], others[y]
+        gap = np.linalg.norm(self.a.points[x] - self.b.points[y], axis=1)
+        sure = gap < self.reach - self.slack
+        if sure.any():
+            yield x[sure], y[sure], False, twice
+        for p, q in zip(*(z[~sure & (gap <= self.reach + self.slack)] for z in (x, y))):
+            yield from self._decided(np.array([p]), np.array([q]), twice)
+
+    def _decided(self, rows: np.ndarray, others: np.ndarray, twice: bool) -> Iterator[tuple]:
+        x, y = np.nonzero(self.exact(self.a.points[rows], self.b.points[others]))
+        if len(x):
+            yield rows[x], others[y], False, twice
 
 
 def top_products(queries: Tree, data: Tree, k: int, ids: np.ndarray, bounds: np.ndarray, skip: np.ndarray,
