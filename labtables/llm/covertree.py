@@ -31,6 +31,7 @@ BLOCK_ROWS = 4_096
 VISITORS_PER_ROW = 16
 VISITOR_ROWS = 1_024
 NET_ROWS = 64
+FEW = 32
 SLACK = 1e-7
 
 
@@ -73,16 +74,21 @@ class Tree:
                 self.radius[node] = np.linalg.norm(points[rows] - points[self.centre[node]], axis=1).max()
         del self._held
         self.centre_of = np.array(self.centre)
-        self.single = np.array([len(m) == 1 for m in self.members])
+        self.size = np.array([len(m) for m in self.members])
+        self.single = self.size == 1
+        self._below: dict[tuple, tuple] = {}
 
-    def below(self, node: int, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def below(self, node: int, group: np.ndarray, reach: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
         """Single points and larger nodes right below a node, or itself where it is a leaf; ``group`` if
-        there is no node."""
+        there is no node. Nodes of at most ``FEW`` points, wider than ``reach``, are given as their points."""
         if node < 0:
             return group, np.zeros(0, np.int64)
-        of = np.array(self.children[node] or [node])
-        alone = self.single[of]
-        return self.centre_of[of[alone]], of[~alone]
+        if (node, reach) not in self._below:
+            of = np.array(self.children[node] or [node])
+            few = self.single[of] | ((self.size[of] <= FEW) & (self.radius[of] > reach))
+            points = np.concatenate([self.members[c] for c in of[few]]) if few.any() else np.zeros(0, np.int64)
+            self._below[node, reach] = points, of[~few]
+        return self._below[node, reach]
 
     def _node(self, centre: int, level: int, held: np.ndarray) -> int:
         self.centre.append(centre)
@@ -212,7 +218,7 @@ class _Dual:
         a, b, nothing = self.a, self.b, self.nothing
         while self.waiting:
             i, group, j, others, twice = self.waiting.pop()
-            alone, nodes = a.below(i, group)
+            alone, nodes = a.below(i, group, self.reach)
             if a is b and i == j >= 0:
                 for low, high in row_pieces(len(alone), NET_ROWS * 4):
                     yield from self._points(alone[low:high], alone[low:high], False)
@@ -222,7 +228,7 @@ class _Dual:
                     yield from self._nodes(nodes[x:x + 1], nodes[x:x + 1], False)
                     yield from self._nodes(nodes[x:x + 1], nodes[x + 1:], True)
                 continue
-            single, right = b.below(j, others)
+            single, right = b.below(j, others, self.reach)
             for low, high in row_pieces(len(alone), NET_ROWS * 4):
                 yield from self._points(alone[low:high], single, twice)
             yield from self._nodes_and_points(nodes, single, twice)
