@@ -22,6 +22,8 @@ POSITIVE_ROWS = 2_500
 UNLABELLED_ROWS = 10_000
 THRESHOLD = 0.3
 
+PIECE = 1 << 20
+
 
 @dataclass(frozen=True)
 class Model:
@@ -39,10 +41,18 @@ class _Rows:
         self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows])
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, w[self.column], self.n)
+        return self._sums(self.row, w, self.column, self.n)
 
     def back(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.column, g[self.row], self.size)
+        return self._sums(self.column, g, self.row, self.size)
+
+    @staticmethod
+    def _sums(to: np.ndarray, values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """Sums of ``values[at]`` by ``to``, in pieces: no array of doubles or long integers for all entries."""
+        out = np.zeros(n)
+        for i in range(0, len(to), PIECE):
+            out += np.bincount(to[i:i + PIECE], values[at[i:i + PIECE]], n)
+        return out
 
 
 def nnpu(positive: Sequence[np.ndarray], unlabelled: Sequence[np.ndarray], size: int, prior: float,
