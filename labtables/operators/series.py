@@ -91,25 +91,29 @@ def calibrate(records: DataFrame) -> DataFrame:
     dx = F.try_divide(numbers["LASTX"] - numbers["FIRSTX"], numbers["NPOINTS"] - 1)
     bad = numbers["YFACTOR"].isNull() | dx.isNull() | F.col("XUNITS").isNull() | F.col("YUNITS").isNull()
 
-    def line(d: Column) -> Column:
-        def sample(y: Column, j: Column) -> Column:
-            cx, cy = calibrated(d["x"], j, y, F.col("dx"), F.col("yf"), F.col("micro"), F.col("absorb"))
-            return F.struct(cx.alias("x"), cy.alias("y"))
+    def xs(wavelength: bool) -> Column:
+        def line(d: Column) -> Column:
+            return F.transform(d["ys"], lambda y, j: calibrated(
+                d["x"], j, y, F.col("dx"), F.col("yf"), F.lit(wavelength), F.lit(False))[0])
 
-        return F.transform(d["ys"], sample)
+        return F.flatten(F.transform("data", line))
+
+    def ys(absorbance: bool) -> Column:
+        return F.transform(F.flatten(F.col("data")["ys"]), lambda y: calibrated(
+            F.lit(0.0), F.lit(0), y, F.col("dx"), F.col("yf"), F.lit(False), F.lit(absorbance))[1])
 
     checked = add_once(records, reason=F.coalesce(F.col("reason"), F.when(bad, BAD_HEADER)))
+    good = F.col("reason").isNull()
+    # the units hold for a file, so they are asked once and not for each sample; arrays of numbers are
+    # paired by the engine, while a lambda would make each pair by itself
     return (
-        checked.withColumns({
-            "dx": dx,
-            "yf": numbers["YFACTOR"],
-            "micro": F.col("XUNITS") == MICROMETERS,
-            "absorb": F.col("YUNITS") == ABSORBANCE,
+        checked.withColumns({"dx": dx, "yf": numbers["YFACTOR"]})
+        .withColumns({
+            "x": F.when(good, F.when(F.col("XUNITS") == MICROMETERS, xs(True)).otherwise(xs(False))),
+            "y": F.when(good, F.when(F.col("YUNITS") == ABSORBANCE, ys(True)).otherwise(ys(False))),
         })
-        .withColumn("samples", F.when(
-            F.col("reason").isNull(), F.sort_array(F.flatten(F.transform("data", line)))
-        ))
-        .drop("dx", "yf", "micro", "absorb")
+        .withColumn("samples", F.sort_array(F.arrays_zip("x", "y")))
+        .drop("dx", "yf", "x", "y")
     )
 
 
@@ -143,18 +147,32 @@ def _range_reason(count: Column, first_x: Column, last_x: Column, grid: Grid) ->
     )
 
 
-def _finish(df: DataFrame, grid: Grid, max_gap: int | None) -> DataFrame:
-    """Vector and reason from ``neighbours``, ``samples_n``, ``gap`` (columns dropped at the end)."""
-    first, last = F.get("neighbours", F.lit(0)), F.element_at("neighbours", -1)
-    out = F.coalesce(F.col("reason"), _range_reason(F.col("samples_n"), first["x"], last["x"], grid))
+def _finish(df: DataFrame, grid: Grid, max_gap: int | None, first_x: Column, last_x: Column,
+            values: Column) -> DataFrame:
+    """Vector and reason from ``samples_n``, ``gap`` and the ends of a series; ``values`` are those on the grid."""
+    out = F.coalesce(F.col("reason"), _range_reason(F.col("samples_n"), first_x, last_x, grid))
     low = F.lit(False) if max_gap is None else F.col("gap") > F.lit(max_gap)
     df = add_once(
         df,
         gap=F.when(out.isNull(), F.col("gap")).cast("int"),
         reason=F.coalesce(out, F.when(low, LOW_RESOLUTION)),
     )
-    vec = F.when(F.col("reason").isNull(), _interpolated(F.col("neighbours"), grid))
-    return df.withColumn("vec", vec).drop("neighbours", "samples_n")
+    return df.withColumn("vec", F.when(F.col("reason").isNull(), values)).drop("samples_n")
+
+
+def _below(x: Column, grid: Grid) -> Column:
+    """For each grid point the number of sorted ``x`` that are smaller.
+
+    Grid points and samples are sorted together, a point before its equals: point k at place i has i - k
+    samples before it. Sorting two sorted runs is one merge, and costs no expression per sample and point.
+    """
+    # constant, so that the marks are made once and not for each series
+    points = F.split(F.lit(",".join(repr(float(grid.start) + float(grid.step) * k) for k in range(grid.size))), ",")
+    marks = F.arrays_zip(points.cast("array<double>").alias("x"), F.array_repeat(F.lit(False), grid.size).alias("sample"))
+    samples = F.arrays_zip(x.alias("x"), F.array_repeat(F.lit(True), F.size(x)).alias("sample"))
+    merged = F.sort_array(F.concat(marks, samples))
+    places = F.transform(merged["sample"], lambda sample, i: F.when(sample, F.lit(-1)).otherwise(i))
+    return F.transform(F.array_remove(places, -1), lambda i, k: i - k)
 
 
 def resample_files(df: DataFrame, grid: Grid = Grid(), max_gap: int | None = MAX_GAP) -> DataFrame:
@@ -163,21 +181,23 @@ def resample_files(df: DataFrame, grid: Grid = Grid(), max_gap: int | None = MAX
     Runs inside the scan stage: a file is one row from reading to vector.
     """
     n = grid.size
-    guessed = F.transform("samples", lambda s: F.struct(
-        grid.guess(s["x"]).alias("guess"), s["x"].alias("x"), s["y"].alias("y")
-    ))
-    placed = F.transform(guessed, lambda s: F.struct(
-        grid.settle(s["x"], s["guess"]).alias("cell"), s["x"].alias("x"), s["y"].alias("y")
-    ))
-    # sample i (from 0, the first is not counted) in cell c stands for i consumed samples
-    lead = F.transform("neighbours", lambda s, i: F.when(s["cell"] < n, i - s["cell"]))
-    consumed = F.size(F.filter("neighbours", lambda s: s["cell"] < n)) - 1
+    # sample i (from 0, the first is not counted) in cell c stands for i consumed samples; cell c ends
+    # before grid point c
+    lead = F.transform("below", lambda b, k: b - 1 - k)
+    consumed = F.get("below", F.lit(n - 1)) - 1
     gap = F.lit(n) - F.greatest(consumed, F.lit(0)) + F.greatest(F.array_max(lead), F.lit(0))
-    df = df.withColumn("neighbours", placed)
+
+    def value(b: Column, k: Column) -> Column:
+        """A point between samples b - 1 and b; the first point may be the first sample itself."""
+        xa, xb, ya, yb = (F.get(c, at) for c in ("xs", "ys") for at in (b - 1, b))
+        return F.when(b > 0, ya + (yb - ya) / (xb - xa) * (grid.point(k) - xa)).otherwise(yb)
+
+    df = df.withColumns({"xs": F.col("samples")["x"], "ys": F.col("samples")["y"]})
     if "reason" not in df.columns:
         df = df.withColumn("reason", F.lit(None).cast("string"))
-    df = df.withColumns({"samples_n": F.size("neighbours"), "gap": gap}).drop("samples")
-    return _finish(df, grid, max_gap)
+    df = df.withColumns({"below": _below(F.col("xs"), grid), "samples_n": F.size("samples")}).withColumn("gap", gap)
+    ends = F.get("xs", F.lit(0)), F.element_at("xs", -1)
+    return _finish(df.drop("samples"), grid, max_gap, *ends, F.transform("below", value)).drop("xs", "ys", "below")
 
 
 def cells(points: DataFrame, keys: Sequence[str], x: str, y: str, grid: Grid) -> DataFrame:
@@ -223,7 +243,9 @@ def resample_rows(points: DataFrame, keys: Sequence[str], x: str, y: str,
         walk.alias("gap"),
         F.lit(None).cast("string").alias("reason"),
     )
-    return _finish(df, grid, max_gap)
+    first, last = F.get("neighbours", F.lit(0)), F.element_at("neighbours", -1)
+    values = _interpolated(F.col("neighbours"), grid)
+    return _finish(df, grid, max_gap, first["x"], last["x"], values).drop("neighbours")
 
 
 def to_points(df: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:

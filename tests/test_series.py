@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from labtables.operators.series import Grid, calibrated, resample_files, resample_rows, to_points
+from labtables.operators.series import Grid, calibrate, calibrated, resample_files, resample_rows, to_points
 
 
 def brute_force(samples, grid):
@@ -87,6 +87,28 @@ def test_points_back(spark):
     assert sorted(map(tuple, points)) == [("a", 0.0, 0.0), ("a", 4.0, 4.0), ("a", 8.0, 8.0)]
 
 
+def test_samples_of_a_file_are_not_paired_one_by_one(spark):
+    """No lambda makes a row for each sample, and the grid is a constant of the plan."""
+    files = spark.createDataFrame(
+        [], "file string, FIRSTX string, LASTX string, NPOINTS string, YFACTOR string, XUNITS string, YUNITS string, "
+            "data array<struct<x:double,ys:array<double>>>, reason string")
+    plan = resample_files(calibrate(files), Grid(0, 40, 4))._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_zip" in plan and "lambdafunction(struct(" not in plan and "sequence(" not in plan
+
+
+def test_ends_and_equal_samples_of_a_file(spark):
+    inf, nan = float("inf"), float("nan")
+    series = [
+        [(0.0, 1.0), (0.0, 5.0), (4.0, 2.0), (8.0, 3.0)], [(-0.0, 1.0), (4.0, 2.0), (4.0, 7.0), (9.0, 3.0)],
+        [(-inf, 1.0), (2.0, 2.0), (inf, 3.0)], [(0.0, 1.0), (1.0, 2.0), (nan, 3.0)], [(0.0, 1.0)], [], None,
+    ]
+    rows = spark.createDataFrame(list(enumerate(series)), "k int, samples array<struct<x:double,y:double>>")
+    got = [r for r in resample_files(rows, Grid(0, 8, 4), 1).orderBy("k").collect()]
+    assert [r["reason"] for r in got] == [None, None, "resolution too low", "resolution too low", *["too few samples"] * 2, "resolution too low"]
+    assert got[0]["vec"] == [1.0, 2.0, 3.0] and got[1]["vec"] == [1.0, 2.0, pytest.approx(7 - 4 * 4 / 5)]
+    assert [r["gap"] for r in got] == [1, 1, 2, 2, None, None, 3]
+
+
 def test_cells_of_the_default_grid(spark):
     grid = Grid()
     assert grid.size == 759 and grid.last() == 3702
