@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table dealt out to all cores, before long texts are made of them.
+
+    A narrow table of millions of rows is a small file, which a scan cuts into a few tasks or a single one.
+    """
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 

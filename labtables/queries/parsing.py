@@ -8,7 +8,7 @@ from labtables.config import shared_dir
 from labtables.functions.strings import file_key, leading_word
 from labtables.operators import coords, enrich, keys, quality
 from labtables.plans.tables import computed, computed_properties
-from labtables.queries.base import query, table, text_files
+from labtables.queries.base import query, spread, table, text_files
 from labtables.sinks.files import export_json, write_coords, write_new
 from labtables.sources import labelled, text
 from labtables.sources.records import LABELLED_END, labelled_records, tagged_records
@@ -111,7 +111,7 @@ def labelled_text(spark, d):
         F.lit("##XYDATA= (X++(Y..Y))\n"), text_of("o_orderkey"), F.lit(" "), whole, F.lit("-"), text_of("o_custkey"),
         F.lit("\n##NOTE=inside\n  "), text_of("o_custkey"), F.lit(" 1e-2 7 "), whole,
     )
-    return table(spark, d, "orders").select(content.alias("value"))
+    return spread(table(spark, d, "orders")).select(content.alias("value"))
 
 
 def labelled_files(spark, d):
@@ -156,7 +156,7 @@ def tagged_text(spark, d):
         text_of("o_orderkey"), F.lit("  "), text_of("o_custkey"), F.lit(".5\n\n"), whole,
         F.lit("\t-3\n> <METHOD>\nlater\n"),
     )
-    return table(spark, d, "orders").select(content.alias("value"))
+    return spread(table(spark, d, "orders")).select(content.alias("value"))
 
 
 def tagged_files(spark, d):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from labtables.operators.quality import count_reasons
 from labtables.operators.series import Grid, calibrated, resample_rows, to_points
 from labtables.plans.tables import measured, measured_series
-from labtables.queries.base import query, table, text_files
+from labtables.queries.base import query, spread, table, text_files
 from labtables.sources.records import LABELLED_END, labelled_records
 
 PRICE_GRID = Grid(5000, 85000, 500)
@@ -131,7 +131,7 @@ def series_text(spark, d):
         F.lit("\n"), F.when(F.col("c_mktsegment") == "FURNITURE", "").otherwise("##YFACTOR=0.001\n"),
         F.lit("##XYDATA=(X++(Y..Y))\n"), block,
     )
-    return table(spark, d, "customer").select(content.alias("value"))
+    return spread(table(spark, d, "customer")).select(content.alias("value"))
 
 
 def series_files(spark, d):

@@ -5,6 +5,8 @@ import re
 import pytest
 
 from labtables.queries import QUERIES
+from labtables.queries.parsing import labelled_text, tagged_text
+from labtables.queries.series import series_text
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -98,3 +100,16 @@ def test_no_scan_is_dealt_out_anew(spark):
 def test_tables_in_buckets_join_without_an_exchange(spark):
     text = plan(spark, "bucketed_join")
     assert "SortMergeJoin" in text and "Exchange" not in text and text.count("Bucketed: true") == 2
+
+
+@pytest.mark.parametrize("make", [series_text, labelled_text, tagged_text])
+def test_texts_of_a_table_of_one_task_are_written_by_many(spark, tmp_path, make):
+    spark.range(200).selectExpr(
+        "id AS c_custkey", "cast(id % 25 AS int) AS c_nationkey", "cast(id AS double) AS c_acctbal", "'BUILDING' AS c_mktsegment",
+    ).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(200).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "cast(id AS double) AS o_totalprice", "'1-URGENT' AS o_orderpriority",
+    ).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    made = make(spark, str(tmp_path))
+    made.write.text(f"{tmp_path}/texts", lineSep="\x00")
+    assert made.count() == 200 and len([*(tmp_path / "texts").glob("part-*")]) > 4
