@@ -28,6 +28,7 @@ POOL_TOKENS = 1_000_000
 UNIT_CACHE = 700_000
 WORD_CACHE = 700_000
 _CONTROL = regex.compile("[\x1c-\x1f]")
+_LETTERS = "\u0250"  # below it the letters of Python are those of the splitting pattern
 
 
 def byte_letters() -> list[str]:
@@ -52,6 +53,7 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.split = regex.compile(pattern)
         self.letters = dict(enumerate(byte_letters()))
+        self.packs = [struct.Struct(f"<{n}I").pack for n in range(32)]
         self.parts: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
 
@@ -60,11 +62,16 @@ class Encoder:
         if got is None:
             letters = part.encode().decode("latin-1").translate(self.letters)
             ids = [t.id for t in self.model.tokenize(letters)]
-            got = grow(self.parts, part, struct.pack(f"<{len(ids)}I", *ids), WORD_CACHE)
+            packed = self.packs[len(ids)](*ids) if len(ids) < len(self.packs) else struct.pack(f"<{len(ids)}I", *ids)
+            got = grow(self.parts, part, packed, WORD_CACHE)
         return got
 
+    def plain(self, text: str) -> bool:
+        """Whether the splitting pattern alone decides; what holds for a text holds for all that is cut from it."""
+        return not (_CONTROL.search(text) or any(s in text for s in self.special))
+
     def whole(self, text: str) -> bytes:
-        if _CONTROL.search(text) or any(s in text for s in self.special):
+        if not self.plain(text):
             ids = self.library.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         return b"".join(map(self.part, self.split.findall(text)))
@@ -73,13 +80,20 @@ class Encoder:
         first, *units = text.split(" ")
         cache = self.units
         out = [*map(cache.get, units)]
-        if None in out:
-            for i, got in enumerate(out):
-                if got is None:
-                    unit = units[i]
-                    if not unit or unit[0].isspace():  # the space before it is not cut off
-                        return self.whole(text)
-                    out[i] = grow(cache, unit, self.whole(" " + unit), UNIT_CACHE)
+        if missing := out.count(None):
+            part, find, plain, i = self.part, self.split.findall, self.plain(text), -1
+            for _ in range(missing):
+                i = out.index(None, i + 1)
+                unit = units[i]
+                if not unit or unit[0].isspace():  # the space before it is not cut off
+                    return self.whole(text)
+                if not plain:
+                    ids = self.whole(" " + unit)
+                elif unit.isalpha() and max(unit) < _LETTERS:  # the pattern takes it as one part
+                    ids = part(" " + unit)
+                else:
+                    ids = b"".join(map(part, find(" " + unit)))
+                out[i] = grow(cache, unit, ids, UNIT_CACHE)
         if first:
             out.insert(0, self.whole(first))
         return b"".join(out)

@@ -70,6 +70,19 @@ def test_encoder_equals_the_library():
         assert own.encode(t) == struct.pack(f"<{len(ids)}I", *ids), t
 
 
+def test_units_of_letters_are_not_split_again():
+    """A unit of letters is one part; whether a text needs the library is asked once for all its units."""
+    library, own = Tokenizer.from_file(BYTES), packing.Encoder(BYTES, public_tokenizers.PATTERN)
+    text = " Straße été " + " ".join(f"w{'a' * i} e, \u00aa\u00b5" for i in range(30))
+    rest, asked = [], []
+    split, plain = own.split, own.plain
+    own.split = type("Split", (), {"findall": staticmethod(lambda t: rest.append(t) or split.findall(t))})
+    own.plain = lambda t: asked.append(t) or plain(t)
+    ids = ids_of(library, text)
+    assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
+    assert rest and all(t == " e," for t in rest) and asked == [text]
+
+
 @pytest.mark.parametrize("pool", [50, 1_000_000])
 def test_packing_holds_each_id_once(spark, pool):
     library = Tokenizer.from_file(BYTES)
