@@ -78,6 +78,54 @@ def test_model_is_that_of_dictionaries(spark):
         assert (np.diff(table.astype(object)) > 0).all()
 
 
+class PlainBytes(Plain):
+    """The same on the bytes themselves; 255 stands before a text."""
+
+    def grams(self, text):
+        codes = (255,) * (self.order - 1) + tuple(text.encode())
+        return [codes[i:i + self.order] for i in range(len(codes) - self.order + 1)]
+
+    def p(self, gram):
+        return super().p(gram) if gram else 1 / 256
+
+
+def test_rules_take_the_model_of_bytes_in_one_part_or_many(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [prose(rng, 60) for _ in range(3)] + ["HAUS 7 " * 30, "Haus 1 " * 30, "ü漢😀 " * 60, "few", "", None]
+    plain = PlainBytes([t or "" for t in texts], 4)
+    # two rows have one id, one has none
+    rows = [(None if i == 2 else i or 1, "en", t) for i, t in enumerate(texts)]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3))
+    want = sorted(-sum(math.log2(plain.p(g)) for g in plain.grams(t)) / len(t.encode()) for t in texts if t)
+    whole = perplexity.quality_rules(df).collect()
+    assert sorted(math.log2(r["perplexity"]) for r in whole if r["perplexity"]) == pytest.approx(want, rel=1e-5)
+    monkeypatch.setattr(perplexity, "PART", 60)
+    estimates = perplexity.trained(df.select("text"))
+    assert estimates.parts > 2
+    models = [*estimates.models()]
+    assert sum(len(m.grams[-1]) for m in models) == len(plain.levels[-1]) > max(len(m.grams[-1]) for m in models)
+    for text in ("Zebra 漢 || quux", "the ## haus"):  # n-grams that no part holds are those of one part, too
+        got = sum(sum(map(m.total, perplexity.grams(text, 4, perplexity.BYTES))) for m in models)
+        assert got == pytest.approx(-sum(math.log2(plain.p(g)) for g in plain.grams(text)), rel=1e-5)
+
+    def row(r):
+        return [r["doc_id"] or 0, r["n_words"], r["kept"], r["base_failed"], round(r["perplexity"] or 0, 6), round(r["low"], 6)]
+
+    assert sorted(map(row, perplexity.quality_rules(df).collect())) == sorted(map(row, whole)) and len(whole) == len(texts)
+
+
+def test_counts_are_whole_when_tasks_send_on_early(spark):
+    rng = random.Random(6)
+    texts = [prose(rng, 20) for _ in range(30)] + ["", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    want = Counter(int(g) for t in texts for piece in perplexity.grams(t or "", 4, perplexity.BYTES) for g in piece)
+    for held in (1, 50, 1 << 20):
+        got = perplexity.count_grams(df, 4, perplexity.BYTES, held).collect()
+        assert {r["gram"]: r["n"] for r in got} == want and len(got) == len(want)
+    pieces = [np.unique(np.array(x), return_counts=True) for x in ([3, 1, 3], [2], [1, 3])]
+    assert [x.tolist() for x in perplexity._sum(pieces)] == [[1, 2, 3], [2, 1, 3]]
+
+
 def test_grams_of_long_texts_come_in_pieces(monkeypatch):
     text = "abcé \n" * 40
     whole = np.concatenate([*perplexity.grams(text, 4)])
