@@ -20,6 +20,7 @@ from labtables.llm.common import grow, worker_cache
 
 WORD_CACHE = 500_000
 TRAIN_FEATURES = 12_000_000
+COLLECT_PARTS = 32
 _PARTS = re.compile(r"[^\W_]+|[\W_]+")
 _CAPITALS = crc32(b"\x00capitals")
 _AGAIN = crc32(b"\x00again")
@@ -84,13 +85,16 @@ def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
 Featurise = Callable[[str, int], tuple[np.ndarray, np.ndarray]]
 
 
-def collect(df: DataFrame, featurise: Featurise, bits: int, label: str, most: int = TRAIN_FEATURES) -> list[tuple]:
+def collect(df: DataFrame, featurise: Featurise, bits: int, label: str, most: int = TRAIN_FEATURES,
+            shares: bool = True) -> list[tuple]:
     """[(buckets, values, label)] of a bounded sample, made in tasks and ordered by hash of the id.
 
     ``df`` has ``id``, ``text`` and the label column; callers bound the number of different ids. Of the rows
     of an id with one label a single one counts, that with the smallest features: each task sends one,
     and these are folded before they are collected. Rows of a label are taken in order of the hash until
     they hold ``most`` features, 8 bytes each, so what reaches the driver is bounded in rows and bytes.
+    Without ``shares`` the values are None and a feature is 4 bytes; for features whose values are all one.
+    The rows are dealt out once more before they are sent, so that no single task sends all of a label.
     """
     rows = df.select("id", F.col("text").cast("string"), F.col(label).cast("int").alias("y"), F.xxhash64("id").alias("h"))
 
@@ -100,7 +104,7 @@ def collect(df: DataFrame, featurise: Featurise, bits: int, label: str, most: in
         for batch in batches:
             for row, text, y, h in zip(*batch.columns):
                 buckets, values = featurise(text.as_py() or "", bits)
-                made = (len(buckets), buckets.astype(np.int32).tobytes(), values.astype(np.float32).tobytes())
+                made = (len(buckets), buckets.astype(np.int32).tobytes(), values.astype(np.float32).tobytes() if shares else b"")
                 key = y.as_py(), h.as_py(), row.as_py()
                 before = least.get(key)
                 least[key] = made if before is None else min(made, before)
@@ -119,13 +123,13 @@ def collect(df: DataFrame, featurise: Featurise, bits: int, label: str, most: in
     # a window over the rows of a sample, whose number is bounded
     before = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
     some = one.withColumn("held", F.sum("f.size").over(before)).where(F.col("held") <= most)
-    found = some.select("id", "y", "f.buckets", "f.shares").toArrow()
+    found = some.select("id", "y", "f.buckets", *["f.shares"] * shares).repartition(COLLECT_PARTS, "id").toArrow()
     ids, labels = found["id"].to_pylist(), found["y"].to_pylist()
     # views of the collected bytes, of which there is no second copy
-    buckets, shares = (found[n].combine_chunks() for n in ("buckets", "shares"))
+    buckets = [np.frombuffer(b.as_buffer(), np.int32) for b in found["buckets"]]
+    values = [np.frombuffer(s.as_buffer(), np.float32) for s in found["shares"]] if shares else [None] * len(ids)
     order = sorted(range(len(ids)), key=lambda i: (crc32(str(ids[i]).encode()), ids[i], labels[i]))
-    return [(np.frombuffer(buckets[i].as_buffer(), np.int32), np.frombuffer(shares[i].as_buffer(), np.float32), labels[i])
-            for i in order]
+    return [(buckets[i], values[i], labels[i]) for i in order]
 
 
 def _cut(least: dict[tuple, tuple], most: int) -> int:

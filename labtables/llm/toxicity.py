@@ -7,8 +7,9 @@ becomes negative, its gradient is turned, which keeps the classifier from fittin
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ POSITIVE_ROWS = 2_500
 UNLABELLED_ROWS = 10_000
 THRESHOLD = 0.3
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -33,28 +34,49 @@ class Model:
 
 
 class _Rows:
-    """Sparse rows of ones over renumbered buckets, with products in both directions."""
+    """Sparse rows of ones over renumbered buckets, with products in both directions.
 
-    def __init__(self, rows: Sequence[np.ndarray], size: int):
-        self.n, self.size = len(rows), size
-        self.column = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows])
+    Entries are kept in pieces of whole rows, 4 bytes each. Nothing else is as long as all entries, neither
+    here nor in a product, and no single array is large.
+    """
+
+    def __init__(self, rows: Iterable[np.ndarray], size: int):
+        self.n, self.size, self.pieces = 0, size, []
+        some, held = [], 0
+        for row in rows:
+            some.append(row)
+            held += len(row)
+            if held >= PIECE:
+                self._add(some)
+                some, held = [], 0
+        if some:
+            self._add(some)
+
+    def _add(self, rows: list[np.ndarray]) -> None:
+        self.pieces.append((self.n, np.array([len(r) for r in rows]), np.concatenate(rows)))
+        self.n += len(rows)
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return self._sums(self.row, w, self.column, self.n)
+        out = np.zeros(self.n)
+        for first, lengths, column in self.pieces:
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            out[first:first + len(lengths)] = np.bincount(row, w[column], len(lengths))
+        return out
 
     def back(self, g: np.ndarray) -> np.ndarray:
-        return self._sums(self.column, g, self.row, self.size)
-
-    @staticmethod
-    def _sums(to: np.ndarray, values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-        """Sums of ``values[at]`` by ``to``, in pieces: no array of doubles or long integers for all entries."""
-        out = np.zeros(n)
-        for i in range(0, len(to), PIECE):
-            out += np.bincount(to[i:i + PIECE], values[at[i:i + PIECE]], n)
+        out = np.zeros(self.size)
+        for first, lengths, column in self.pieces:
+            out += np.bincount(column, np.repeat(g[first:first + len(lengths)], lengths), self.size)
         return out
 
 
+def _texts_with(rows: Iterable[np.ndarray], size: int) -> np.ndarray:
+    seen = np.zeros(size, np.int64)
+    for row in rows:
+        np.add.at(seen, row, 1)
+    return seen
+
+
 def nnpu(positive: Sequence[np.ndarray], unlabelled: Sequence[np.ndarray], size: int, prior: float,
          l1: float = 1e-3, rate: float = 0.1, epochs: int = 250, least: int = 4) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic classifier under the non-negative risk.
@@ -65,12 +87,12 @@ def nnpu(positive: Sequence[np.ndarray], unlabelled: Sequence[np.ndarray], size:
     """
     if not positive or not unlabelled:
         return np.zeros(size), float(np.log(prior / (1 - prior)))
-    used, seen = np.unique(np.concatenate([*positive, *unlabelled]), return_counts=True)
-    used = used[seen >= least]
+    used = np.flatnonzero(_texts_with(chain(positive, unlabelled), size) >= max(least, 1))
     number = np.full(size, -1, np.int32)
     number[used] = np.arange(len(used))
-    narrow = lambda rows: _Rows([m[m >= 0] for m in (number[r] for r in rows)], len(used))
+    narrow = lambda rows: _Rows((m[m >= 0] for m in (number[r] for r in rows)), len(used))
     p, u = narrow(positive), narrow(unlabelled)
+    del positive, unlabelled  # the fit needs the collected bytes no more
     w, b = np.zeros(len(used)), float(np.log(prior / (1 - prior)))
     squares, square_b = np.full(len(used), 1e-8), 1e-8
     sigmoid = lambda s: 1 / (1 + np.exp(-np.clip(s, -30, 30)))
@@ -122,9 +144,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     others = hash_sample(texts.select("id").where("id IS NOT NULL").distinct(), "id", unlabelled_rows).withColumn("kind", F.lit(0))
     # both samples have a fixed number of narrow rows, so they may be broadcast
     chosen = F.broadcast(toxic.unionByName(others))
-    examples = features.collect(texts.join(chosen, "id"), features.presence, bits, "kind", most)
-    weights, bias = nnpu([b for b, _, kind in examples if kind == 1], [b for b, _, kind in examples if kind == 0],
-                         1 << bits, prior)
+    examples = features.collect(texts.join(chosen, "id"), features.presence, bits, "kind", most, shares=False)
+    rows = [[b for b, _, kind in examples if kind == k] for k in (1, 0)]
+    del examples
+    weights, bias = nnpu(rows.pop(0), rows.pop(0), 1 << bits, prior)
     return Model(weights.astype(np.float32), bias, bits)
 
 

@@ -1,6 +1,7 @@
 """Near duplicates, vectors, search, classifiers and pipeline against brute force."""
 
 import random
+import tracemalloc
 from zlib import crc32
 
 import numpy as np
@@ -462,6 +463,46 @@ def test_nnpu_equals_a_plain_one():
     assert np.allclose(got_w, np.mean([w for w, _ in steps[-12:]], 0)) and np.isclose(got_b, np.mean([b for _, b in steps[-12:]]))
 
 
+def test_nnpu_holds_its_entries_once():
+    rng = np.random.default_rng(9)
+    rows = [np.flatnonzero(rng.random(20_000) < 0.1).astype(np.int32) for _ in range(2_000)]
+    entries = sum(map(len, rows))
+    tracemalloc.start()
+    try:
+        weights, _ = toxicity.nnpu(rows[:400], rows[400:], 20_000, 0.2, epochs=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(weights) == 20_000 and peak < 4 * entries + 12_000_000  # 4 bytes an entry and a few pieces
+
+
+def test_pieces_of_rows_give_whole_products(monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = [np.sort(rng.choice(40, n, replace=False)).astype(np.int32) for n in (0, 3, 40, 1, 0, 7, 25, 0)]
+    dense = np.array([np.bincount(r, minlength=40) for r in rows], float)
+    w, g = rng.normal(size=40), rng.normal(size=len(rows))
+    for piece in (1, 5, 1 << 18):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        made = toxicity._Rows(iter(rows), 40)
+        assert made.n == len(rows) and np.allclose(made.times(w), dense @ w) and np.allclose(made.back(g), g @ dense)
+    none = toxicity._Rows([], 40)
+    assert len(none.times(w)) == 0 and not none.back(np.zeros(0)).any()
+
+
+def test_training_sends_no_shares_that_are_all_one(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"some words {i} {i % 5}") for i in range(40)] + [(41, None), (42, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(43)], "doc_id long, quality int, toxic int")
+    seen = []
+    real = features.collect
+    monkeypatch.setattr(features, "collect", lambda *a, **k: seen.append(real(*a, **k)) or seen[-1])
+    toxicity.train(docs, labels)
+    quality.train(docs, labels)
+    assert all(values is None for _, values, _ in seen[0]) and all(len(b) == len(v) for b, v, _ in seen[1])
+    rows = docs.where(~common.held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), "text", F.lit(0).alias("y"))
+    want = {tuple(features.presence(r.text or "", 18)[0]) for r in rows.collect()}
+    assert {tuple(b) for b, _, kind in seen[0] if kind == 0} == want
+
+
 def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
     text = " ".join(f"word{i}" for i in range(30))
     other = " ".join(f"other{i}" for i in range(30))
